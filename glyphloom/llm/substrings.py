@@ -4,7 +4,7 @@ A window is SIZE consecutive words of a document. A word is removed if a window
 
 1. A document whose whole word sequence is that of an earlier one loses all words if it has a window; it takes no further part.
 2. Each window has a minimiser, the K-gram in it with the smallest hash (the first of them). Equal windows have equal minimisers. Neighbouring windows with one minimiser are a segment. Minimisers are shuffled by hash and sorted; a task reads them as a stream and reports the places of those that are found in more than one place.
-3. Segments around these places are dealt to shards by the hash of their minimiser, sorted by it and by content. In the stream of a shard, segments with the same words as the one before are repeats, and all their windows start earlier too. The others are indexed, a bounded number of words at a time but never cutting what one minimiser holds: a suffix array sorted to DEPTH words, its Burrows-Wheeler transform in a wavelet matrix, and for each suffix the order of its place in the corpus.
+3. Segments around these places (a task gives out each content once and reports the rest as repeats) are dealt to shards by the hash of their minimiser, sorted by it and by content. In the stream of a shard, segments with the same words as the one before are repeats, and all their windows start earlier too. The others are indexed, a bounded number of words at a time but never cutting what one minimiser holds: a suffix array sorted to DEPTH words, its Burrows-Wheeler transform in a wavelet matrix, and for each suffix the order of its place in the corpus.
 4. Every window of the indexed segments is searched backwards, word by word, and given up as soon as a single suffix is left: it occurs once. What is left after SIZE steps are the matches above the threshold; a window is removed unless it is the earliest of its interval.
 5. The windows to be removed are joined to their documents by doc_id, and the words outside of them are kept.
 
@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordHashes, grams, groups, signed, table, utf8
+from .common import CACHE, WordHashes, checkpoint, grams, signed, table, utf8
 
 SIZE, K, DEPTH = 20, 6, 32
 FLUSH = 400_000
@@ -199,10 +199,13 @@ def _places(docs: DataFrame, size: int, k: int) -> DataFrame:
 
 
 def _segments(texts: DataFrame, size: int, k: int) -> DataFrame:
-    """(key, digest, doc_id, content, start, words) of documents with content and places."""
+    """(key, digest, doc_id, content, start, last, words) of documents with content and places; last: of the segment's words, exclusive.
+
+    A segment that the task has met at an earlier place is only reported as a repeat, without words, under a key of its document: so a hot passage leaves each task once.
+    """
 
     def run(batches):
-        hashes = WordHashes()
+        hashes, seen = WordHashes(), {}
         for batch in batches:
             out, n = [], 0
             for key, raw, content, places in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist(), batch.column(3)):
@@ -217,8 +220,14 @@ def _segments(texts: DataFrame, size: int, k: int) -> DataFrame:
                 for a, b in zip(change.tolist(), ends.tolist()):
                     if wanted[a]:
                         text = b" ".join(words[a : b + size - 1])
-                        out.append((int(marks[place[a]]), hashlib.md5(text).digest()[:8], key, content, a, text))
+                        digest = hashlib.md5(text).digest()
+                        if seen.setdefault(digest, (key, content, a)) < (key, content, a):
+                            out.append((content, None, key, content, a, b + size - 1, None))
+                            continue
+                        out.append((int(marks[place[a]]), digest[:8], key, content, a, b + size - 1, text))
                         n += len(text)
+                if len(seen) > CACHE:
+                    seen = {}
                 if n > 4_000_000:
                     yield rows(out)
                     out, n = [], 0
@@ -226,10 +235,10 @@ def _segments(texts: DataFrame, size: int, k: int) -> DataFrame:
                 yield rows(out)
 
     def rows(out):
-        kinds = (pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int32(), pa.binary())
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)], ["key", "digest", "doc_id", "content", "start", "words"])
+        kinds = (pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary())
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)], ["key", "digest", "doc_id", "content", "start", "last", "words"])
 
-    return texts.mapInArrow(run, "key long, digest binary, doc_id long, content long, start int, words binary")
+    return texts.mapInArrow(run, "key long, digest binary, doc_id long, content long, start int, last int, words binary")
 
 
 def _removed(segments: DataFrame, size: int, flush: int) -> DataFrame:
@@ -272,10 +281,10 @@ def _removed(segments: DataFrame, size: int, flush: int) -> DataFrame:
         held, words, last, current = [], 0, None, None
         for batch in batches:
             repeats = []
-            columns = [batch.column(i).to_pylist() for i in range(6)]
-            for key, digest, doc, content, start, text in zip(*columns):
-                if (key, digest, text) == last:
-                    repeats.append((doc, content, start, start + text.count(b" ") + 1))
+            columns = [batch.column(i).to_pylist() for i in range(7)]
+            for key, digest, doc, content, start, end, text in zip(*columns):
+                if text is None or (key, digest, text) == last:
+                    repeats.append((doc, content, start, end))
                     continue
                 if words >= flush and key != current:
                     yield from solve(held)
@@ -317,7 +326,7 @@ def _kept(texts: DataFrame) -> DataFrame:
 def dedup(docs: DataFrame, size: int = SIZE, k: int = K, flush: int = FLUSH) -> DataFrame:
     """(doc_id, n_words, n_removed, kept_sha256), one row for each row of docs."""
     raws = docs.select(F.col("doc_id").cast("long").alias("doc_id"), utf8().alias("raw"))
-    found = _documents(raws).groupBy("doc_id", "sha", "n_words").agg(F.count("*").alias("copies"))
+    found = checkpoint(_documents(raws).groupBy("doc_id", "sha", "n_words").agg(F.count("*").alias("copies")))
     content = F.conv(F.substring(F.hex("sha"), 1, 16), 16, -10).cast("long")
     owners = found.where("doc_id is not null").groupBy("sha").agg(F.min("doc_id").alias("owner"))
     firsts = owners.select(F.col("owner").alias("doc_id"), content.alias("content"))
