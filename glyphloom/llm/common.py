@@ -12,7 +12,9 @@ from pyspark.sql import functions as F
 
 #: Words are runs of anything but ASCII white space, as bytes.split() cuts them.
 WORD = r"[^\x20\x09-\x0D]+"
-CACHE = 300_000
+CACHE = 100_000
+#: Rows of a batch that Python gets: texts can be long.
+BATCH = 1000
 
 U64 = np.uint64
 _A, _B = U64(0xFF51AFD7ED558CCD), U64(0xC4CEB9FE1A85EC53)
@@ -29,6 +31,14 @@ def utf8(column="text"):
     return F.coalesce(F.col(column).cast("binary"), F.lit(b""))
 
 
+def batches(df: DataFrame) -> DataFrame:
+    """The same rows; Python workers of this session get at most BATCH of them at a time, to bound their memory."""
+    conf, name = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(conf.get(name, "10000")) <= BATCH:
+        conf.set(name, str(BATCH))
+    return df
+
+
 def checkpoint(df: DataFrame) -> DataFrame:
     """Cuts the lineage with files in the shared folder that spark.checkpoint.dir names (a temporary one where it is unset, as in tests)."""
     sc = df.sparkSession.sparkContext
@@ -74,11 +84,11 @@ def signed(x: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(x).view(np.int64)
 
 
-def groups(batches, keys: list[str]):
+def groups(rows, keys: list[str]):
     """Cuts record batches that are sorted by keys into one table for each combination of key values; keeps one group in memory."""
     held: list[pa.RecordBatch] = []
     last = None
-    for batch in batches:
+    for batch in rows:
         if not batch.num_rows:
             continue
         columns = [batch.column(batch.schema.get_field_index(k)).to_numpy(zero_copy_only=False) for k in keys]

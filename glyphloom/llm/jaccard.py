@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import U64, WordHashes, checkpoint, components, grams, groups, mix, signed, table, utf8
+from .common import U64, WordHashes, batches, checkpoint, components, grams, groups, mix, signed, table, utf8
 
 N, NUM, DEN = 3, 90, 100
 GROUP = 4096
@@ -189,9 +189,9 @@ class SignatureTree:
 def _sets(docs: DataFrame, n: int) -> DataFrame:
     """(doc_id, n_shingles, h): h is the hash of the set, null for an empty one."""
 
-    def run(batches):
+    def run(parts):
         hashes = WordHashes()
-        for batch in batches:
+        for batch in parts:
             found = [shingles(x.as_py(), n, hashes) for x in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(s) for s in found], pa.int64()), pa.array([set_hash(s) if len(s) else None for s in found], pa.int64())], ["doc_id", "n_shingles", "h"])
 
@@ -201,9 +201,9 @@ def _sets(docs: DataFrame, n: int) -> DataFrame:
 def _ties(docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
     """(a, b): set hashes that share a key, each tied to the first of the key."""
 
-    def emit(batches):
+    def emit(parts):
         hashes, blocking, seen = WordHashes(), Blocking(num, den), set()
-        for batch in batches:
+        for batch in parts:
             keys, marks, size = [], [], 0
             for raw in batch.column(0):
                 elements = shingles(raw.as_py(), n, hashes)
@@ -221,9 +221,9 @@ def _ties(docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
             if keys:
                 yield pa.RecordBatch.from_arrays([pa.array(signed(np.concatenate(keys))), pa.array(np.concatenate(marks))], ["key", "h"])
 
-    def tie(batches):
+    def tie(parts):
         last, first, before = None, None, None
-        for batch in batches:
+        for batch in parts:
             key, h = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             if not len(key):
                 continue
@@ -242,6 +242,7 @@ def _ties(docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
 
 def join(docs: DataFrame, n: int = N, num: int = NUM, den: int = DEN, group: int = GROUP) -> DataFrame:
     """(doc_id, n_shingles, component_id) of documents that link when den * overlap >= num * union."""
+    docs = batches(docs)
     sets = checkpoint(_sets(docs.select("doc_id", "text"), n))
     candidates = components(_ties(docs, n, num, den))
     classes = sets.where("h is not null").groupBy("h").agg(F.min("doc_id").alias("first"), F.min(F.coalesce("doc_id", F.lit(-(2**63)))).alias("any"))
@@ -249,9 +250,9 @@ def join(docs: DataFrame, n: int = N, num: int = NUM, den: int = DEN, group: int
     wanted = candidates.join(sizes, "component").select(F.col("node").alias("h"), "component", F.ceil(F.col("count") / group).cast("int").alias("blocks"))
     wanted = wanted.join(classes, "h").select(F.coalesce("first", "any").alias("doc_id"), F.col("h").alias("want"), "component", "blocks")
 
-    def elements(batches):
+    def elements(parts):
         hashes = WordHashes()
-        for batch in batches:
+        for batch in parts:
             out = []
             for raw, want, component, blocks in zip(batch.column(0), *(batch.column(i).to_pylist() for i in (1, 2, 3))):
                 found = shingles(raw.as_py(), n, hashes)
@@ -261,8 +262,8 @@ def join(docs: DataFrame, n: int = N, num: int = NUM, den: int = DEN, group: int
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.int64(), pa.int64(), pa.binary()))], ["component", "block", "h", "elements"])
 
-    def link(batches):
-        for _, rows in groups(batches, ["component", "block"]):
+    def link(parts):
+        for _, rows in groups(parts, ["component", "block"]):
             found = dict(zip(rows["h"].to_pylist(), rows["elements"].to_pylist()))
             names = list(found)
             tree = SignatureTree([np.frombuffer(x, U64) for x in found.values()], num, den)

@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import table, utf8
+from .common import batches, table, utf8
 
 EBML, SEGMENT, INFO, TRACKS, CLUSTER, CUES = 0x1A45DFA3, 0x18538067, 0x1549A966, 0x1654AE6B, 0x1F43B675, 0x1C53BB6B
 SCALE, TIMESTAMP, SIMPLE, GROUP, BLOCK, DURATION = 0x2AD7B1, 0xE7, 0xA3, 0xA0, 0xA1, 0x9B
@@ -243,8 +243,8 @@ def _table(df: DataFrame, key: str, content: str, schema: str, part: int) -> Dat
     rows = df.select(df[key].alias("key"), df[content].cast("binary").alias("content"))
     names = ["key", *[x.split()[0] for x in schema.split(", ")]]
 
-    def run(batches):
-        for batch in batches:
+    def run(parts):
+        for batch in parts:
             keys, files = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             out = [(k, *row) for k, f in zip(keys, files) if f is not None for row in parse(f)[part]]
             if out:
@@ -278,8 +278,8 @@ SCHEMA = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string,
 def digests(docs: DataFrame) -> DataFrame:
     """Stores each text in a file and tells what the file, as read back, holds."""
 
-    def run(batches):
-        for batch in batches:
+    def run(parts):
+        for batch in parts:
             out = []
             for key, raw in zip(batch.column(0).to_pylist(), batch.column(1)):
                 raw = raw.as_py()
@@ -289,7 +289,7 @@ def digests(docs: DataFrame) -> DataFrame:
             kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string()]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out) if out else [()] * 8, kinds)], [x.split()[0] for x in SCHEMA.split(", ")])
 
-    return docs.select(docs["doc_id"].cast("long").alias("doc_id"), utf8().alias("raw")).mapInArrow(run, SCHEMA)
+    return batches(docs).select(docs["doc_id"].cast("long").alias("doc_id"), utf8().alias("raw")).mapInArrow(run, SCHEMA)
 
 
 def query(spark, sf_dir):

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import CACHE, WordHashes, checkpoint, grams, signed, table, utf8
+from .common import CACHE, WordHashes, batches, checkpoint, grams, signed, table, utf8
 
 SIZE, K, DEPTH = 20, 6, 32
 FLUSH = 400_000
@@ -128,8 +128,8 @@ class FMIndex:
 def _documents(docs: DataFrame) -> DataFrame:
     """(doc_id, n_words, sha): sha of the words joined by one blank."""
 
-    def run(batches):
-        for batch in batches:
+    def run(parts):
+        for batch in parts:
             words = [x.as_py().split() for x in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(w) for w in words], pa.int64()), pa.array([hashlib.sha256(b" ".join(w)).digest() for w in words], pa.binary())], ["doc_id", "n_words", "sha"])
 
@@ -142,12 +142,15 @@ def _identity(words: list[bytes]) -> int:
 
 
 def _places(docs: DataFrame, size: int, k: int) -> DataFrame:
-    """(content, places): where the minimisers stand that are found in more than one place."""
+    """(content, places): where the minimisers stand that are found in more than one place.
 
-    def emit(batches):
+    A minimiser that a document has more than once is known to be repeated there: it is shuffled once as a key, and its places under a key of the document.
+    """
+
+    def emit(parts):
         hashes, seen = WordHashes(), set()
-        for batch in batches:
-            parts, n = [], 0
+        for batch in parts:
+            held, n = [], 0
             for raw in batch.column(1):
                 words = raw.as_py().split()
                 if len(words) < size:
@@ -158,23 +161,29 @@ def _places(docs: DataFrame, size: int, k: int) -> DataFrame:
                 seen.add(content)
                 place, h = minimisers(hashes.of(words), size, k)
                 place = np.unique(place)
-                parts.append((h[place], np.full(len(place), content, np.int64), place))
+                keys, first, inverse, times = np.unique(h[place], return_index=True, return_inverse=True, return_counts=True)
+                twice = place[times[inverse] > 1]
+                held.append((signed(keys), np.full(len(keys), content, np.int64), place[first], np.zeros(len(keys), bool)))
+                held.append((np.full(len(twice), content, np.int64), np.full(len(twice), content, np.int64), twice, np.ones(len(twice), bool)))
                 n += len(place)
                 if n > 200_000:
-                    yield rows(parts)
-                    parts, n = [], 0
-            if parts:
-                yield rows(parts)
+                    yield rows(held)
+                    held, n = [], 0
+            if held:
+                yield rows(held)
 
-    def rows(parts):
-        key, content, place = (np.concatenate([p[i] for p in parts]) for i in range(3))
-        return pa.RecordBatch.from_arrays([pa.array(signed(key)), pa.array(content), pa.array(place.astype(np.int32))], ["key", "content", "place"])
+    def rows(held):
+        key, content, place, known = (np.concatenate([p[i] for p in held]) for i in range(4))
+        return pa.RecordBatch.from_arrays([pa.array(key), pa.array(content), pa.array(place.astype(np.int32)), pa.array(known)], ["key", "content", "place", "known"])
 
-    def repeated(batches):
+    def repeated(parts):
         """Streams rows sorted by key, content, place; equal rows count once."""
         last = None  # (key, content, place, whether it was given out)
-        for batch in batches:
-            key, content, place = (batch.column(i).to_numpy() for i in range(3))
+        for batch in parts:
+            key, content, place, known = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(4))
+            if known.any():
+                yield pa.RecordBatch.from_arrays([pa.array(content[known]), pa.array(place[known])], ["content", "place"])
+                key, content, place = key[~known], content[~known], place[~known]
             if not len(key):
                 continue
             if last is not None:
@@ -193,7 +202,7 @@ def _places(docs: DataFrame, size: int, k: int) -> DataFrame:
             if out.any():
                 yield pa.RecordBatch.from_arrays([pa.array(content[out]), pa.array(place[out].astype(np.int32))], ["content", "place"])
 
-    keys = docs.where("doc_id is not null").mapInArrow(emit, "key long, content long, place int")
+    keys = docs.where("doc_id is not null").mapInArrow(emit, "key long, content long, place int, known boolean")
     found = keys.repartition("key").sortWithinPartitions("key", "content", "place").mapInArrow(repeated, "content long, place int")
     return found.groupBy("content").agg(F.sort_array(F.collect_list("place")).alias("places"))  # places of one document
 
@@ -204,9 +213,9 @@ def _segments(texts: DataFrame, size: int, k: int) -> DataFrame:
     A segment that the task has met at an earlier place is only reported as a repeat, without words, under a key of its document: so a hot passage leaves each task once.
     """
 
-    def run(batches):
+    def run(parts):
         hashes, seen = WordHashes(), {}
-        for batch in batches:
+        for batch in parts:
             out, n = [], 0
             for key, raw, content, places in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist(), batch.column(3)):
                 words = raw.as_py().split()
@@ -277,9 +286,9 @@ def _removed(segments: DataFrame, size: int, flush: int) -> DataFrame:
             out.append((key, content, first, first + b - a - 1 + size))
         yield rows(out)
 
-    def run(batches):
+    def run(parts):
         held, words, last, current = [], 0, None, None
-        for batch in batches:
+        for batch in parts:
             repeats = []
             columns = [batch.column(i).to_pylist() for i in range(7)]
             for key, digest, doc, content, start, end, text in zip(*columns):
@@ -303,8 +312,8 @@ def _removed(segments: DataFrame, size: int, flush: int) -> DataFrame:
 def _kept(texts: DataFrame) -> DataFrame:
     """(doc_id, content, n_removed, kept) of documents with content and spans."""
 
-    def run(batches):
-        for batch in batches:
+    def run(parts):
+        for batch in parts:
             out = []
             for key, raw, content, spans in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist(), batch.column(3).to_pylist()):
                 words = raw.as_py().split()
@@ -325,7 +334,7 @@ def _kept(texts: DataFrame) -> DataFrame:
 
 def dedup(docs: DataFrame, size: int = SIZE, k: int = K, flush: int = FLUSH) -> DataFrame:
     """(doc_id, n_words, n_removed, kept_sha256), one row for each row of docs."""
-    raws = docs.select(F.col("doc_id").cast("long").alias("doc_id"), utf8().alias("raw"))
+    raws = batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), utf8().alias("raw"))
     found = checkpoint(_documents(raws).groupBy("doc_id", "sha", "n_words").agg(F.count("*").alias("copies")))
     content = F.conv(F.substring(F.hex("sha"), 1, 16), 16, -10).cast("long")
     owners = found.where("doc_id is not null").groupBy("sha").agg(F.min("doc_id").alias("owner"))

@@ -14,9 +14,10 @@ import os
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import CACHE, table, utf8
+from .common import batches, table, utf8
 
 CHUNK, OVERLAP, LIMIT = 32_768, 256, 2048
+CACHE = 300_000
 NAME = "word_bpe_49k.json"
 
 
@@ -112,9 +113,9 @@ BATCH_BYTES = 4_000_000
 
 
 def count(docs: DataFrame, path: str | None = None, limit: int = LIMIT, chunk: int = CHUNK, overlap: int = OVERLAP) -> DataFrame:
-    def run(batches):
+    def run(parts):
         counter = Counter(load(path=path), chunk, overlap)
-        for batch in batches:
+        for batch in parts:
             keys, raws = batch.column(0), batch.column(1)
             at = 0
             while at < batch.num_rows or not batch.num_rows:
@@ -129,7 +130,7 @@ def count(docs: DataFrame, path: str | None = None, limit: int = LIMIT, chunk: i
                 if not batch.num_rows:
                     break
 
-    return docs.select(docs["doc_id"].cast("long").alias("doc_id"), utf8().alias("raw")).mapInArrow(run, SCHEMA)
+    return batches(docs).select(docs["doc_id"].cast("long").alias("doc_id"), utf8().alias("raw")).mapInArrow(run, SCHEMA)
 
 
 def query(spark, sf_dir):
