@@ -4,8 +4,8 @@ Sets of hashed word n-grams link when den * overlap >= num * union. The join is
 
 1. Documents with equal sets are one class; links are sought between classes only.
 2. Blocking loses no link. Sets are put in size classes, whose bounds grow by half; a set also enters the next class if a partner could be there. Two linked sets of a class differ in at most D elements. Elements are dealt by hash to D + T parts: then at least T parts hold the same in both, so that a set with fewer than T empty parts shares a part that is not empty (sets with T or more also emit their empty parts). Each part is a key. Keys are shuffled and sorted; a task reads each key's classes as a stream and ties them to the first one.
-3. Connected components of these ties are candidate groups.
-4. In each candidate group a signature tree is built: its nodes hold the OR of their members' bitmaps and the range of their sizes. A dual traversal of node pairs drops those whose sizes don't match or whose largest possible overlap is too small, and those that are already known to be connected; what is left is compared element by element. Groups of more than GROUP classes are dealt to blocks, and each pair of blocks is a task of its own.
+3. A signature tree is built over the classes tied to one first class: its nodes hold the OR of their members' bitmaps and the range of their sizes. A dual traversal of node pairs drops those whose sizes don't match or whose largest possible overlap is too small, and those that are already known to be connected. Only bitmaps are shuffled here; what is left keeps passages that many documents share from tying these together.
+4. Connected components of what is left are candidate groups. Their sets are brought together, a signature tree is built over each group in the same way, and pairs that its traversal leaves are compared element by element. In either step, groups of more than GROUP (BUNDLE) classes are dealt to blocks, and each pair of blocks is a group of its own.
 5. Components of the links found are the answer.
 
 Null or empty text, or text without words: an empty set, linked with nothing, a component of its own. Fewer words than n: the whole sequence is the one element. Repeated rows: equal sets, linked. Null doc_id: takes part; a component's id is its smallest doc_id that isn't null. Empty table: no rows. Other columns are not read by the join; one_of_each returns them as they are.
@@ -24,8 +24,8 @@ from pyspark.sql import functions as F
 from .common import U64, WordHashes, batches, checkpoint, components, grams, groups, mix, signed, table, utf8
 
 N, NUM, DEN = 3, 90, 100
-GROUP = 4096
-BITS, FAN = 4096, 16
+GROUP, BUNDLE = 4096, 32_768
+BITS, FAN = 2048, 16
 _SALT = U64(0xD6E8FEB86659FD93)
 
 
@@ -106,20 +106,24 @@ class Union(dict):
             self[max(a, b)] = min(a, b)
 
 
+def bitmap(elements: np.ndarray) -> np.ndarray:
+    bits = np.zeros(BITS, np.uint8)
+    bits[(elements % U64(BITS)).astype(np.int64)] = 1
+    return np.packbits(bits, bitorder="little").view(U64)
+
+
 class SignatureTree:
-    """Nodes over sets in order of size: bitmaps (OR), smallest and largest size, level by level; FAN children each."""
+    """Nodes over sets in order of size: bitmaps (OR), smallest and largest size, level by level; FAN children each.
+
+    With sets, pairs are linked if these are; without, if bitmaps and sizes allow it.
+    """
 
-    def __init__(self, sets: list[np.ndarray], num: int, den: int):
+    def __init__(self, maps: np.ndarray, sizes: np.ndarray, num: int, den: int, sets: list[np.ndarray] | None = None):
         self.num, self.den = num, den
-        order = sorted(range(len(sets)), key=lambda i: (len(sets[i]), sets[i][:1].tolist()))
-        self.ids = order
-        self.sets = [sets[i] for i in order]
-        sizes = np.array([len(s) for s in self.sets])
-        maps = np.zeros((len(sets), BITS // 64), U64)
-        for i, s in enumerate(self.sets):
-            bits = np.zeros(BITS, np.uint8)
-            bits[(s % U64(BITS)).astype(np.int64)] = 1
-            maps[i] = np.packbits(bits, bitorder="little").view(U64)
+        self.ids = np.lexsort((maps[:, 0], sizes)).tolist()
+        maps, sizes = maps[self.ids], sizes[self.ids].astype(np.int64)
+        self.n = len(sizes)
+        self.sets = sets and [sets[i] for i in self.ids]
         self.spare = sizes - np.bitwise_count(maps).sum(1)  # elements that share a bit
         self.levels = [(maps, sizes, sizes)]
         while len(self.levels[-1][0]) > 1:
@@ -137,11 +141,11 @@ class SignatureTree:
     def _one(self, level: int, a: int, b: int) -> bool:
         """All members of both nodes are known to be connected."""
         span = FAN**level
-        roots = {self.links.find(i) for x in ((a, b) if a != b else (a,)) for i in range(x * span, min((x + 1) * span, len(self.sets)))}
+        roots = {self.links.find(i) for x in ((a, b) if a != b else (a,)) for i in range(x * span, min((x + 1) * span, self.n))}
         return len(roots) == 1
 
     def join(self) -> Union:
-        if len(self.sets) > 1:
+        if self.n > 1:
             self._pair(len(self.levels) - 1, 0, 0)
         return self.links
 
@@ -181,21 +185,23 @@ class SignatureTree:
 
     def linked(self, i: int, j: int) -> bool:
         self.compared += 1
+        if self.sets is None:
+            return True
         a, b = self.sets[i], self.sets[j]
         overlap = len(np.intersect1d(a, b, assume_unique=True))
         return overlap * self.den >= self.num * (len(a) + len(b) - overlap)
 
 
 def _sets(docs: DataFrame, n: int) -> DataFrame:
-    """(doc_id, n_shingles, h): h is the hash of the set, null for an empty one."""
+    """(doc_id, n_shingles, h, bits): h is the hash of the set, null for an empty one."""
 
     def run(parts):
         hashes = WordHashes()
         for batch in parts:
             found = [shingles(x.as_py(), n, hashes) for x in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(s) for s in found], pa.int64()), pa.array([set_hash(s) if len(s) else None for s in found], pa.int64())], ["doc_id", "n_shingles", "h"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(s) for s in found], pa.int64()), pa.array([set_hash(s) if len(s) else None for s in found], pa.int64()), pa.array([bitmap(s).tobytes() for s in found], pa.binary())], ["doc_id", "n_shingles", "h", "bits"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), utf8().alias("raw")).mapInArrow(run, "doc_id long, n_shingles long, h long")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), utf8().alias("raw")).mapInArrow(run, "doc_id long, n_shingles long, h long, bits binary")
 
 
 def _ties(docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
@@ -240,12 +246,40 @@ def _ties(docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
     return keys.repartition("key").sortWithinPartitions("key", "h").mapInArrow(tie, "a long, b long").distinct()
 
 
-def join(docs: DataFrame, n: int = N, num: int = NUM, den: int = DEN, group: int = GROUP) -> DataFrame:
+def _spanning(tree: SignatureTree, names: list[int]):
+    """Links from each set to the first one of its component."""
+    links = tree.join()
+    out = [(names[tree.ids[i]], names[tree.ids[links.find(i)]]) for i in range(len(names))]
+    out = [x for x in out if x[0] != x[1]]
+    if out:
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], ["a", "b"])
+
+
+def _refined(ties: DataFrame, classes: DataFrame, num: int, den: int, bundle: int) -> DataFrame:
+    """Ties (a, b) that bitmaps and sizes allow."""
+    members = ties.select(F.col("b").alias("first"), F.col("a").alias("h")).union(ties.select(F.col("b").alias("first"), F.col("b").alias("h")).distinct())
+    blocks = members.groupBy("first").agg(F.ceil(F.count("*") / bundle).cast("int").alias("blocks"))
+    dealt = members.join(blocks, "first").join(classes.select("h", "n", "bits"), "h")
+    own, i = F.pmod("h", "blocks").cast("int"), F.col("i")
+    dealt = dealt.withColumn("i", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select("first", (F.least(own, i) * F.col("blocks") + F.greatest(own, i)).alias("block"), "h", "n", "bits")
+
+    def refine(parts):
+        for _, rows in groups(parts, ["first", "block"]):
+            names = rows["h"].to_pylist()
+            maps = np.frombuffer(b"".join(rows["bits"].to_pylist()), U64).reshape(len(names), -1)
+            yield from _spanning(SignatureTree(maps, rows["n"].to_numpy(), num, den), names)
+
+    return dealt.repartition("first", "block").sortWithinPartitions("first", "block", "h").mapInArrow(refine, "a long, b long")
+
+
+def join(docs: DataFrame, n: int = N, num: int = NUM, den: int = DEN, group: int = GROUP, bundle: int = BUNDLE) -> DataFrame:
     """(doc_id, n_shingles, component_id) of documents that link when den * overlap >= num * union."""
     docs = batches(docs)
     sets = checkpoint(_sets(docs.select("doc_id", "text"), n))
-    candidates = components(_ties(docs, n, num, den))
-    classes = sets.where("h is not null").groupBy("h").agg(F.min("doc_id").alias("first"), F.min(F.coalesce("doc_id", F.lit(-(2**63)))).alias("any"))
+    classes = sets.where("h is not null").groupBy("h").agg(F.min("doc_id").alias("first"), F.min(F.coalesce("doc_id", F.lit(-(2**63)))).alias("any"), F.min("n_shingles").alias("n"), F.min("bits").alias("bits"))
+    ties = checkpoint(_ties(docs, n, num, den))
+    candidates = components(_refined(ties, classes, num, den, bundle))
+    classes = classes.select("h", "first", "any")
     sizes = candidates.groupBy("component").count()
     wanted = candidates.join(sizes, "component").select(F.col("node").alias("h"), "component", F.ceil(F.col("count") / group).cast("int").alias("blocks"))
     wanted = wanted.join(classes, "h").select(F.coalesce("first", "any").alias("doc_id"), F.col("h").alias("want"), "component", "blocks")
@@ -265,13 +299,8 @@ def join(docs: DataFrame, n: int = N, num: int = NUM, den: int = DEN, group: int
     def link(parts):
         for _, rows in groups(parts, ["component", "block"]):
             found = dict(zip(rows["h"].to_pylist(), rows["elements"].to_pylist()))
-            names = list(found)
-            tree = SignatureTree([np.frombuffer(x, U64) for x in found.values()], num, den)
-            links = tree.join()
-            out = [(names[tree.ids[i]], names[tree.ids[links.find(i)]]) for i in range(len(names))]
-            out = [x for x in out if x[0] != x[1]]
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], ["a", "b"])
+            own = [np.frombuffer(x, U64) for x in found.values()]
+            yield from _spanning(SignatureTree(np.stack([bitmap(x) for x in own]), np.array([len(x) for x in own]), num, den, own), list(found))
 
     raws = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63))).alias("doc_id"), utf8().alias("raw"))
     texts = raws.join(wanted, "doc_id").select("raw", "want", "component", "blocks")
