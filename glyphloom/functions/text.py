@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from .unicode import ARABIC, LATIN, MARKS, SPACE, TATWEEL, ZWNJ, ranges
 
@@ -68,7 +69,7 @@ def normalize_label(c: Column, profile: str = "conservative_sorani", marks: bool
     return blanks(c)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def _unescape(texts):
     import html
 

@@ -1,4 +1,436 @@
-"""Queries over the supplied tables, with equivalent SQL."""
+"""Queries over the supplied tables, with equivalent SQL for DuckDB.
 
+Texts get Arabic letters, marks and invisible characters by a fixed translation where a query is about them: the tables have none.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..functions import text as T
+from ..functions import unicode as U
+from ..functions.draws import SEED, sql_uniform, uniform
+from ..operators import fonts, sheets, units
+
+FROM = "abcdefghijklmnopqrstuvwz.,!"
+TO = "ابتديفكهىجکلمنـپقرسطو\u064e\u200c\u200e\u0670\t\u00a0"
 QUERIES: dict = {}
 ORACLES: dict = {}
+SP, AL, JOIN, CF, MARKS, ARABIC = U.ranges(U.SPACE), U.ranges("AL"), U.ranges("JOIN"), U.ranges("Cf"), U.ranges(U.MARKS), U.ranges(U.ARABIC)
+
+
+def query(sql: str | None = None):
+    def add(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLES[f.__name__] = sql
+        return f
+
+    return add
+
+
+def _t(spark, sf_dir, name):
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def _docs(spark, sf_dir):
+    return _t(spark, sf_dir, "documents")
+
+
+def _arabic(spark, sf_dir):
+    return _docs(spark, sf_dir).select("doc_id", F.translate(F.lower("text"), FROM, TO).alias("t"))
+
+
+A_SQL = f"a AS (SELECT doc_id, translate(lower(text), '{FROM}', '{TO}') AS t FROM documents)"
+
+
+def _strip(x: str) -> str:
+    return f"regexp_replace(regexp_replace({x}, '^[{SP}]+', ''), '[{SP}]+$', '')"
+
+
+def _blanks(x: str) -> str:
+    return _strip(f"regexp_replace(regexp_replace({x}, '[ \\t\\r\\f\\x0B]+', ' ', 'g'), '\\n{{3,}}', chr(10) || chr(10), 'g')")
+
+
+def _drop(x: str, ranges: str) -> str:
+    return f"regexp_replace({x}, '[{ranges}]', '', 'g')"
+
+
+@query(f"WITH {A_SQL} SELECT doc_id, {_blanks('replace(translate(' + _drop(_drop('replace(t, chr(1600), chr(45))', MARKS), CF) + ', chr(1603) || chr(1609), chr(1705) || chr(1740)), chr(8204), chr(0)[1:0])')} AS label FROM a")
+def normalize_labels(spark, sf_dir):
+    """Marks, invisible characters, letters and blanks; tatweels, which have a query of their own, are dashes beforehand."""
+    c = F.replace(F.col("t"), F.lit(U.TATWEEL), F.lit("-"))
+    return _arabic(spark, sf_dir).select("doc_id", T.normalize_label(c, marks=True, zwnj=True).alias("label"))
+
+
+_CHARS = f"""{A_SQL}, p AS (SELECT doc_id, unnest(range(1, length(t) + 1)) AS i, t FROM a), c AS (SELECT doc_id, i, substr(t, i::INT, 1) AS c FROM p),
+k AS (SELECT *, CASE WHEN NOT regexp_full_match(c, '[\\p{{M}}\\x{{640}}]') THEN c END AS b FROM c),
+w AS (SELECT *, last_value(b IGNORE NULLS) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS p,
+  first_value(b IGNORE NULLS) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS n FROM k)"""
+
+
+@query(f"""WITH {_CHARS} SELECT doc_id, string_agg(CASE WHEN c <> chr(1600) THEN c WHEN coalesce(regexp_full_match(n, '[{AL}]'), false) THEN ''
+ WHEN coalesce(regexp_full_match(p, '[{JOIN}]'), false) THEN c ELSE '-' END, '' ORDER BY i) AS label FROM w GROUP BY doc_id""")
+def tatweel_context(spark, sf_dir):
+    return _arabic(spark, sf_dir).where("t <> ''").select("doc_id", T.tatweel(F.col("t")).alias("label"))
+
+
+@query(f"""WITH {_CHARS} SELECT doc_id, string_agg(CASE WHEN c = chr(1610) AND coalesce(regexp_full_match(n, '[{AL}]'), false) THEN chr(1740) ELSE c END, '' ORDER BY i) AS label FROM w GROUP BY doc_id""")
+def yeh_nonfinal(spark, sf_dir):
+    return _arabic(spark, sf_dir).where("t <> ''").select("doc_id", T.yeh_nonfinal(F.col("t")).alias("label"))
+
+
+@query(f"WITH {A_SQL} SELECT doc_id, {_drop('t', MARKS)} AS label FROM a")
+def strip_marks(spark, sf_dir):
+    return _arabic(spark, sf_dir).select("doc_id", T.strip_marks(F.col("t")).alias("label"))
+
+
+@query(f"WITH {A_SQL} SELECT doc_id, replace(t, chr(8204), '') AS label FROM a")
+def drop_zwnj(spark, sf_dir):
+    return _arabic(spark, sf_dir).select("doc_id", T.drop_zwnj(F.col("t")).alias("label"))
+
+
+_ENT = "replace(replace(replace(replace(html, '&middot;', chr(183)), '&copy;', chr(169)), '&quot;', chr(34)), '&amp;', '&')"
+
+
+@query("SELECT page_id, " + _blanks(_drop(f"regexp_replace(regexp_replace({_ENT}, '(?i)</(p|div|br|li|h[1-6]|article|section|blockquote)>', chr(10), 'g'), '<[^>]+>', ' ', 'g')", CF)) + " AS label FROM pages")
+def html_to_text(spark, sf_dir):
+    return _t(spark, sf_dir, "pages").select("page_id", T.clean_html(F.col("html")).alias("label"))
+
+
+_WIKI = "'{{x {{y}} z}} ' || replace(replace(text, ' the ', ' [[page|the]] '), ' de ', ' <ref>de</ref> ''''''de'''''' [[de]] ')"
+
+
+@query("SELECT doc_id, " + _blanks(_drop(f"regexp_replace(regexp_replace(regexp_replace(regexp_replace({_WIKI}, '\\{{\\{{[^{{}}]*\\}}\\}}', ' ', 'g'), '\\[\\[(?:[^|\\]]*\\|)?([^\\]]+)\\]\\]', '\\1', 'g'), '<[^>]+>', ' ', 'g'), '''''+', '', 'g')", CF)) + " AS label FROM documents")
+def wikitext_to_text(spark, sf_dir):
+    c = F.concat(F.lit("{{x {{y}} z}} "), F.replace(F.replace(F.col("text"), F.lit(" the "), F.lit(" [[page|the]] ")), F.lit(" de "), F.lit(" <ref>de</ref> '''de''' [[de]] ")))
+    return _docs(spark, sf_dir).select("doc_id", T.clean_wikitext(c).alias("label"))
+
+
+_KEY = "replace(lower(" + _strip(f"regexp_replace(b, '[{SP}]+', ' ', 'g')") + "), 'ß', 'ss')"
+
+
+@query(f"""WITH x AS (SELECT conv_id, turn, {_blanks(_drop("text", CF))} AS b FROM conversations WHERE turn IN (0, 1, 2)), y AS (
+ SELECT conv_id, unnest([0, 1]) AS again, turn, b FROM x), z AS (SELECT *, {_KEY} AS k, row_number() OVER (PARTITION BY conv_id, {_KEY} ORDER BY again, turn) AS n FROM y)
+ SELECT conv_id, coalesce(string_agg(b, chr(10) || chr(10) ORDER BY again, turn) FILTER (WHERE n = 1 AND k <> ''), '') AS label FROM z GROUP BY conv_id""")
+def join_unique_blocks(spark, sf_dir):
+    """The first three turns, twice each, so that there is something to drop."""
+    turns = _t(spark, sf_dir, "conversations").where("turn IN (0, 1, 2)").groupBy("conv_id").agg(F.transform(F.sort_array(F.collect_list(F.struct("turn", "text"))), lambda x: x["text"]).alias("b"))
+    return turns.select("conv_id", T.join_unique_blocks(F.concat("b", "b"), profile="none").alias("label"))
+
+
+@query("""SELECT doc_id, CASE WHEN doc_id % 3 <> 0 AND doc_id <> 0 THEN doc_id::VARCHAR ELSE 'u' || doc_id END AS id, CASE doc_id % 4 WHEN 0 THEN source WHEN 1 THEN lang ELSE NULL END AS title FROM documents""")
+def field_pick(spark, sf_dir):
+    """The first truthy field of JSON records whose fields rotate: empty, zero and null ones are skipped."""
+    from ..sources.jsonl import pick
+
+    i = F.col("doc_id")
+    record = F.to_json(F.struct(F.when(i % 3 == 0, F.lit(0)).otherwise(i).alias("id"), F.concat(F.lit("u"), i.cast("string")).alias("uuid"), F.when(i % 4 == 0, F.col("source")).otherwise(F.lit("")).alias("title"), F.when(i % 4 == 1, F.col("lang")).alias("headline")))
+    rows = _docs(spark, sf_dir).select("doc_id", F.try_parse_json(record).alias("v"))
+    return rows.select("doc_id", pick(F.col("v"), ("id", "uuid")).alias("id"), pick(F.col("v"), ("title", "headline")).alias("title"))
+
+
+@query(f"WITH x AS (SELECT doc_id, sha1({_strip('text')}) AS doc_key, row_number() OVER (PARTITION BY sha1({_strip('text')}) ORDER BY doc_id) AS n FROM documents) SELECT doc_id, doc_key FROM x WHERE n = 1")
+def doc_dedup(spark, sf_dir):
+    docs = _docs(spark, sf_dir).select("doc_id", T.doc_key(F.col("text")).alias("doc_key"))
+    return units.first_of_each(docs, "doc_key", "doc_id")
+
+
+@query("SELECT doc_id, lang NOT IN (" + ", ".join(f"'{x}'" for x in T.SKIPPED_LANGUAGES) + ") AS outer_normaliser FROM documents")
+def lang_gate(spark, sf_dir):
+    return _docs(spark, sf_dir).select("doc_id", T.uses_outer_normaliser(F.col("lang")).alias("outer_normaliser"))
+
+
+@query("SELECT doc_id, length(text) >= 100 AS wiki, length(text) > 50 AS other FROM documents")
+def length_gates(spark, sf_dir):
+    return _docs(spark, sf_dir).select("doc_id", (F.length("text") >= 100).alias("wiki"), (F.length("text") > 50).alias("other"))
+
+
+_DIG = U.ranges("digit")
+
+
+@query(f"""WITH {A_SQL}, w AS (SELECT doc_id, unnest(string_split_regex(t, '[{SP}]+')) AS w FROM a), f AS (SELECT *, regexp_matches(w, '[{ARABIC}]') AS ar, regexp_matches(w, '[{U.LATIN}]') AS la, regexp_matches(w, '[{_DIG}]') AS di,
+ regexp_matches(w, '[^{ARABIC}{SP}]') AS ot FROM w WHERE w <> '')
+ SELECT doc_id, count(*) AS every, count(*) FILTER (WHERE ar AND NOT la) AS no_latin, count(*) FILTER (WHERE ar AND NOT la AND NOT di) AS no_digit, count(*) FILTER (WHERE ar AND NOT ot) AS pure FROM f GROUP BY doc_id""")
+def script_filter_modes(spark, sf_dir):
+    w = _arabic(spark, sf_dir).select("doc_id", F.explode(T.words(F.col("t"))).alias("w"))
+    n = lambda mode, name: F.count_if(T.passes_script(F.col("w"), mode)).alias(name)
+    return w.groupBy("doc_id").agg(n("any", "every"), n("arabic_no_latin", "no_latin"), n("arabic_no_latin_digit", "no_digit"), n("arabic_letters_marks_space", "pure"))
+
+
+_PARAS = f"""s AS (SELECT doc_id, string_split_regex(text, '{T.PARAGRAPH}') AS l FROM documents), q AS (SELECT doc_id, unnest(range(len(l))) AS para_idx, unnest(l) AS p FROM s),
+paras AS (SELECT doc_id, para_idx::INT AS para_idx, {_strip("p")} AS paragraph FROM q WHERE length({_strip("p")}) >= {units.PARAGRAPH_LEAST})"""
+
+
+@query(f"WITH {_PARAS} SELECT doc_id, para_idx, paragraph FROM paras")
+def paragraphs(spark, sf_dir):
+    return units.paragraphs(_docs(spark, sf_dir))
+
+
+def _units_sql(unit: str) -> str:
+    low, high, mode, least, most = units.UNITS[unit]
+    u = sql_uniform("doc_id || '/' || para_idx || '/' || k", "unit")
+    if low == high:
+        n = str(low)
+    else:
+        c, span = (mode - low) / (high - low), float(high - low)
+        tri = f"CASE WHEN u <= {c!r}::DOUBLE THEN {float(low)}::DOUBLE + {span}::DOUBLE * sqrt(u * {c!r}::DOUBLE) ELSE {float(high)}::DOUBLE - {span}::DOUBLE * sqrt((1.0::DOUBLE - u) * {1 - c!r}::DOUBLE) END"
+        n = f"greatest({low}, least({high}, round_even({tri}, 0)::INT))"
+    return f"""{_PARAS}, ws AS (SELECT doc_id, para_idx, [x FOR x IN string_split_regex(paragraph, '[{SP}]+') IF x <> ''] AS w FROM paras),
+ks AS (SELECT doc_id, para_idx, w, unnest(range(ceil(len(w) / {low})::BIGINT)) AS k FROM ws), ds AS (SELECT *, {u} AS u FROM ks), ns AS (SELECT *, {n} AS n FROM ds),
+ats AS (SELECT *, coalesce(sum(n) OVER (PARTITION BY doc_id, para_idx ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::INT AS pos FROM ns),
+cut AS (SELECT doc_id, para_idx, k::INT AS unit_idx, array_to_string(w[pos + 1 : pos + n], ' ') AS text, least(n, len(w) - pos)::INT AS n_words FROM ats WHERE pos < len(w)),
+units AS (SELECT *, length(text)::INT AS n_chars FROM cut WHERE length(text) BETWEEN {least} AND {most})"""
+
+
+def _units_query(unit: str):
+    def run(spark, sf_dir):
+        return units.units(_docs(spark, sf_dir), unit)
+
+    run.__name__ = f"units_{unit}"
+    return query(f"WITH {_units_sql(unit)} SELECT doc_id, para_idx, unit_idx, text, n_words, n_chars FROM units")(run)
+
+
+for _unit in units.UNITS:
+    _units_query(_unit)
+
+
+def _lines(spark, sf_dir, unit="short_phrase"):
+    return units.with_line_ids(units.units(_docs(spark, sf_dir), unit).select("doc_id", "para_idx", "unit_idx", "text"), "doc_id", "para_idx", "unit_idx")
+
+
+LINES_SQL = f"{_units_sql('short_phrase')}, lines AS (SELECT *, row_number() OVER (ORDER BY doc_id, para_idx, unit_idx) - 1 AS line_id FROM units)"
+
+
+@query(f"WITH {LINES_SQL} SELECT line_id, doc_id, para_idx, unit_idx FROM lines")
+def line_ids(spark, sf_dir):
+    return _lines(spark, sf_dir).select("line_id", "doc_id", "para_idx", "unit_idx")
+
+
+@query(f"WITH {LINES_SQL} SELECT line_id, text FROM lines WHERE line_id < 5000")
+def line_limit(spark, sf_dir):
+    return _lines(spark, sf_dir).where("line_id < 5000").select("line_id", "text")
+
+
+@query(f"""WITH p AS (SELECT doc_id, unnest(range(len(string_split(text, chr(10))))) AS i, unnest(string_split(text, chr(10))) AS p FROM documents), w0 AS (SELECT doc_id, i, [x FOR x IN string_split_regex(p, '[{SP}]+') IF x <> ''] AS w FROM p),
+w AS (SELECT doc_id, i, unnest(range(len(w))) AS j, unnest(w) AS w FROM w0), l AS (SELECT doc_id, i, string_agg(w, ' ' ORDER BY md5('{SEED}|' || doc_id || '|' || i || '|' || j), w) AS l FROM w GROUP BY doc_id, i)
+SELECT d.doc_id, coalesce(string_agg(l, chr(10) || chr(10) ORDER BY i), '') AS label FROM documents d LEFT JOIN l USING (doc_id) GROUP BY d.doc_id""")
+def word_shuffle(spark, sf_dir):
+    return _docs(spark, sf_dir).select("doc_id", units.shuffled_words(F.col("text"), F.col("doc_id")).alias("label"))
+
+
+@query(f"""WITH g AS (SELECT doc_id, source, sum(-ln(1.0::DOUBLE - {sql_uniform("doc_id", "gap")})) OVER (PARTITION BY source ORDER BY doc_id ROWS UNBOUNDED PRECEDING) AS arrival FROM documents)
+SELECT doc_id, source, row_number() OVER (ORDER BY round(arrival, 9), doc_id) - 1 AS place FROM g""")
+def interleave_sources(spark, sf_dir):
+    found = units.interleave(_docs(spark, sf_dir).select("doc_id", "source")).withColumn("arrival", F.round("arrival", 9))
+    return units.with_line_ids(found, "arrival", "doc_id", name="place").select("doc_id", "source", "place")
+
+
+_PATHS = "paths AS (SELECT DISTINCT p_brand || '/' || p_name || CASE p_size % 3 WHEN 0 THEN '-Bold.ttf' WHEN 1 THEN ' Regular.ttf' ELSE '_Light-Italic.otf' END AS path FROM part)"
+
+
+def _paths(spark, sf_dir):
+    end = F.when(F.col("p_size") % 3 == 0, "-Bold.ttf").when(F.col("p_size") % 3 == 1, " Regular.ttf").otherwise("_Light-Italic.otf")
+    return _t(spark, sf_dir, "part").select(F.concat("p_brand", F.lit("/"), "p_name", end).alias("path")).distinct()
+
+
+_NOT = ", ".join(f"'{x}'" for x in (*fonts.STYLES, *fonts.VENDORS))
+_FAM = f"""{_PATHS}, bare AS (SELECT path, regexp_replace(path, '\\.[^./]*$', '') AS b FROM paths), tok AS (SELECT path, b, [x FOR x IN string_split_regex(lower(string_split(b, '/')[-1]), '[^0-9a-z]+') IF x <> '' AND x NOT IN ({_NOT})] AS own,
+ [x FOR x IN string_split_regex(lower(b), '[^0-9a-z]+') IF x <> '' AND x NOT IN ({_NOT})] AS every FROM bare), fam AS (SELECT path, CASE WHEN len(own) > 0 THEN array_to_string(own, '_') WHEN len(every) > 0 THEN array_to_string(every[-2:], '_')
+ ELSE regexp_replace(lower(string_split(b, '/')[-1]), '[^0-9a-z_-]+', '_', 'g') END AS k FROM tok), families AS (SELECT path, CASE WHEN trim(k, '_') = '' THEN 'font' ELSE trim(k, '_') END AS family FROM fam),
+pool AS (SELECT family, path, (dense_rank() OVER (ORDER BY family) - 1)::INT AS family_idx, (row_number() OVER (PARTITION BY family ORDER BY path) - 1)::INT AS variant_idx, count(*) OVER (PARTITION BY family) AS n_variants FROM families)"""
+
+
+@query(f"WITH {_FAM} SELECT path, family FROM families")
+def font_family_keys(spark, sf_dir):
+    return _paths(spark, sf_dir).select("path", fonts.family_key(F.col("path")).alias("family"))
+
+
+@query(f"WITH {_FAM} SELECT family, path, family_idx, variant_idx, n_variants FROM pool")
+def font_pool(spark, sf_dir):
+    return fonts.pool(_paths(spark, sf_dir)).select("family", "path", "family_idx", "variant_idx", "n_variants")
+
+
+_ASSIGN = f"""{LINES_SQL}, {_FAM}, nf AS (SELECT count(DISTINCT family) AS nf FROM pool), c1 AS (SELECT line_id, text, floor({sql_uniform("line_id", "family")} * nf)::INT AS family_idx, {sql_uniform("line_id", "variant")} AS v FROM lines, nf),
+fs AS (SELECT DISTINCT family_idx, n_variants FROM pool), c2 AS (SELECT c1.*, floor(v * n_variants)::INT AS variant_idx FROM c1 JOIN fs USING (family_idx))"""
+
+
+@query(f"WITH {_ASSIGN} SELECT line_id, family AS font_family, path AS font_path FROM c2 JOIN pool USING (family_idx, variant_idx)")
+def font_assign(spark, sf_dir):
+    return fonts.assign(_lines(spark, sf_dir).select("line_id"), fonts.pool(_paths(spark, sf_dir))).select("line_id", "font_family", "font_path")
+
+
+@query("WITH x AS (SELECT p_partkey, p_brand, row_number() OVER (PARTITION BY sha1('1000' || p_brand) ORDER BY lpad(p_partkey::VARCHAR, 9, '0')) AS n FROM part) SELECT p_partkey, sha1('1000' || p_brand) AS identity FROM x WHERE n = 1")
+def font_dedup(spark, sf_dir):
+    files = _t(spark, sf_dir, "part").select("p_partkey", F.lpad(F.col("p_partkey").cast("string"), 9, "0").alias("path"), F.lit(1000).alias("size"), F.col("p_brand").cast("binary").alias("content"))
+    return fonts.dedup(files).select("p_partkey", "identity")
+
+
+_LABELS = f"lab0 AS (SELECT item_id, {_blanks('text')} AS label FROM benchmark), lab AS (SELECT label, min(item_id) AS item_id FROM lab0 WHERE label <> '' GROUP BY label)"
+
+
+def _labels(spark, sf_dir):
+    rows = _t(spark, sf_dir, "benchmark").select("item_id", T.normalize_label(F.col("text"), profile="none").alias("label")).where("label <> ''")
+    return units.first_of_each(rows, "label", "item_id")
+
+
+@query(f"WITH {_LABELS}, r AS (SELECT label, item_id, unnest([0, 1, 2])::INT AS repeat_idx FROM lab) SELECT row_number() OVER (ORDER BY item_id, repeat_idx) - 1 AS line_id, item_id, repeat_idx, label FROM r")
+def label_tasks(spark, sf_dir):
+    rows = _labels(spark, sf_dir).withColumn("repeat_idx", F.explode(F.sequence(F.lit(0), F.lit(2))))
+    return units.with_line_ids(rows, "item_id", "repeat_idx").select("line_id", "item_id", "repeat_idx", "label")
+
+
+@query(f"WITH {_LABELS} SELECT row_number() OVER (ORDER BY {sql_uniform('item_id', 'shuffle', SEED + 31337)}, item_id) - 1 AS place, item_id FROM lab")
+def label_shuffle(spark, sf_dir):
+    rows = _labels(spark, sf_dir).select("item_id", uniform(F.col("item_id"), "shuffle", SEED + 31337).alias("u"))
+    return units.with_line_ids(rows, "u", "item_id", name="place").select("place", "item_id")
+
+
+@query(f"WITH {_LABELS} SELECT (SELECT count(*) FROM benchmark) AS raw, (SELECT count(*) FROM lab0 WHERE label = '') AS empty, (SELECT count(*) FROM lab0 WHERE label <> '') - (SELECT count(*) FROM lab) AS duplicates, (SELECT count(*) FROM lab) AS accepted")
+def label_counters(spark, sf_dir):
+    rows = _t(spark, sf_dir, "benchmark").select(T.normalize_label(F.col("text"), profile="none").alias("label"))
+    n = rows.groupBy("label").count().agg(F.sum("count").alias("raw"), F.coalesce(F.sum(F.when(F.col("label") == "", F.col("count"))), F.lit(0)).alias("empty"), F.count_if(F.col("label") != "").alias("accepted"))
+    return n.select("raw", "empty", (F.col("raw") - F.col("empty") - F.col("accepted")).alias("duplicates"), "accepted")
+
+
+def _pick(u: str, values: list) -> str:
+    return f"[{', '.join(repr(v) for v in values)}][floor({u} * {len(values)})::INT + 1]"
+
+
+def _int(u: str, low, high) -> str:
+    return f"({low} + floor({u} * (({high}) - ({low}) + 1)))::INT"
+
+
+def _page(tag: str) -> str:
+    return sql_uniform("page_id", tag)
+
+
+def _line(tag: str) -> str:
+    return sql_uniform("line_id", tag)
+
+
+def _sheets_sql(size: int) -> str:
+    return f"""{LINES_SQL}, pg AS (SELECT line_id, text, line_id // {size} AS page_id, (line_id % {size})::INT AS sheet_line_index, count(*) OVER (PARTITION BY line_id // {size})::INT AS n_lines FROM lines),
+d0 AS (SELECT *, {_pick(_page("width"), sheets.WIDTHS)}::INT AS sheet_width, {_pick(_page("row"), sheets.ROW_HEIGHTS)}::INT AS rh, {_int(_page("pad_x"), 16, 28)} AS pad_x, {_int(_page("pad_y"), 8, 14)} AS pad_y, {_int(_page("gap"), 6, 10)} AS g0,
+ {_pick(_page("paper"), sheets.PAPERS)} AS paper, {_pick(_page("color"), sheets.INKS)} AS color FROM pg),
+d1 AS (SELECT *, least(g0 - 4, ceil(greatest(0, n_lines * (rh + g0) + g0 - 16000) / (n_lines + 1))::INT) AS k1 FROM d0), d2 AS (SELECT *, g0 - k1 AS gap FROM d1),
+d3 AS (SELECT *, least((rh - 42) // 2, ceil(greatest(0, n_lines * (rh + gap) + gap - 16000) / (n_lines * 2))::INT) AS k2 FROM d2),
+d4 AS (SELECT *, (rh - 2 * k2)::INT AS row_height, k1 > 0 OR k2 > 0 AS compacted FROM d3), sh AS (SELECT *, greatest(64, n_lines * (row_height + gap) + gap)::INT AS sheet_height FROM d4)"""
+
+
+_SHEET = ["page_id", "n_lines", "sheet_width", "sheet_height", "row_height", "gap", "pad_x", "pad_y", "compacted", "paper", "color"]
+
+
+def _sheets(spark, sf_dir, size=sheets.LINES):
+    return sheets.layout(sheets.pages(_lines(spark, sf_dir).select("line_id", "text"), size))
+
+
+@query(f"WITH {_sheets_sql(64)} SELECT DISTINCT {', '.join(_SHEET)} FROM sh")
+def sheet_layout(spark, sf_dir):
+    return _sheets(spark, sf_dir).select(*_SHEET).distinct()
+
+
+@query(f"WITH {_sheets_sql(300)} SELECT DISTINCT {', '.join(_SHEET)} FROM sh")
+def sheet_compaction(spark, sf_dir):
+    return _sheets(spark, sf_dir, 300).select(*_SHEET).distinct()
+
+
+def _gated(tag: str, p: float, low: float, high: float, other: float, places: int) -> str:
+    return f"CASE WHEN {_line(tag + '?')} < {p}::DOUBLE THEN round_even({low}::DOUBLE + {_line(tag)} * {high - low!r}::DOUBLE, {places}) ELSE {other}::DOUBLE END"
+
+
+_STYLE = f"""{_sheets_sql(64)}, s1 AS (SELECT *, {_int(_line("size"), 24, "greatest(24, least(40, row_height - 8))")} AS font_size, {_pick(_line("weight"), sheets.WEIGHTS)} AS css_weight FROM sh),
+s2 AS (SELECT *, {_int(_line("height"), "greatest(font_size + 6, row_height - 8)", "row_height")} AS css_line_height, {_gated("opacity", 0.08, 0.72, 0.96, 1.0, 3)} AS css_opacity, {_gated("word", 0.22, -0.8, 4.0, 0.0, 2)} AS css_word_spacing_px, {_gated("letter", 0.035, 0.05, 0.35, 0.0, 2)} AS css_letter_spacing_px FROM s1)"""
+_STYLES = ["line_id", "font_size", "css_weight", "css_line_height", "css_opacity", "css_word_spacing_px", "css_letter_spacing_px"]
+
+
+@query(f"WITH {_STYLE} SELECT {', '.join(_STYLES)} FROM s2")
+def line_style(spark, sf_dir):
+    return sheets.styles(_sheets(spark, sf_dir)).select(*_STYLES)
+
+
+@query(f"""WITH {_sheets_sql(64)}, t AS (SELECT *, gap + sheet_line_index * (row_height + gap) AS top, least(pad_y, greatest(0, gap // 2)) AS m FROM sh)
+SELECT line_id, greatest(0, top - m)::INT AS crop_top, sheet_width AS crop_right, least(sheet_height, top + row_height + m)::INT AS crop_bottom FROM t""")
+def crop_boxes(spark, sf_dir):
+    return sheets.crop_boxes(_sheets(spark, sf_dir)).select("line_id", "crop_top", "crop_right", "crop_bottom")
+
+
+_SPLIT = f"{LINES_SQL}, sp AS (SELECT line_id, text, CASE WHEN row_number() OVER (ORDER BY {_line('val')}, line_id) <= 200 THEN 'val' ELSE 'train' END AS split FROM lines)"
+
+
+@query(f"WITH {_SPLIT} SELECT line_id, split FROM sp")
+def split_exact(spark, sf_dir):
+    return units.split_exact(_lines(spark, sf_dir), 200).select("line_id", "split")
+
+
+@query(f"WITH {LINES_SQL} SELECT line_id, CASE WHEN {_line('split')} < 0.002::DOUBLE THEN 'val' ELSE 'train' END AS split FROM lines")
+def split_ratio(spark, sf_dir):
+    return units.split_ratio(_lines(spark, sf_dir), 0.002).select("line_id", "split")
+
+
+@query(f"WITH {_SPLIT} SELECT line_id, split, 'images/line_' || lpad(line_id::VARCHAR, 10, '0') || '.jpg' || chr(9) || text AS value FROM sp")
+def manifest_rows(spark, sf_dir):
+    return sheets.manifest(units.split_exact(_lines(spark, sf_dir), 200))
+
+
+@query(f"WITH {LINES_SQL} SELECT line_id, text FROM lines WHERE line_id % 3 <> 0 OR line_id > 3000")
+def resume_remaining(spark, sf_dir):
+    lines = _lines(spark, sf_dir).select("line_id", "text")
+    return units.remaining(lines, spark.range(0, 3001, 3).select(F.col("id").alias("line_id")))
+
+
+@query("SELECT count(*) FILTER (WHERE event_id % 7 <> 0) AS metadata_rows, (SELECT count(*) FROM events) AS manifest_rows, max(event_id) FILTER (WHERE event_id % 7 <> 0 AND event_id % 5 <> 0) AS max_line_id FROM events")
+def output_state(spark, sf_dir):
+    """Metadata with broken lines and bad ids, and a manifest with blank lines, made of events."""
+    e = _t(spark, sf_dir, "events").select("event_id")
+    i = F.col("event_id").cast("string")
+    metadata = e.select(F.when(F.col("event_id") % 7 == 0, F.concat(F.lit("{"), i)).when(F.col("event_id") % 5 == 0, F.lit('{"line_id": "none"}')).otherwise(F.concat(F.lit('{"line_id": '), i, F.lit("}"))).alias("value"))
+    manifest = e.select(F.explode(F.array(F.concat(F.lit("images/"), i), F.lit(" \t"))).alias("value"))
+    return units.output_state(metadata, manifest)
+
+
+@query("WITH o AS (SELECT n_name AS name, n_regionkey::VARCHAR AS value FROM nation WHERE n_nationkey < 20), n AS (SELECT n_name AS name, CASE WHEN n_nationkey % 4 = 0 THEN 'x' ELSE n_regionkey::VARCHAR END AS value FROM nation WHERE n_nationkey > 3) SELECT coalesce(o.name, n.name) AS name, o.value AS old, n.value AS new FROM o FULL JOIN n ON o.name = n.name WHERE o.value IS DISTINCT FROM n.value")
+def config_drift(spark, sf_dir):
+    n = _t(spark, sf_dir, "nation")
+    value = F.col("n_regionkey").cast("string")
+    return units.drift(n.where("n_nationkey < 20").select(F.col("n_name").alias("name"), value.alias("value")), n.where("n_nationkey > 3").select(F.col("n_name").alias("name"), F.when(F.col("n_nationkey") % 4 == 0, "x").otherwise(value).alias("value")))
+
+
+def _profile() -> str:
+    total, out = 0, "CASE"
+    for name, weight in sheets.PROFILES:
+        total += weight
+        out += f" WHEN {_line('profile')} < {total / 100}::DOUBLE THEN '{name}'"
+    return out + " END"
+
+
+def _gates() -> str:
+    bloat, rotate, sharp = "p <> 'binary_lowres_bloat'", "p NOT IN ('digital_clean', 'binary_lowres_bloat')", "p IN ('book_scan', 'overcooked_scan', 'photocopy_bleed')"
+    allowed = {"rule": "true", "rotate": rotate, "unsharp": sharp}
+    return ", ".join(f"{allowed.get(g, bloat)} AND {_line(g)} < {p}::DOUBLE AS {g}" for g, p in sheets.GATES.items())
+
+
+_PLAN = f"{LINES_SQL}, pl0 AS (SELECT line_id, {_profile()} AS p FROM lines), pl AS (SELECT line_id, p AS effective_profile, {_gates()}, CASE WHEN {_line('low_jpeg')} < 0.08::DOUBLE THEN {_int(_line('quality'), 42, 68)} ELSE {_int(_line('quality'), 62, 92)} END AS jpeg_quality FROM pl0)"
+
+
+@query(f"WITH {_PLAN} SELECT * FROM pl")
+def degradation_plan(spark, sf_dir):
+    return sheets.damage_plan(_lines(spark, sf_dir).select("line_id"))
+
+
+@query(f"WITH {_PLAN} SELECT effective_profile, count(*) AS n, count(*) FILTER (WHERE noise) AS noisy FROM pl GROUP BY 1")
+def profile_mix(spark, sf_dir):
+    return sheets.damage_plan(_lines(spark, sf_dir).select("line_id")).groupBy("effective_profile").agg(F.count("*").alias("n"), F.count_if("noise").alias("noisy"))
+
+
+@query("SELECT event_id // 100 AS part, event_type, count(*) AS sheets, sum(round(value * 1000)::BIGINT)::BIGINT AS total_ms FROM events GROUP BY 1, 2")
+def bench_rollup(spark, sf_dir):
+    e = _t(spark, sf_dir, "events").withColumn("part", F.floor(F.col("event_id") / 100))
+    return e.groupBy("part", "event_type").agg(F.count("*").alias("sheets"), F.sum(F.round(F.col("value") * 1000).cast("long")).alias("total_ms"))
+
+
+@query("SELECT user_id, sum(event_id) AS lines, round(sum(value * event_id) / sum(event_id), 4) AS per_line, round(sum(value), 4) AS per_sheet FROM events WHERE event_id > 0 GROUP BY user_id")
+def metric_merge(spark, sf_dir):
+    """Halves of split sheets: measures of lines are averaged by lines, others added."""
+    e = _t(spark, sf_dir, "events").where("event_id > 0")
+    return e.groupBy("user_id").agg(F.sum("event_id").alias("lines"), F.round(F.sum(F.col("value") * F.col("event_id")) / F.sum("event_id"), 4).alias("per_line"), F.round(F.sum("value"), 4).alias("per_sheet"))
