@@ -128,7 +128,8 @@ def search(vectors: DataFrame, every: int = EVERY, top: int = TOP, k: int = CENT
 
     asked = rows.where(F.col("vec_id") % every == 0)
     distinct = asked.groupBy("v").agg(F.min("vec_id").alias("query"))
-    sent = distinct.mapInArrow(routes, "i int, b int, q array<double>, query long, js array<int>")
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))  # small rows but long work: not to be put together by size
+    sent = distinct.repartition(tasks, "query").mapInArrow(routes, "i int, b int, q array<double>, query long, js array<int>")
 
     def rerank(left: pa.Table, right: pa.Table) -> pa.Table:
         names = pa.schema([("query", pa.int64()), ("score", pa.float64()), ("ids", pa.list_(pa.int64()))])

@@ -4,7 +4,7 @@ Sets of hashed word n-grams link when den * overlap >= num * union. The join is
 
 1. Documents with equal sets are one class; links are sought between classes only.
 2. Blocking loses no link. Sets are put in size classes, whose bounds grow by half; a set also enters the next class if a partner could be there. Two linked sets of a class differ in at most D elements. Elements are dealt by hash to D + T parts: then at least T parts hold the same in both, so that a set with fewer than T empty parts shares a part that is not empty (sets with T or more also emit their empty parts). Each part is a key. Keys are shuffled and sorted; a task reads each key's classes as a stream and ties them to the first one.
-3. A signature tree is built over the classes tied to one first class: its nodes hold the OR of their members' bitmaps and the range of their sizes. A dual traversal of node pairs drops those whose sizes don't match or whose largest possible overlap is too small, and those that are already known to be connected. Only bitmaps are shuffled here; what is left keeps passages that many documents share from tying these together.
+3. A signature tree is built over the classes tied to one first class, one size class at a time: its nodes hold the OR of their members' bitmaps and the range of their sizes. A dual traversal of node pairs drops those whose sizes don't match or whose largest possible overlap is too small, and those that are already known to be connected. Only bitmaps are shuffled here; what is left keeps passages that many documents share from tying these together.
 4. Connected components of what is left are candidate groups. Their sets are brought together, a signature tree is built over each group in the same way, and pairs that its traversal leaves are compared element by element. In either step, groups of more than GROUP (BUNDLE) classes are dealt to blocks, and each pair of blocks is a group of its own.
 5. Components of the links found are the answer.
 
@@ -25,7 +25,9 @@ from .common import U64, WordHashes, batches, checkpoint, components, grams, gro
 
 N, NUM, DEN = 3, 90, 100
 GROUP, BUNDLE = 4096, 32_768
-BITS, FAN = 2048, 16
+FAN = 16
+#: Bits of a bitmap for each element, at least: of those that are shuffled, and of those that are not.
+THIN, WIDE = 2, 8
 _SALT = U64(0xD6E8FEB86659FD93)
 
 
@@ -89,6 +91,15 @@ class Blocking:
         return np.concatenate(out) if out else np.empty(0, U64)
 
 
+    def alike(self, sizes: np.ndarray):
+        """Indices of sets by size class, with those of lower classes that could have a partner in it: linked sets are together in one of these."""
+        own = np.searchsorted(self.bounds, sizes, "right") - 1
+        for c in np.unique(own):
+            found = np.flatnonzero((own == c) | (own < c) & (sizes * self.den // self.num >= self.bounds[c]))
+            if len(found) > 1:
+                yield found
+
+
 class Union(dict):
     """Disjoint sets of numbers."""
 
@@ -106,10 +117,20 @@ class Union(dict):
             self[max(a, b)] = min(a, b)
 
 
-def bitmap(elements: np.ndarray) -> np.ndarray:
-    bits = np.zeros(BITS, np.uint8)
-    bits[(elements % U64(BITS)).astype(np.int64)] = 1
-    return np.packbits(bits, bitorder="little").view(U64)
+def width(n: int, per: int) -> int:
+    """Bits of the bitmap of n elements, a power of two."""
+    return max(1024, 1 << (n * per - 1).bit_length())
+
+
+def bitmap(elements: np.ndarray, bits: int) -> np.ndarray:
+    out = np.zeros(bits, np.uint8)
+    out[(elements & U64(bits - 1)).astype(np.int64)] = 1
+    return np.packbits(out, bitorder="little").view(U64)
+
+
+def folded(map_: np.ndarray, bits: int) -> np.ndarray:
+    """A bitmap at a smaller width."""
+    return np.bitwise_or.reduce(map_.reshape(-1, bits // 64), axis=0)
 
 
 class SignatureTree:
@@ -199,7 +220,7 @@ def _sets(docs: DataFrame, n: int) -> DataFrame:
         hashes = WordHashes()
         for batch in parts:
             found = [shingles(x.as_py(), n, hashes) for x in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(s) for s in found], pa.int64()), pa.array([set_hash(s) if len(s) else None for s in found], pa.int64()), pa.array([bitmap(s).tobytes() for s in found], pa.binary())], ["doc_id", "n_shingles", "h", "bits"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(s) for s in found], pa.int64()), pa.array([set_hash(s) if len(s) else None for s in found], pa.int64()), pa.array([bitmap(s, width(len(s), THIN)).tobytes() for s in found], pa.binary())], ["doc_id", "n_shingles", "h", "bits"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), utf8().alias("raw")).mapInArrow(run, "doc_id long, n_shingles long, h long, bits binary")
 
@@ -263,11 +284,14 @@ def _refined(ties: DataFrame, classes: DataFrame, num: int, den: int, bundle: in
     own, i = F.pmod("h", "blocks").cast("int"), F.col("i")
     dealt = dealt.withColumn("i", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select("first", (F.least(own, i) * F.col("blocks") + F.greatest(own, i)).alias("block"), "h", "n", "bits")
 
+    blocking = Blocking(num, den)
+
     def refine(parts):
         for _, rows in groups(parts, ["first", "block"]):
-            names = rows["h"].to_pylist()
-            maps = np.frombuffer(b"".join(rows["bits"].to_pylist()), U64).reshape(len(names), -1)
-            yield from _spanning(SignatureTree(maps, rows["n"].to_numpy(), num, den), names)
+            names, sizes, maps = rows["h"].to_pylist(), rows["n"].to_numpy(), [np.frombuffer(x, U64) for x in rows["bits"].to_pylist()]
+            for some in blocking.alike(sizes):
+                bits = 64 * min(len(maps[i]) for i in some)
+                yield from _spanning(SignatureTree(np.stack([folded(maps[i], bits) for i in some]), sizes[some], num, den), [names[i] for i in some])
 
     return dealt.repartition("first", "block").sortWithinPartitions("first", "block", "h").mapInArrow(refine, "a long, b long")
 
@@ -284,6 +308,8 @@ def join(docs: DataFrame, n: int = N, num: int = NUM, den: int = DEN, group: int
     wanted = candidates.join(sizes, "component").select(F.col("node").alias("h"), "component", F.ceil(F.col("count") / group).cast("int").alias("blocks"))
     wanted = wanted.join(classes, "h").select(F.coalesce("first", "any").alias("doc_id"), F.col("h").alias("want"), "component", "blocks")
 
+    blocking = Blocking(num, den)
+
     def elements(parts):
         hashes = WordHashes()
         for batch in parts:
@@ -299,8 +325,11 @@ def join(docs: DataFrame, n: int = N, num: int = NUM, den: int = DEN, group: int
     def link(parts):
         for _, rows in groups(parts, ["component", "block"]):
             found = dict(zip(rows["h"].to_pylist(), rows["elements"].to_pylist()))
-            own = [np.frombuffer(x, U64) for x in found.values()]
-            yield from _spanning(SignatureTree(np.stack([bitmap(x) for x in own]), np.array([len(x) for x in own]), num, den, own), list(found))
+            names, own = list(found), [np.frombuffer(x, U64) for x in found.values()]
+            sizes = np.array([len(x) for x in own])
+            for some in blocking.alike(sizes):
+                bits = width(int(sizes[some].max()), WIDE)
+                yield from _spanning(SignatureTree(np.stack([bitmap(own[i], bits) for i in some]), sizes[some], num, den, [own[i] for i in some]), [names[i] for i in some])
 
     raws = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63))).alias("doc_id"), utf8().alias("raw"))
     texts = raws.join(wanted, "doc_id").select("raw", "want", "component", "blocks")
