@@ -336,7 +336,7 @@ def sheet_compaction(spark, sf_dir):
 
 
 def _gated(tag: str, p: float, low: float, high: float, other: float, places: int) -> str:
-    return f"CASE WHEN {_line(tag + '?')} < {p}::DOUBLE THEN round_even({low}::DOUBLE + {_line(tag)} * {high - low!r}::DOUBLE, {places}) ELSE {other}::DOUBLE END"
+    return f"CASE WHEN {_line(tag + '?')} < {p}::DOUBLE THEN round_even({low}::DOUBLE + {_line(tag)} * {high - low!r}::DOUBLE, {places}) + 0.0::DOUBLE ELSE {other}::DOUBLE END"
 
 
 _STYLE = f"""{_sheets_sql(64)}, s1 AS (SELECT *, {_int(_line("size"), 24, "greatest(24, least(40, row_height - 8))")} AS font_size, {_pick(_line("weight"), sheets.WEIGHTS)} AS css_weight FROM sh),
