@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from .unicode import ARABIC, LATIN, MARKS, SPACE, TATWEEL, ZWNJ, ranges
+from .unicode import ARABIC, LATIN, MARKS, SPACE, ZWNJ, members, ranges
 
 PROFILES = ("none", "conservative_sorani")
 MODES = ("any", "arabic_no_latin", "arabic_no_latin_digit", "arabic_letters_marks_space")
@@ -21,8 +21,7 @@ SENTINEL = 64
 
 
 def strip(c: Column) -> Column:
-    space = ranges(SPACE)
-    return F.regexp_replace(F.regexp_replace(c, f"^[{space}]+", ""), f"[{space}]+\\z", "")
+    return F.btrim(c, F.lit("".join(map(chr, members(SPACE)))))
 
 
 def tatweel(c: Column) -> Column:
