@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from .unicode import ARABIC, LATIN, MARKS, SPACE, ZWNJ, members, ranges
+from .unicode import ARABIC, LATIN, MARKS, SPACE, ZWNJ, letters, ranges
 
 PROFILES = ("none", "conservative_sorani")
 MODES = ("any", "arabic_no_latin", "arabic_no_latin_digit", "arabic_letters_marks_space")
@@ -21,7 +21,7 @@ SENTINEL = 64
 
 
 def strip(c: Column) -> Column:
-    return F.btrim(c, F.lit("".join(map(chr, members(SPACE)))))
+    return F.btrim(c, F.lit(letters(SPACE)))
 
 
 def tatweel(c: Column) -> Column:
@@ -36,7 +36,7 @@ def yeh_nonfinal(c: Column) -> Column:
 
 
 def strip_marks(c: Column) -> Column:
-    return F.regexp_replace(c, f"[{ranges(MARKS)}]", "")
+    return F.translate(c, letters(MARKS), "")
 
 
 def drop_zwnj(c: Column) -> Column:
@@ -60,7 +60,7 @@ def normalize_label(c: Column, profile: str = "conservative_sorani", marks: bool
         c = yeh_nonfinal(c)
     if marks:
         c = strip_marks(c)
-    c = F.regexp_replace(c, f"[{ranges('Cf')}]", "")
+    c = F.translate(c, letters("Cf"), "")
     if sorani:
         c = F.translate(c, "كى", "کی")
     if zwnj:
@@ -89,7 +89,7 @@ def clean_wikitext(c: Column, **options) -> Column:
 
 
 def block_key(c: Column) -> Column:
-    return F.replace(F.lower(strip(F.regexp_replace(c, f"[{ranges(SPACE)}]+", " "))), F.lit("ß"), F.lit("ss"))
+    return F.replace(F.lower(F.array_join(words(c), " ")), F.lit("ß"), F.lit("ss"))
 
 
 def join_unique_blocks(blocks: Column, **options) -> Column:
@@ -122,7 +122,9 @@ def uses_outer_normaliser(language: Column) -> Column:
 
 
 def words(c: Column) -> Column:
-    return F.filter(F.split(c, f"[{ranges(SPACE)}]+"), lambda w: w != "")
+    """Split at white space. Its other characters become blanks first: a regular expression tries each range of a class on each character."""
+    space = letters(SPACE)
+    return F.filter(F.split(F.translate(c, space, " " * len(space)), " +"), lambda w: w != "")
 
 
 def doc_key(c: Column) -> Column:

@@ -57,3 +57,8 @@ def _by(kind: str) -> tuple[str, ...]:
 def ranges(kind: str | list[str]) -> str:
     """The inside of a character class, for Java and RE2 alike; kind: M, Cf (without ZWNJ), AL, JOIN, digit, or ranges of hexadecimal points."""
     return "".join("-".join(f"\\x{{{x}}}" for x in r.split("-")) for r in (_by(kind) if isinstance(kind, str) else kind))
+
+
+def letters(kind: str | list[str]) -> str:
+    """The characters of a class one after the other, as translate and btrim take them."""
+    return "".join(map(chr, members(list(_by(kind)) if isinstance(kind, str) else kind)))

@@ -22,18 +22,18 @@ def checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def paragraphs(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, para_idx, paragraph): pieces of at least four characters."""
-    cut = docs.select(key, F.posexplode(F.split(text, T.PARAGRAPH)).alias("para_idx", "paragraph"))
+def paragraphs(docs: DataFrame, key: str = "doc_id", text: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, para_idx, paragraph): pieces of at least four characters; columns to keep follow the key."""
+    cut = docs.select(key, *keep, F.posexplode(F.split(text, T.PARAGRAPH)).alias("para_idx", "paragraph"))
     return cut.withColumn("paragraph", T.strip(F.col("paragraph"))).where(F.length("paragraph") >= PARAGRAPH_LEAST)
 
 
-def units(docs: DataFrame, unit: str = "line", script: str = "any", seed: int = SEED, key: str = "doc_id") -> DataFrame:
+def units(docs: DataFrame, unit: str = "line", script: str = "any", seed: int = SEED, key: str = "doc_id", keep: tuple[str, ...] = ()) -> DataFrame:
     """(doc_id, para_idx, unit_idx, text, n_words, n_chars): consecutive words of each paragraph, as many as drawn; units out of the bounds of length or script are dropped, and the numbers of the others stay."""
     low, high, mode, least, most = UNITS[unit]
-    rows = paragraphs(docs, key).withColumn("w", T.words(F.col("paragraph"))).where(F.size("w") > 0).drop("paragraph")
+    rows = paragraphs(docs, key, keep=keep).withColumn("w", T.words(F.col("paragraph"))).where(F.size("w") > 0).drop("paragraph")
     if high == 1:
-        cut = rows.select(key, "para_idx", F.posexplode("w").alias("unit_idx", "text")).withColumn("n_words", F.lit(1))
+        cut = rows.select(key, *keep, "para_idx", F.posexplode("w").alias("unit_idx", "text")).withColumn("n_words", F.lit(1))
     else:
         name = F.concat_ws("/", F.col(key).cast("string"), F.col("para_idx").cast("string"))
 
@@ -45,34 +45,53 @@ def units(docs: DataFrame, unit: str = "line", script: str = "any", seed: int =
         most_units = F.ceil(F.size("w") / low).cast("int")
         cuts = F.aggregate(F.sequence(F.lit(0), most_units - 1), start, step)
         rows = rows.withColumn("cuts", cuts["cuts"])
-        ends = F.transform("cuts", lambda c, i: F.struct(c.alias("a"), F.coalesce(F.get("cuts", i + 1), F.size("w")).alias("b")))
-        cut = rows.select(key, "para_idx", "w", F.posexplode(ends).alias("unit_idx", "c"))
-        cut = cut.select(key, "para_idx", "unit_idx", F.array_join(F.slice("w", F.col("c.a") + 1, F.col("c.b") - F.col("c.a")), " ").alias("text"), (F.col("c.b") - F.col("c.a")).alias("n_words"))
+        # Words are taken one by one: a slice copies the whole array, which a long paragraph would pay for at each unit.
+        end = lambda i: F.coalesce(F.get("cuts", i + 1), F.size("w"))
+        pieces = F.transform("cuts", lambda c, i: F.struct(F.array_join(F.transform(F.sequence(c, end(i) - 1), lambda k: F.get("w", k)), " ").alias("text"), (end(i) - c).alias("n_words")))
+        cut = rows.select(key, *keep, "para_idx", F.posexplode(pieces).alias("unit_idx", "c")).select(key, *keep, "para_idx", "unit_idx", "c.text", "c.n_words")
     cut = cut.withColumn("n_chars", F.length("text"))
     return cut.where(F.col("n_chars").between(least, most) & T.passes_script(F.col("text"), script))
 
 
 def with_line_ids(rows: DataFrame, *order: str, name: str = "line_id") -> DataFrame:
     """Numbers rows from 0 in that order, without bringing them to one task: sorted in ranges, with the number of rows in the ranges before added."""
-    sorted_ = checkpoint(rows.repartitionByRange(*order).sortWithinPartitions(*order))
-    counts = {r.p: r.n for r in sorted_.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).collect()}  # a row for each partition
+    return _numbered(rows.repartitionByRange(*order).sortWithinPartitions(*order), name)
+
+
+def _numbered(ordered: DataFrame, name: str) -> DataFrame:
+    """Numbers rows whose partitions follow each other and are sorted within."""
+    ordered = checkpoint(ordered)
+    counts = {r.p: r.n for r in ordered.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).collect()}  # a row for each partition
     before, total = [], 0
     for p in range(max(counts, default=-1) + 1):
         before.append(total)
         total += counts.get(p, 0)
     offsets = F.array(*[F.lit(n).cast("long") for n in before or [0]])
     place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
-    return sorted_.withColumn(name, place + F.element_at(offsets, F.spark_partition_id() + 1))
+    return ordered.withColumn(name, place + F.element_at(offsets, F.spark_partition_id() + 1))
+
+
+def numbered_units(docs: DataFrame, unit: str = "line", script: str = "any", seed: int = SEED, key: str = "doc_id", order: str | None = None) -> DataFrame:
+    """units with line_id, by document (or its `order`), paragraph and unit. Documents and not units go into ranges, so units are cut once; those of a document, or of rows that share a key, stay in one range."""
+    order = order or key
+    ranged = docs.select(*dict.fromkeys([key, order, "text"])).repartitionByRange(order, key)
+    cut = units(ranged, unit, script, seed, key) if order == key else units(ranged, unit, script, seed, key, keep=(order,))
+    return _numbered(cut.sortWithinPartitions(*dict.fromkeys([order, key, "para_idx", "unit_idx"])), "line_id")
 
 
 def interleave(docs: DataFrame, source: str = "source", key: str = "doc_id", seed: int = SEED) -> DataFrame:
     """Adds arrival: documents of each source keep their order, and the next one comes from any source that has some left, all alike.
 
-    Each source is a Poisson process of the same rate: a document's time is the sum of exponential gaps of its source up to it.
+    Each source is a Poisson process of the same rate: a document's time is the sum of exponential gaps of its source up to it. A source that holds many rows is summed up in ranges of them, each in its own task, and what the ranges before add up to is joined.
     """
     gap = -F.log(F.lit(1.0) - uniform(F.col(key), "gap", seed))
-    own = Window.partitionBy(source).orderBy(key).rowsBetween(Window.unboundedPreceding, 0)
-    return docs.withColumn("arrival", F.sum(gap).over(own))
+    ranged = checkpoint(docs.withColumn("__gap", gap).repartitionByRange(source, key).withColumn("__p", F.spark_partition_id()))
+    sums = ranged.groupBy(source, "__p").agg(F.sum("__gap").alias("s"))  # at most a row for each source and range
+    before = Window.partitionBy(source).orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)
+    sums = sums.select(F.col(source).alias("__source"), F.col("__p").alias("__range"), F.coalesce(F.sum("s").over(before), F.lit(0.0)).alias("__before"))
+    own = Window.partitionBy(source, "__p").orderBy(key).rowsBetween(Window.unboundedPreceding, 0)
+    out = ranged.withColumn("__own", F.sum("__gap").over(own)).join(sums, F.col(source).eqNullSafe(F.col("__source")) & (F.col("__p") == F.col("__range")))
+    return out.withColumn("arrival", F.col("__before") + F.col("__own")).drop("__gap", "__p", "__source", "__range", "__before", "__own")
 
 
 def split_exact(lines: DataFrame, count: int, seed: int = SEED) -> DataFrame:

@@ -196,7 +196,7 @@ for _unit in units.UNITS:
 
 
 def _lines(spark, sf_dir, unit="short_phrase"):
-    return units.with_line_ids(units.units(_docs(spark, sf_dir), unit).select("doc_id", "para_idx", "unit_idx", "text"), "doc_id", "para_idx", "unit_idx")
+    return units.numbered_units(_docs(spark, sf_dir), unit).select("line_id", "doc_id", "para_idx", "unit_idx", "text")
 
 
 LINES_SQL = f"{_units_sql('short_phrase')}, lines AS (SELECT *, row_number() OVER (ORDER BY doc_id, para_idx, unit_idx) - 1 AS line_id FROM units)"
@@ -429,8 +429,11 @@ def bench_rollup(spark, sf_dir):
     return e.groupBy("part", "event_type").agg(F.count("*").alias("sheets"), F.sum(F.round(F.col("value") * 1000).cast("long")).alias("total_ms"))
 
 
-@query("SELECT user_id, sum(event_id) AS lines, round(sum(value * event_id) / sum(event_id), 4) AS per_line, round(sum(value), 4) AS per_sheet FROM events WHERE event_id > 0 GROUP BY user_id")
+_US = "round(value * 1000000)::BIGINT"
+
+
+@query(f"SELECT user_id, sum(event_id)::BIGINT AS lines, (sum({_US} * event_id) // sum(event_id))::BIGINT AS per_line, sum({_US})::BIGINT AS per_sheet FROM events WHERE event_id > 0 GROUP BY user_id")
 def metric_merge(spark, sf_dir):
-    """Halves of split sheets: measures of lines are averaged by lines, others added."""
-    e = _t(spark, sf_dir, "events").where("event_id > 0")
-    return e.groupBy("user_id").agg(F.sum("event_id").alias("lines"), F.round(F.sum(F.col("value") * F.col("event_id")) / F.sum("event_id"), 4).alias("per_line"), F.round(F.sum("value"), 4).alias("per_sheet"))
+    """Halves of split sheets: measures of lines are averaged by lines, others added. In whole millionths, so that sums don't depend on their order."""
+    e = _t(spark, sf_dir, "events").where("event_id > 0").select("user_id", "event_id", F.round(F.col("value") * 1000000).cast("long").alias("us"))
+    return e.groupBy("user_id").agg(F.sum("event_id").alias("lines"), F.expr("sum(us * event_id) div sum(event_id)").alias("per_line"), F.sum("us").alias("per_sheet"))
