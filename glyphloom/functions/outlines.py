@@ -8,8 +8,7 @@ import unicodedata
 
 import numpy as np
 
-from .unicode import members, ranges  # noqa: F401
-from .unicode import _by as _class
+from .unicode import class_ranges, members
 
 OVER = 4
 
@@ -160,7 +159,7 @@ def _forms() -> dict[int, dict[str, int]]:
 
 @functools.cache
 def _members(kind: str) -> frozenset[int]:
-    return frozenset(members(list(_class(kind))))
+    return frozenset(members(list(class_ranges(kind))))
 
 
 def shaped(text: str) -> list[int]:
@@ -178,15 +177,18 @@ def shaped(text: str) -> list[int]:
         out[i] = forms.get({(True, True): "medial", (True, False): "final", (False, True): "initial", (False, False): "isolated"}[before, after], points[i])
     if not any(c in letters for c in points):
         return out
+    kinds = [unicodedata.bidirectional(chr(c)) for c in out]
+    strong = [i for i, k in enumerate(kinds) if k in ("L", "EN", "AN", "AL", "R")]
+    left = [k in ("L", "EN", "AN") for k in kinds]
+    for i, j in zip(strong, strong[1:], strict=False):
+        if left[i] and left[j]:
+            left[i:j] = [True] * (j - i)  # what stands between two of a run belongs to it
     runs: list[list[int]] = []
-    strong = False
-    for c in out:
-        left = unicodedata.bidirectional(chr(c)) in ("L", "EN", "AN")
-        if left and strong:
+    for i, c in enumerate(out):
+        if left[i] and i and left[i - 1]:
             runs[-1].append(c)
         else:
             runs.append([c])
-        strong = left
     return [c for run in reversed(runs) for c in run]
 
 

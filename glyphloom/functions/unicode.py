@@ -38,7 +38,7 @@ def members(ranges: list[str]) -> list[int]:
 
 
 @functools.cache
-def _by(kind: str) -> tuple[str, ...]:
+def class_ranges(kind: str) -> tuple[str, ...]:
     category = unicodedata.category
     every = range(sys.maxunicode + 1)
     if kind == "M":
@@ -48,7 +48,7 @@ def _by(kind: str) -> tuple[str, ...]:
     elif kind == "AL":
         found = [p for p in range(0x600, 0xFF00) if unicodedata.name(chr(p), "").startswith("ARABIC LETTER ") and category(chr(p))[0] != "M"]
     elif kind == "JOIN":
-        found = sorted(set(members(list(_by("AL")))) - set(members(NON_JOINING)))
+        found = sorted(set(members(list(class_ranges("AL")))) - set(members(NON_JOINING)))
     else:
         found = [p for p in every if chr(p).isdigit()]
     return tuple(spans(found))
@@ -56,9 +56,9 @@ def _by(kind: str) -> tuple[str, ...]:
 
 def ranges(kind: str | list[str]) -> str:
     """The inside of a character class, for Java and RE2 alike; kind: M, Cf (without ZWNJ), AL, JOIN, digit, or ranges of hexadecimal points."""
-    return "".join("-".join(f"\\x{{{x}}}" for x in r.split("-")) for r in (_by(kind) if isinstance(kind, str) else kind))
+    return "".join("-".join(f"\\x{{{x}}}" for x in r.split("-")) for r in (class_ranges(kind) if isinstance(kind, str) else kind))
 
 
 def letters(kind: str | list[str]) -> str:
     """The characters of a class one after the other, as translate and btrim take them."""
-    return "".join(map(chr, members(list(_by(kind)) if isinstance(kind, str) else kind)))
+    return "".join(map(chr, members(list(class_ranges(kind)) if isinstance(kind, str) else kind)))

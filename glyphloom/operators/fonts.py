@@ -49,8 +49,9 @@ def dedup(files: DataFrame) -> DataFrame:
 
 
 def pool(paths: DataFrame) -> DataFrame:
-    """(family, path, family_idx, variant_idx, n_variants) of paths: families and their files in order of name."""
-    keyed = paths.select(family_key(F.col("path")).alias("family"), "path").distinct()
+    """(family, path, family_idx, variant_idx, n_variants) of paths: families, from the path unless there is such a column, and their files in order of name."""
+    family = F.col("family") if "family" in paths.columns else family_key(F.col("path"))
+    keyed = paths.select(family.alias("family"), "path").distinct()
     out = keyed.withColumn("family_idx", F.dense_rank().over(Window.orderBy("family")) - 1)  # font files are few
     own = Window.partitionBy("family")
     return out.withColumn("variant_idx", F.row_number().over(own.orderBy("path")) - 1).withColumn("n_variants", F.count("*").over(own))

@@ -44,15 +44,15 @@ def layout(df: DataFrame, max_height: int = 16000, seed: int = SEED) -> DataFram
     return df.withColumn("sheet_height", F.greatest(F.lit(64), n * (F.col("row_height") + F.col("gap")) + F.col("gap")))
 
 
-def styles(df: DataFrame, opacity_prob: float = 0.08, word_prob: float = 0.22, letter_prob: float = 0.035, seed: int = SEED) -> DataFrame:
+def styles(df: DataFrame, opacity_prob: float = 0.08, word_prob: float = 0.22, letter_prob: float = 0.035, seed: int = SEED, word: tuple[float, float] = (-0.8, 4.0), letter: tuple[float, float] = (0.05, 0.35)) -> DataFrame:
     u = lambda tag: uniform(F.col("line_id"), tag, seed)
     gated = lambda tag, p, low, high, other, places: F.when(u(f"{tag}?") < p, F.bround(F.lit(low) + u(tag) * F.lit(high - low), places)).otherwise(F.lit(other))
     df = df.withColumn("font_size", integer(u("size"), 24, F.greatest(F.lit(24), F.least(F.lit(40), F.col("row_height") - 8))))
     df = df.withColumn("css_weight", pick(u("weight"), WEIGHTS))
     df = df.withColumn("css_line_height", integer(u("height"), F.greatest(F.col("font_size") + 6, F.col("row_height") - 8), F.col("row_height")))
     df = df.withColumn("css_opacity", gated("opacity", opacity_prob, 0.72, 0.96, 1.0, 3))
-    df = df.withColumn("css_word_spacing_px", gated("word", word_prob, -0.8, 4.0, 0.0, 2))
-    return df.withColumn("css_letter_spacing_px", gated("letter", letter_prob, 0.05, 0.35, 0.0, 2))
+    df = df.withColumn("css_word_spacing_px", gated("word", word_prob, *word, 0.0, 2))
+    return df.withColumn("css_letter_spacing_px", gated("letter", letter_prob, *letter, 0.0, 2))
 
 
 def crop_boxes(df: DataFrame) -> DataFrame:
@@ -61,7 +61,7 @@ def crop_boxes(df: DataFrame) -> DataFrame:
     return df.withColumn("crop_top", F.greatest(F.lit(0), top - margin)).withColumn("crop_right", F.col("sheet_width")).withColumn("crop_bottom", F.least(F.col("sheet_height"), top + F.col("row_height") + margin))
 
 
-def damage_plan(df: DataFrame, profile: str = "mixed", seed: int = SEED) -> DataFrame:
+def damage_plan(df: DataFrame, profile: str = "mixed", seed: int = SEED, gates: dict[str, float] = GATES, low_prob: float = LOW_JPEG, quality: tuple[int, int] = JPEG, low: tuple[int, int] = LOW_JPEG_RANGE) -> DataFrame:
     """Adds effective_profile, a boolean for each gate and jpeg_quality (null: the image isn't coded on the way)."""
     u = lambda tag: uniform(F.col("line_id"), tag, seed)
     if profile not in {*MIXED, "browser_clean", *dict(PROFILES)}:
@@ -70,16 +70,37 @@ def damage_plan(df: DataFrame, profile: str = "mixed", seed: int = SEED) -> Data
     is_ = lambda *names: F.col("effective_profile").isin(*names)
     clean, bloat = is_("browser_clean"), is_("binary_lowres_bloat")
     allowed = dict.fromkeys(("noise", "band", "shadow", "stain", "warp", "heavy_blur"), ~bloat) | {"rule": F.lit(True), "rotate": ~is_("digital_clean", "binary_lowres_bloat"), "unsharp": is_("book_scan", "overcooked_scan", "photocopy_bleed")}
-    for gate, p in GATES.items():
+    for gate, p in gates.items():
         df = df.withColumn(gate, ~clean & allowed[gate] & (u(gate) < p))
-    quality = F.when(u("low_jpeg") < LOW_JPEG, integer(u("quality"), *LOW_JPEG_RANGE)).otherwise(integer(u("quality"), *JPEG))
-    return df.withColumn("jpeg_quality", F.when(~clean, quality))
+    coded = F.when(u("low_jpeg") < low_prob, integer(u("quality"), *low)).otherwise(integer(u("quality"), *quality))
+    return df.withColumn("jpeg_quality", F.when(~clean, coded))
 
 
-def file_name(line_id: Column) -> Column:
-    return F.format_string("line_%010d.jpg", line_id)
+def crop_pads(df: DataFrame, x: tuple[int, int] = (4, 28), y: tuple[int, int] = (2, 12), seed: int = SEED) -> DataFrame:
+    """Adds crop_pad_x and crop_pad_y, what stays around the ink of a line."""
+    return df.withColumn("crop_pad_x", integer(uniform(F.col("line_id"), "crop_x", seed), *x)).withColumn("crop_pad_y", integer(uniform(F.col("line_id"), "crop_y", seed), *y))
 
 
-def manifest(df: DataFrame) -> DataFrame:
+def too_high(df: DataFrame, max_height: int = 16000) -> DataFrame:
+    """(page_id, sheet_height, suggested): sheets that stay too high at the narrowest layout, with the number of lines that would fit."""
+    fits = F.greatest(F.lit(1), F.floor(F.lit(max_height - GAP_LEAST) / (ROW_LEAST + GAP_LEAST)).cast("int"))
+    return df.where(F.col("sheet_height") > max_height).select("page_id", "sheet_height", fits.alias("suggested")).distinct()
+
+
+def file_name(line_id: Column, suffix: str = "jpg") -> Column:
+    return F.format_string(f"line_%010d.{suffix}", line_id)
+
+
+def manifest(df: DataFrame, suffix: str = "jpg") -> DataFrame:
     """(line_id, split, value): a line of the manifest of its split."""
-    return df.select("line_id", "split", F.concat(F.lit("images/"), file_name(F.col("line_id")), F.lit("\t"), F.col("text")).alias("value"))
+    return df.select("line_id", "split", F.concat(F.lit("images/"), file_name(F.col("line_id"), suffix), F.lit("\t"), F.col("text")).alias("value"))
+
+
+#: Fixed: keys of a row of metadata, in order; split follows.
+METADATA = ("filename", "text", "line_id", "font_family", "font_path", "source_path", "source_type", "label_source_index", "label_repeat_index", "degradation_profile", "image_width", "image_height", "bbox", "sheet_page_id", "sheet_line_index", "sheet_height", "sheet_row_height", "sheet_gap", "sheet_compacted_for_height", "font_size", "css_weight", "css_line_height", "css_opacity", "css_word_spacing_px", "css_letter_spacing_px", "crop_pad_x", "crop_pad_y")
+
+
+def metadata(df: DataFrame) -> DataFrame:
+    """(line_id, value): rows of metadata as JSON, nulls included; columns that the rows lack are null."""
+    cols = [F.col(c) if c in df.columns else F.lit(None).cast("string").alias(c) for c in (*METADATA, "split", "effective_profile", "render_fallback", "fallback_reason")]
+    return df.select("line_id", F.to_json(F.struct(*cols), {"ignoreNullFields": "false"}).alias("value"))

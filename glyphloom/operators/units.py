@@ -28,9 +28,9 @@ def paragraphs(docs: DataFrame, key: str = "doc_id", text: str = "text", keep: t
     return cut.withColumn("paragraph", T.strip(F.col("paragraph"))).where(F.length("paragraph") >= PARAGRAPH_LEAST)
 
 
-def units(docs: DataFrame, unit: str = "line", script: str = "any", seed: int = SEED, key: str = "doc_id", keep: tuple[str, ...] = ()) -> DataFrame:
+def units(docs: DataFrame, unit: str | tuple[int, ...] = "line", script: str = "any", seed: int = SEED, key: str = "doc_id", keep: tuple[str, ...] = ()) -> DataFrame:
     """(doc_id, para_idx, unit_idx, text, n_words, n_chars): consecutive words of each paragraph, as many as drawn; units out of the bounds of length or script are dropped, and the numbers of the others stay."""
-    low, high, mode, least, most = UNITS[unit]
+    low, high, mode, least, most = UNITS[unit] if isinstance(unit, str) else unit
     rows = paragraphs(docs, key, keep=keep).withColumn("w", T.words(F.col("paragraph"))).where(F.size("w") > 0).drop("paragraph")
     if high == 1:
         cut = rows.select(key, *keep, "para_idx", F.posexplode("w").alias("unit_idx", "text")).withColumn("n_words", F.lit(1))
@@ -55,11 +55,11 @@ def units(docs: DataFrame, unit: str = "line", script: str = "any", seed: int =
 
 def with_line_ids(rows: DataFrame, *order: str, name: str = "line_id") -> DataFrame:
     """Numbers rows from 0 in that order, without bringing them to one task: sorted in ranges, with the number of rows in the ranges before added."""
-    return _numbered(rows.repartitionByRange(*order).sortWithinPartitions(*order), name)
+    return numbered(rows.repartitionByRange(*order).sortWithinPartitions(*order), name)
 
 
-def _numbered(ordered: DataFrame, name: str) -> DataFrame:
-    """Numbers rows whose partitions follow each other and are sorted within."""
+def numbered(ordered: DataFrame, name: str) -> DataFrame:
+    """Numbers rows as they stand: partition after partition."""
     ordered = checkpoint(ordered)
     counts = {r.p: r.n for r in ordered.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).collect()}  # a row for each partition
     before, total = [], 0
@@ -71,12 +71,12 @@ def _numbered(ordered: DataFrame, name: str) -> DataFrame:
     return ordered.withColumn(name, place + F.element_at(offsets, F.spark_partition_id() + 1))
 
 
-def numbered_units(docs: DataFrame, unit: str = "line", script: str = "any", seed: int = SEED, key: str = "doc_id", order: str | None = None) -> DataFrame:
+def numbered_units(docs: DataFrame, unit: str | tuple[int, ...] = "line", script: str = "any", seed: int = SEED, key: str = "doc_id", order: str | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
     """units with line_id, by document (or its `order`), paragraph and unit. Documents and not units go into ranges, so units are cut once; those of a document, or of rows that share a key, stay in one range."""
     order = order or key
-    ranged = docs.select(*dict.fromkeys([key, order, "text"])).repartitionByRange(order, key)
-    cut = units(ranged, unit, script, seed, key) if order == key else units(ranged, unit, script, seed, key, keep=(order,))
-    return _numbered(cut.sortWithinPartitions(*dict.fromkeys([order, key, "para_idx", "unit_idx"])), "line_id")
+    more = tuple(c for c in dict.fromkeys((order, *keep)) if c != key)
+    cut = units(docs.select(key, *more, "text").repartitionByRange(order, key), unit, script, seed, key, more)
+    return numbered(cut.sortWithinPartitions(*dict.fromkeys([order, key, "para_idx", "unit_idx"])), "line_id")
 
 
 def interleave(docs: DataFrame, source: str = "source", key: str = "doc_id", seed: int = SEED) -> DataFrame:
