@@ -5,12 +5,17 @@ Texts get Arabic letters, marks and invisible characters by a fixed translation
 
 from __future__ import annotations
 
+from pathlib import Path
+
 from pyspark.sql import functions as F
 
+from .. import config
 from ..functions import text as T
 from ..functions import unicode as U
 from ..functions.draws import SEED, sql_uniform, uniform
-from ..operators import fonts, sheets, units
+from ..operators import fonts, render, sheets, units
+from ..sources import discover
+from . import dataset
 
 FROM = "abcdefghijklmnopqrstuvwz.,!"
 TO = "ابتديفكهىجکلمنـپقرسطو\u064e\u200c\u200e\u0670\t\u00a0"
@@ -373,6 +378,45 @@ def manifest_rows(spark, sf_dir):
     return sheets.manifest(units.split_exact(_lines(spark, sf_dir), 200))
 
 
+def _profile() -> str:
+    total, out = 0, "CASE"
+    for name, weight in sheets.PROFILES:
+        total += weight
+        out += f" WHEN {_line('profile')} < {total / 100}::DOUBLE THEN '{name}'"
+    return out + " END"
+
+
+_META = f"""{_STYLE}, {_FAM}, nf AS (SELECT count(DISTINCT family) AS nf FROM pool), c1 AS (SELECT *, floor({_line("family")} * nf)::INT AS family_idx, {_line("variant")} AS v FROM s2, nf),
+fs AS (SELECT DISTINCT family_idx, n_variants FROM pool), c2 AS (SELECT c1.*, floor(v * n_variants)::INT AS variant_idx FROM c1 JOIN fs USING (family_idx)), c3 AS (SELECT * FROM c2 JOIN pool USING (family_idx, variant_idx)),
+m AS (SELECT *, {_int(_line("crop_x"), 4, 28)} AS cx, {_int(_line("crop_y"), 2, 12)} AS cy, CASE WHEN row_number() OVER (ORDER BY {_line('val')}, line_id) <= 200 THEN 'val' ELSE 'train' END AS split FROM c3)"""
+
+
+@query(f"""WITH {_META} SELECT line_id, to_json({{'filename': 'line_' || lpad(line_id::VARCHAR, 10, '0') || '.jpg', 'text': text, 'line_id': line_id, 'font_family': family, 'font_path': path, 'source_path': 'documents', 'source_type': 'text', 'label_source_index': NULL, 'label_repeat_index': NULL,
+ 'degradation_profile': 'mixed', 'image_width': NULL, 'image_height': NULL, 'bbox': NULL, 'sheet_page_id': page_id, 'sheet_line_index': sheet_line_index, 'sheet_height': sheet_height, 'sheet_row_height': row_height, 'sheet_gap': gap, 'sheet_compacted_for_height': compacted,
+ 'font_size': font_size, 'css_weight': css_weight, 'css_line_height': css_line_height, 'css_opacity': css_opacity, 'css_word_spacing_px': css_word_spacing_px, 'css_letter_spacing_px': css_letter_spacing_px, 'crop_pad_x': cx, 'crop_pad_y': cy,
+ 'split': split, 'effective_profile': {_profile()}, 'render_fallback': NULL, 'fallback_reason': NULL}})::VARCHAR AS value FROM m""")
+def metadata_rows(spark, sf_dir):
+    """Rows of metadata of all lines before they are drawn: what drawing adds is null."""
+    lines = _lines(spark, sf_dir).select("line_id", "text", F.lit("documents").alias("source_path"), F.lit("text").alias("source_type"), F.lit(None).cast("int").alias("label_source_index"), F.lit(None).cast("int").alias("label_repeat_index"))
+    df = dataset.planned(lines, fonts.pool(_paths(spark, sf_dir)), config.parser().parse_args(["--val-count", "200"]))
+    return sheets.metadata(df.withColumn("filename", sheets.file_name(F.col("line_id"))))
+
+
+def _drawn(spark, sf_dir, folders, **options):
+    found = discover.font_files(spark, folders, exclude="math")
+    tasks = units.with_line_ids(_labels(spark, sf_dir), "item_id").select("line_id", "item_id", F.col("label").alias("text"))
+    return render.rendered(dataset.planned(tasks, fonts.pool(found.select("family", "path")), config.parser().parse_args([])), found, **options)
+
+
+FONTS = "/usr/share/fonts/truetype"
+if Path(FONTS).is_dir():  # drawing needs fonts
+
+    @query()
+    def render_lines(spark, sf_dir):
+        """All labels of benchmark as damaged images."""
+        return _drawn(spark, sf_dir, [FONTS]).select("item_id", "line_id", "font_path", "effective_profile", "image_width", "image_height", F.octet_length("image_bytes").alias("n_bytes"), F.sha1("image_bytes").alias("image_sha1"))
+
+
 @query(f"WITH {LINES_SQL} SELECT line_id, text FROM lines WHERE line_id % 3 <> 0 OR line_id > 3000")
 def resume_remaining(spark, sf_dir):
     lines = _lines(spark, sf_dir).select("line_id", "text")
@@ -396,14 +440,6 @@ def config_drift(spark, sf_dir):
     return units.drift(n.where("n_nationkey < 20").select(F.col("n_name").alias("name"), value.alias("value")), n.where("n_nationkey > 3").select(F.col("n_name").alias("name"), F.when(F.col("n_nationkey") % 4 == 0, "x").otherwise(value).alias("value")))
 
 
-def _profile() -> str:
-    total, out = 0, "CASE"
-    for name, weight in sheets.PROFILES:
-        total += weight
-        out += f" WHEN {_line('profile')} < {total / 100}::DOUBLE THEN '{name}'"
-    return out + " END"
-
-
 def _gates() -> str:
     bloat, rotate, sharp = "p <> 'binary_lowres_bloat'", "p NOT IN ('digital_clean', 'binary_lowres_bloat')", "p IN ('book_scan', 'overcooked_scan', 'photocopy_bleed')"
     allowed = {"rule": "true", "rotate": rotate, "unsharp": sharp}
