@@ -196,16 +196,17 @@ def fill(polygons: list[np.ndarray], height: int, width: int) -> np.ndarray:
     """Coverage from 0 to 1 by nonzero winding, OVER samples a pixel each way."""
     h, w = height * OVER, width * OVER
     turn = np.zeros((h, w + 1), np.int32)
-    for p in polygons:
-        q = p * OVER
-        for (x0, y0), (x1, y1) in zip(q, np.roll(q, -1, axis=0), strict=True):
-            sign = 1
-            if y0 > y1:
-                x0, y0, x1, y1, sign = x1, y1, x0, y0, -1
-            ys = np.arange(max(0, int(np.ceil(y0 - 0.5))), min(h, int(np.ceil(y1 - 0.5))))
-            if len(ys):
-                xs = np.clip(np.ceil(x0 + (ys + 0.5 - y0) * (x1 - x0) / (y1 - y0) - 0.5), 0, w).astype(int)
-                np.add.at(turn, (ys, xs), sign)
+    if polygons:
+        start = np.concatenate(polygons) * OVER
+        end = np.concatenate([np.roll(p, -1, axis=0) for p in polygons]) * OVER
+        up = start[:, 1] > end[:, 1]
+        (x0, y0), (x1, y1) = np.where(up[:, None], end, start).T, np.where(up[:, None], start, end).T
+        low, high = (np.clip(np.ceil(y - 0.5), 0, h).astype(int) for y in (y0, y1))
+        n = high - low  # sample rows that each edge crosses
+        i = np.repeat(np.arange(len(n)), n)
+        ys = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + low[i]
+        xs = x0[i] + (ys + 0.5 - y0[i]) * (x1[i] - x0[i]) / (y1[i] - y0[i])
+        np.add.at(turn, (ys, np.clip(np.ceil(xs - 0.5), 0, w).astype(int)), np.where(up, -1, 1)[i])
     inside = np.cumsum(turn, axis=1)[:, :w] != 0
     return inside.reshape(height, OVER, width, OVER).mean(axis=(1, 3))
 
@@ -214,6 +215,15 @@ def measure(font: Font, text: str, size: float, word: float = 0, letter: float =
     return _place(font, text, size, word, letter)[1]
 
 
+def fitted(font: Font, text: str, size: int, room: float, word: float = 0, letter: float = 0, step: int = 1, least: int = 14) -> int:
+    """The size, made smaller by steps until the text fits or it would fall below `least`; a length is a linear function of the size."""
+    fixed = measure(font, text, 0, word, letter)
+    each = measure(font, text, 1000, word, letter) / 1000 - fixed / 1000
+    while size - step >= least and each * size + fixed > room:
+        size -= step
+    return size
+
+
 def _place(font: Font, text: str, size: float, word: float, letter: float):
     x, placed, scale, marks = 0.0, [], size / font.em, _members("M")
     for c in shaped(text):
@@ -226,10 +236,7 @@ def _place(font: Font, text: str, size: float, word: float, letter: float):
 
 def draw(font: Font, text: str, height: int, width: int, size: float, ink, paper, pad_x: int, opacity: float = 1.0, word: float = 0, letter: float = 0, least: int = 14) -> tuple[np.ndarray, int]:
     """(RGB pixels, the size used) of a line: the size shrinks by one until the text fits, down to `least`. Text with Arabic starts at the right edge."""
-    room = width - 2 * pad_x
-    size = int(size)
-    while size > least and measure(font, text, size, word, letter) > room:
-        size -= 1
+    size = fitted(font, text, int(size), width - 2 * pad_x, word, letter, 1, least)
     placed, length = _place(font, text, size, word, letter)
     scale = size / font.em
     start = width - pad_x - length if any(ord(c) in _members("AL") for c in text) else pad_x

@@ -18,6 +18,8 @@ MOST_BYTES = 256 << 20
 PLAN = ("effective_profile", "noise", "band", "shadow", "stain", "rule", "warp", "rotate", "unsharp", "heavy_blur", "jpeg_quality")
 #: Fixed: what the plain drawing of a line, used where the styled one fails, chooses from.
 PLAIN_WIDTHS, PLAIN_HEIGHTS, PLAIN_SIZES = (900, 1100, 1300, 1500, 1700), (64, 72, 80, 96), (22, 42)
+#: Rows handed on at a time: images are large.
+ROWS = 64
 ADDED = "image_width int, image_height int, bbox array<int>, render_fallback string, fallback_reason string, image_bytes binary"
 
 
@@ -55,9 +57,8 @@ def plain(font: outlines.Font, row: dict, rng) -> np.ndarray:
     """Shrunk by steps of 2 down to 10; at times with a rule."""
     height, width = int(rng.choice(PLAIN_HEIGHTS)), int(rng.choice(PLAIN_WIDTHS))
     size = int(rng.integers(PLAIN_SIZES[0], PLAIN_SIZES[1] + 1))
-    while size > 10 and outlines.measure(font, row["text"], size) > width - 40:
-        size -= 2
-    a, _ = outlines.draw(font, row["text"], height, width, max(size, 10), color(row["color"]), color(row["paper"]), 20, least=10)
+    size = outlines.fitted(font, row["text"], size, width - 40, step=2, least=10)
+    a, _ = outlines.draw(font, row["text"], height, width, size, color(row["color"]), color(row["paper"]), 20, least=10)
     a = a.copy()
     if rng.random() < 0.10:
         a[-max(2, height // 10)] = 150
@@ -94,23 +95,27 @@ def rendered(lines: DataFrame, files: DataFrame, fallback: str | None = None, re
                 fonts[path] = outlines.Font(shared.value[path] if shared is not None else extra.get(path) or row["__font"])
             return fonts[path]
 
+        def drawn(row: dict) -> list | None:
+            row["text"] = row["text"] if isinstance(row["text"], str) else ""
+            rng, why = np.random.default_rng([seed, int(row["line_id"])]), None
+            try:
+                a = kernels.trim(styled(font(row["font_path"], row), row), row["crop_pad_x"], row["crop_pad_y"])
+            except (ValueError, KeyError, IndexError, struct.error) as e:
+                if fallback is None:
+                    raise
+                why = f"{type(e).__name__}: {e}"[:500]
+                a = plain(font(fallback, row), row, rng)
+            a = kernels.damage(a, {k: row[k] for k in PLAN}, int(rng.integers(2**63)), **damage)
+            h, w = a.shape[:2]
+            if reject_over and w > reject_over:
+                return None
+            return [*(row[n] for n in names), w, h, [0, 0, w, h], "plain_line" if why else None, why, png(a)]
+
+        columns = [*names, "image_width", "image_height", "bbox", "render_fallback", "fallback_reason", "image_bytes"]
         for batch in batches:
-            out = []
-            for row in batch.to_dict("records"):
-                row["text"] = row["text"] if isinstance(row["text"], str) else ""
-                rng, why = np.random.default_rng([seed, int(row["line_id"])]), None
-                try:
-                    a = kernels.trim(styled(font(row["font_path"], row), row), row["crop_pad_x"], row["crop_pad_y"])
-                except (ValueError, KeyError, IndexError, struct.error) as e:
-                    if fallback is None:
-                        raise
-                    why = f"{type(e).__name__}: {e}"[:500]
-                    a = plain(font(fallback, row), row, rng)
-                a = kernels.damage(a, {k: row[k] for k in PLAN}, int(rng.integers(2**63)), **damage)
-                h, w = a.shape[:2]
-                if reject_over and w > reject_over:
-                    continue
-                out.append([*(row[n] for n in names), w, h, [0, 0, w, h], "plain_line" if why else None, why, png(a)])
-            yield pd.DataFrame(out, columns=[*names, "image_width", "image_height", "bbox", "render_fallback", "fallback_reason", "image_bytes"])
-
-    return lines.mapInPandas(run, schema)
+            for first in range(0, len(batch), ROWS):
+                yield pd.DataFrame(filter(None, map(drawn, batch.iloc[first : first + ROWS].to_dict("records"))), columns=columns)
+
+    # A line takes a tenth of a second: lines are dealt out, however few partitions they come in.
+    tasks = max(3 * lines.sparkSession.sparkContext.defaultParallelism, int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return lines.repartition(tasks, "line_id").mapInPandas(run, schema)
