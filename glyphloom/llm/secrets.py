@@ -1,8 +1,8 @@
 """Secret scans: fixed patterns, and probabilistic automata inferred from labelled credentials.
 
-Three base kinds are found by pattern, leftmost and without overlaps within a kind: assign, access, hex. The strings that they hold in a bounded sample of documents are labelled credentials, by kind, and other long tokens are the background. For each label a prefix tree of character classes with counts is built, and its states are merged where their outgoing frequencies, and those of all states below, are statistically compatible (Hoeffding bounds): a probabilistic automaton for the format. Every other candidate token of every whole text is scored by the log-likelihood of its format over that of the background; those above a threshold are spans of kind `format`, unless they overlap a base span. Base spans always stay.
+Three base kinds are found by pattern, leftmost and without overlaps within a kind: assign, access, hex. The strings that they hold in a bounded sample of documents are labelled credentials, by kind, and other tokens of 12 characters and more are the background. For each label a prefix tree of character classes with counts is built, and its states are merged where their outgoing frequencies, and those of all states below, are statistically compatible (Hoeffding bounds): a probabilistic automaton for the format. A candidate is a token of 12 characters or more of the alphabet of credentials (letters, digits, + / _ . = -), or what base spans leave of it. Every candidate of every whole text is scored by the log-likelihood of its format over that of the background, whatever classes of characters it has; those above a threshold are spans of kind `format`. Where a candidate as a whole is not above it, each of its parts between dots is a candidate. Base spans always stay.
 
-Bounds of the fit: DOCS sampled documents (those with the smallest hashes of doc_id and text), LABELLED distinct strings of each label, of at most LONGEST characters. Everything else covers all text.
+Bounds of the fit: DOCS sampled documents (those with the smallest hashes of doc_id and text), LABELLED distinct strings of each label and BACKGROUND of the background, of at most LONGEST characters. Everything else covers all text.
 
 Null text: empty, no spans. Empty table or no labelled strings: base spans only. Repeated rows are scanned each and give the same spans. Columns other than doc_id and text are not read by the scan; redact changes text and n_chars alone.
 """
@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import batches, table
+from .common import CACHE, batches, table
 
 #: Fixed patterns, in the order in which kinds are listed.
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
@@ -28,8 +28,10 @@ KINDS = ("assign", "access", "hex", "format")
 WORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 MIN_ASSIGN, MIN_ACCESS = 12, 18
 
-CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
-DOCS, LABELLED, LONGEST = 4000, 400, 128
+LEAST = MIN_ASSIGN
+CANDIDATE = re.compile(rf"[A-Za-z0-9+/_.=-]{{{LEAST},}}")
+PART = re.compile(rf"[^.]{{{LEAST},}}")
+DOCS, LABELLED, BACKGROUND, LONGEST = 4000, 400, 4000, 128
 ALPHA, THRESHOLD = 0.05, 12.0
 #: Classes of characters, by position: digits, hex letters and other letters in either case, each sign for itself.
 CLASSES = {**dict.fromkeys("0123456789", "0"), **dict.fromkeys("abcdef", "a"), **dict.fromkeys("ghijklmnopqrstuvwxyz", "g"), **dict.fromkeys("ABCDEF", "A"), **dict.fromkeys("GHIJKLMNOPQRSTUVWXYZ", "G")}
@@ -50,6 +52,27 @@ def base(text: str) -> list[tuple[int, int, int, str]]:
     return out
 
 
+def candidates(text: str, found: list[tuple[int, int]]):
+    """(start, end) of the candidate tokens, without what the base spans (start, end), sorted by start, cover."""
+    starts, ends = [], []
+    for a, b in found:  # base spans of all kinds, joined where they overlap
+        if ends and a < ends[-1]:
+            ends[-1] = max(ends[-1], b)
+        else:
+            starts.append(a)
+            ends.append(b)
+    for m in CANDIDATE.finditer(text):
+        at, end = m.span()
+        i = bisect_left(ends, at + 1)
+        while i < len(ends) and starts[i] < end:
+            if starts[i] - at >= LEAST:
+                yield at, starts[i]
+            at = ends[i]
+            i += 1
+        if end - at >= LEAST:
+            yield at, end
+
+
 class Automaton:
     """A deterministic probabilistic automaton: for each state, counts of passes, ends and (successor, count) by class."""
 
@@ -151,11 +174,22 @@ class Automaton:
         return total + self.stop[at]
 
 
+class Background:
+    """Two automata: of the background strings as they are, and in capitals, since prose may be set in them and the few that are would be lost in merged states."""
+
+    def __init__(self, strings: list[str]):
+        self.cases = [Automaton(strings), Automaton([s.upper() for s in strings])]
+
+    def score(self, classes: str) -> float:
+        return max(a.score(classes) for a in self.cases)
+
+
 class Scanner:
     """Finds all spans of a text; with no automata, the base spans."""
 
-    def __init__(self, formats: dict[str, Automaton], background: Automaton | None, threshold: float = THRESHOLD):
+    def __init__(self, formats: dict[str, Automaton], background: Automaton | Background | None, threshold: float = THRESHOLD):
         self.formats, self.background, self.threshold = list(formats.values()), background, threshold
+        self.known: dict[str, bool] = {}
 
     def likelihood(self, token: str) -> float:
         """Log-likelihood of the best format over that of the background, or of equally likely classes if that is more."""
@@ -163,27 +197,28 @@ class Scanner:
         even = -(len(classes) + 1) * math.log(len(SIGNS) + 1)
         return max(a.score(classes) for a in self.formats) - max(even, self.background.score(classes))
 
+    def secret(self, token: str) -> bool:
+        """Whether the likelihood passes the threshold; remembers tokens of the same classes unless they are long."""
+        if len(token) > LONGEST:
+            return self.likelihood(token) > self.threshold
+        classes = token.translate(TO_CLASS)
+        if classes not in self.known:
+            if len(self.known) > CACHE:
+                self.known.clear()
+            self.known[classes] = self.likelihood(token) > self.threshold
+        return self.known[classes]
+
     def spans(self, text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:
         """(start, kind, end) of the base spans, and of all."""
         found = [x[:3] for x in base(text)]
         if not self.formats or self.background is None:
             return found, found
-        more, ends, starts = [], [], []
-        for a, _, b in found:  # base spans of all kinds, joined where they overlap
-            if ends and a < ends[-1]:
-                ends[-1] = max(ends[-1], b)
-            else:
-                starts.append(a)
-                ends.append(b)
-        for m in CANDIDATE.finditer(text):
-            token = m[0]
-            if token.isalpha() or not any(map(str.isdigit, token)):
-                continue
-            i = bisect_left(ends, m.start() + 1)
-            if i < len(ends) and starts[i] < m.end():
-                continue
-            if self.likelihood(token) > self.threshold:
-                more.append((m.start(), 3, m.end()))
+        more = []
+        for a, b in candidates(text, [(a, b) for a, _, b in found]):
+            if self.secret(text[a:b]):
+                more.append((a, 3, b))
+            elif "." in text[a:b]:
+                more += [(m.start(), 3, m.end()) for m in PART.finditer(text, a, b) if self.secret(m[0])]
         return found, sorted(found + more)
 
 
@@ -200,10 +235,9 @@ def examples(docs: DataFrame, n: int = DOCS) -> list[tuple[str, str]]:
             for text in batch.column(0).to_pylist():
                 spots = base(text)
                 seen.update((KINDS[k], s) for _, k, _, s in spots if len(s) <= LONGEST)
-                taken = [(a, b) for a, _, b, _ in spots]
-                seen.update(("", m[0]) for m in CANDIDATE.finditer(text) if len(m[0]) <= LONGEST and not any(a < m.end() and m.start() < b for a, b in taken))
+                seen.update(("", text[a:b]) for a, b in candidates(text, [(a, b) for a, _, b, _ in spots]) if b - a <= LONGEST)
             rows = sorted(seen, key=lambda x: hashlib.md5(x[1].encode()).digest())
-            kept = [x for label in (*KINDS, "") for x in [r for r in rows if r[0] == label][:LABELLED]]
+            kept = [x for label in (*KINDS, "") for x in [r for r in rows if r[0] == label][: LABELLED if label else BACKGROUND]]
             yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in kept], pa.string()) for i in (0, 1)], ["label", "string"])
 
     found = keyed.where(F.col("h") <= F.lit(least)).select("text").mapInArrow(run, "label string, string string")
@@ -213,9 +247,9 @@ def examples(docs: DataFrame, n: int = DOCS) -> list[tuple[str, str]]:
 def fit(docs: DataFrame, n: int = DOCS, labelled: int = LABELLED, threshold: float = THRESHOLD) -> Scanner:
     by: dict[str, list[str]] = {}
     for label, s in examples(docs, n):
-        if len(by.setdefault(label, [])) < labelled:
+        if len(by.setdefault(label, [])) < (labelled if label else BACKGROUND):
             by[label].append(s)
-    background = Automaton(by[""]) if by.get("") else None
+    background = Background(by[""]) if by.get("") else None
     return Scanner({k: Automaton(v) for k, v in sorted(by.items()) if k}, background, threshold)
 
 

@@ -145,6 +145,24 @@ def test_spans_of_long_and_odd_texts():
     assert scanner.spans(text)[0] == [(100_001, 0, 100_001 + 33), (100_010, 1, 100_034), (len(text) - 20, 2, len(text))] or len(scanner.spans(text)[0]) >= 3
 
 
+def test_every_candidate_is_scored():
+    rng = random.Random(4)
+    letters = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    key = lambda n, of=letters + "0123456789": "".join(rng.choices(of, k=n))
+    prose = ["".join(rng.choices(letters[:26], k=rng.randint(12, 24))) + rng.choice(["", "."]) for _ in range(400)]
+    credentials = [key(rng.randint(12, 40)) for _ in range(300)] + [key(12) + "." + key(12) for _ in range(100)]
+    scanner = secrets.Scanner({"assign": secrets.Automaton(credentials)}, secrets.Automaton(prose))
+    hits = lambda n, of: sum(scanner.spans(f"see {(x := key(n, of))} here")[1] == [(4, 3, 4 + len(x))] for _ in range(200)) / 200
+    assert hits(24, letters) > 0.95 and hits(15, letters) > 0.7
+    whole = [f"{key(12)}.{key(12)}" for _ in range(100)]
+    assert sum(scanner.spans(x)[1] == [(0, 3, 25)] for x in whole) > 90
+    plain = "abcdefghijklmnop" * 4
+    parts = [scanner.spans(f"{plain}.{key(18)}")[1] for _ in range(100)]
+    assert sum(x[-1:] in ([(65, 3, 83)], [(0, 3, 83)]) for x in parts) > 80 and [(65, 3, 83)] in parts  # a part, where the whole is clean
+    assert scanner.spans("0123456789abcdef" + "." + (x := "QwRtZ" + key(25)))[1][:1] == [(0, 2, 16)] and len(scanner.spans("0123456789abcdef." + x)[1]) == 2  # beside a base span
+    assert not any(k == 3 for x in prose for _, k, _ in scanner.spans(x)[1])
+
+
 def test_packing(docs, rows, empty):
     encoder = packing.Encoder()
     got = packing.pack(docs).toPandas()
