@@ -261,7 +261,7 @@ def _removed(segments: DataFrame, size: int, flush: int) -> DataFrame:
         """held: (doc_id, content, start, words)"""
         if len(held) < 2:
             return
-        index = FMIndex([w for *_, w in held])
+        index = FMIndex([w for *_, w in held], depth=max(DEPTH, size))
         order_of = np.lexsort((np.array([h[2] for h in held]), np.array([h[1] for h in held]), np.array([h[0] for h in held])))
         # the order of places in the corpus: documents by (doc_id, content), then words
         documents, document = {}, []

@@ -79,6 +79,26 @@ def test_substrings_repeated_rows(spark):
     assert [(r.doc_id, r.n_removed) for r in got] == [(None, 0), (1, 0), (1, 25), (2, 25)]
 
 
+def test_substrings_longer_than_depth(spark):
+    rng = random.Random(6)
+    base = [rng.choice("ab") for _ in range(400)]
+    texts = []
+    for _ in range(12):  # copies that part after more than DEPTH words, so that their suffixes tie at DEPTH
+        at = rng.randrange(300)
+        texts.append([*base[at : at + 90], *rng.choices("ab", k=60), *base[:70]])
+    first = {}
+    for i, w in enumerate(texts):
+        for a in range(len(w) - 49):
+            first.setdefault(tuple(w[a : a + 50]), (i, a))
+    got = {r.doc_id: r.n_removed for r in substrings.dedup(frame(spark, [(i, " ".join(w)) for i, w in enumerate(texts)]), size=50).collect()}
+    for i, w in enumerate(texts):
+        gone = set()
+        for a in range(len(w) - 49):
+            if first[tuple(w[a : a + 50])] != (i, a):
+                gone |= set(range(a, a + 50))
+        assert got[i] == len(gone), i
+
+
 @pytest.mark.parametrize(("n", "num", "group"), [(3, 90, 4096), (5, 80, 4096), (2, 70, 3)])
 def test_jaccard(docs, rows, empty, n, num, group):
     sets = {}
