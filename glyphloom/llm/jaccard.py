@@ -146,10 +146,11 @@ class SignatureTree:
         self.n = len(sizes)
         self.sets = sets and [sets[i] for i in self.ids]
         self.spare = sizes - np.bitwise_count(maps).sum(1)  # elements that share a bit
-        self.levels = [(maps, sizes, sizes)]
+        self.levels, self.spares = [(maps, sizes, sizes)], [self.spare]
         while len(self.levels[-1][0]) > 1:
             maps, low, high = self.levels[-1]
             starts = np.arange(0, len(maps), FAN)
+            self.spares.append(np.maximum.reduceat(self.spares[-1], starts))
             self.levels.append((np.bitwise_or.reduceat(maps, starts), np.minimum.reduceat(low, starts), np.maximum.reduceat(high, starts)))
         self.links = Union()
         self.compared = self.pruned = 0
@@ -159,6 +160,13 @@ class SignatureTree:
         _, low, high = self.levels[level]
         return high[a] * self.den < low[b] * self.num or high[b] * self.den < low[a] * self.num
 
+    def _meet(self, level: int, a: int, right: np.ndarray) -> np.ndarray:
+        """Whether a member of node a and one of each node of right can overlap enough, as far as OR bitmaps and sizes tell."""
+        maps, low, high = self.levels[level]
+        spare = self.spares[level]
+        most = np.minimum(np.bitwise_count(maps[right] & maps[a]).sum(1).astype(np.int64) + np.minimum(spare[right], spare[a]), np.minimum(high[right], high[a]))
+        return most * (self.num + self.den) >= self.num * (low[right] + low[a])
+
     def _one(self, level: int, a: int, b: int) -> bool:
         """All members of both nodes are known to be connected."""
         span = FAN**level
@@ -181,8 +189,13 @@ class SignatureTree:
                 self._leaves(a, b)
                 continue
             n = len(self.levels[level - 1][0])
-            left, right = range(a * FAN, min((a + 1) * FAN, n)), range(b * FAN, min((b + 1) * FAN, n))
-            pairs = [(level - 1, x, y) for x in left for y in right if x <= y]
+            left, right = range(a * FAN, min((a + 1) * FAN, n)), np.arange(b * FAN, min((b + 1) * FAN, n))
+            pairs = []
+            for x in left:
+                later = right[right >= x]
+                meet = self._meet(level - 1, x, later)
+                self.pruned += int(np.count_nonzero(~meet))
+                pairs += [(level - 1, x, y) for y in later[meet].tolist()]
             todo += sorted(pairs, key=lambda p: p[1] - p[2])  # nearest last, so first
 
     def _leaves(self, a: int, b: int) -> None:

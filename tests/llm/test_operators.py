@@ -132,6 +132,24 @@ def test_one_of_each(docs, spark):
     assert jaccard.one_of_each(frame(spark, [(1, "a b c d e f"), (1, "a b c d e f"), (None, "a b c d e f")])).count() == 2
 
 
+def test_nodes_apart_by_overlap():
+    rng = np.random.default_rng(8)
+    sets = [np.sort(np.append(1000 * (g + 1) + rng.choice(110, 99, replace=False), g)).astype(np.uint64) for g in range(16) for _ in range(16)]  # groups without common elements
+    maps = np.stack([jaccard.bitmap(s, 1 << 15) for s in sets])
+    tree = jaccard.SignatureTree(maps, np.full(256, 100), 85, 100, sets)
+    seen, leaves = [], tree._leaves
+    tree._leaves = lambda a, b: (seen.append((a, b)), leaves(a, b))
+    links = tree.join()
+    assert sorted(seen) == [(g, g) for g in range(16)]
+    linked = jaccard.Union()
+    for i in range(256):
+        for j in range(i):
+            k = len(np.intersect1d(tree.sets[i], tree.sets[j]))
+            if 100 * k >= 85 * (200 - k):
+                linked.join(i, j)
+    assert [links.find(i) for i in range(256)] == [linked.find(i) for i in range(256)]
+
+
 def test_secrets(docs, rows, empty):
     scanner = secrets.fit(docs)
     got = {r.doc_id: r for r in secrets.scan(docs, scanner).collect()}
