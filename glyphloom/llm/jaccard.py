@@ -311,6 +311,11 @@ def _refined(ties: DataFrame, classes: DataFrame, num: int, den: int, bundle: in
 
 def join(docs: DataFrame, n: int = N, num: int = NUM, den: int = DEN, group: int = GROUP, bundle: int = BUNDLE) -> DataFrame:
     """(doc_id, n_shingles, component_id) of documents that link when den * overlap >= num * union."""
+    return _linked(docs, n, num, den, group, bundle).select("doc_id", "n_shingles", "component_id")
+
+
+def _linked(docs: DataFrame, n: int, num: int, den: int, group: int = GROUP, bundle: int = BUNDLE) -> DataFrame:
+    """The join with h, the hash of the set, and component, the smallest h of the component; both are null for an empty set."""
     docs = batches(docs)
     sets = checkpoint(_sets(docs.select("doc_id", "text"), n))
     classes = sets.where("h is not null").groupBy("h").agg(F.min("doc_id").alias("first"), F.min(F.coalesce("doc_id", F.lit(-(2**63)))).alias("any"), F.min("n_shingles").alias("n"), F.min("bits").alias("bits"))
@@ -351,25 +356,44 @@ def join(docs: DataFrame, n: int = N, num: int = NUM, den: int = DEN, group: int
     linked = components(links)
     named = linked.join(classes.select(F.col("h").alias("node"), "first"), "node")
     least = named.groupBy("component").agg(F.min("first").alias("least"))
-    named = named.join(least, "component").select(F.col("node").alias("h"), "least")
-    classes = classes.join(named, "h", "left").select("h", F.coalesce("least", "first").alias("component_id"))
+    named = named.join(least, "component").select(F.col("node").alias("h"), "component", "least")
+    classes = classes.join(named, "h", "left").select("h", F.coalesce("component", "h").alias("component"), F.coalesce("least", "first").alias("component_id"))
     out = sets.join(classes, "h", "left")
-    return out.select("doc_id", "n_shingles", F.when(F.col("h").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+    return out.select("doc_id", "n_shingles", "h", "component", F.when(F.col("h").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
 
 
 def one_of_each(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100) -> DataFrame:
-    """The documents that have the smallest doc_id of their component, with all their columns; of equal rows with that id, one.
+    """One document of each component, with all its columns: of those with its smallest doc_id the one with the smallest set hash; of equal sets with that id, one.
 
-    A document with a null doc_id stays: it can't be told from others.
+    Rows that share a doc_id but aren't linked are components of their own, and all stay. A document with a null doc_id stays: it can't be told from others.
     """
-    found = join(docs, n, num, den).where("doc_id = component_id").select(F.col("doc_id").alias("__keep")).distinct()
+    found = _linked(docs, n, num, den).where("doc_id = component_id").groupBy("component", "doc_id").agg(F.min("h").alias("__h")).select(F.col("doc_id").alias("__keep"), "__h")
     kept = docs.join(found, F.col("doc_id") == F.col("__keep"), "left_semi")
-    first = Window.partitionBy("doc_id").orderBy("__text")
-    many = kept.groupBy("doc_id").count().where("count > 1").limit(1).count()
-    if many:
-        kept = kept.withColumn("__text", F.md5(F.coalesce("text", F.lit("")))).withColumn("__n", F.row_number().over(first)).where("__n = 1").drop("__n", "__text")
+    many = kept.groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("__many"))
+    if many.limit(1).count():
+        same = F.col("doc_id") == F.col("__many")
+        again = batches(kept.join(many, same, "left_semi")).withColumn("__own", _set_hashes(n)(utf8()))
+        again = again.join(found, (F.col("doc_id") == F.col("__keep")) & F.col("__own").eqNullSafe(F.col("__h")), "left_semi")
+        again = again.withColumn("__text", F.md5(F.coalesce("text", F.lit(""))))
+        first = Window.partitionBy("doc_id", "__own", F.when(F.col("__own").isNull(), F.col("__text"))).orderBy("__text")
+        again = again.withColumn("__n", F.row_number().over(first)).where("__n = 1").drop("__n", "__text", "__own")
+        kept = kept.join(many, same, "left_anti").unionByName(again)
     return kept.unionByName(docs.where("doc_id is null"))
 
 
+def _set_hashes(n: int):
+    """A function of UTF-8 texts: the hashes of their sets, null for empty ones."""
+
+    @F.pandas_udf("long")
+    def hashed(raws):
+        import pandas as pd
+
+        hashes = WordHashes()
+        found = [shingles(bytes(x), n, hashes) for x in raws]
+        return pd.Series([set_hash(s) if len(s) else None for s in found], dtype="Int64")
+
+    return hashed
+
+
 def query(spark, sf_dir):
     return join(table(spark, sf_dir, "documents"))

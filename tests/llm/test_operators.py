@@ -150,6 +150,14 @@ def test_nodes_apart_by_overlap():
     assert [links.find(i) for i in range(256)] == [linked.find(i) for i in range(256)]
 
 
+def test_one_of_each_with_repeated_ids(spark):
+    a, b, c = "a b c d e f g h", "q r s t u v w x", "k l m n o p q r"
+    kept = lambda rows: sorted((r.doc_id, r.text) for r in jaccard.one_of_each(frame(spark, rows)).select("doc_id", "text").collect())
+    assert kept([(1, a), (2, a), (2, b)]) == [(1, a), (2, b)]  # (2, a) is a copy of (1, a); (2, b) has no other
+    assert kept([(5, a), (5, b), (5, c), (5, a), (6, c)]) == sorted([(5, a), (5, b), (5, c)])
+    assert kept([(3, ""), (3, " "), (3, ""), (3, a)]) == [(3, ""), (3, " "), (3, a)]
+
+
 def test_secrets(docs, rows, empty):
     scanner = secrets.fit(docs)
     got = {r.doc_id: r for r in secrets.scan(docs, scanner).collect()}
