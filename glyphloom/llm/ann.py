@@ -142,11 +142,12 @@ def search(vectors: DataFrame, every: int = EVERY, top: int = TOP, k: int = CENT
         for row, some in enumerate(js):
             wanted[row, some] = True
         found = []
+        rounding = 4 * x.shape[1] * np.finfo(float).eps * np.linalg.norm(q, axis=1, keepdims=True) * np.linalg.norm(x, axis=1).max()  # twice the bound of a sum of products, and more
         for start in range(0, len(q), 256):
             scores = np.where(wanted[start : start + 256][:, j], q[start : start + 256] @ x.T, -np.inf)
             n = min(top + 5, len(x))
-            best = np.argpartition(-scores, n - 1, axis=1)[:, :n]
-            for row, spots in enumerate(best):
+            cut = -np.partition(-scores, n - 1, axis=1)[:, n - 1 : n] - rounding[start : start + 256]
+            for row, spots in enumerate(map(np.flatnonzero, scores >= cut)):  # with all that tie at the cut
                 exact = sorted(((math.fsum(q[start + row] * x[s]), s) for s in spots if scores[row, s] > -np.inf), key=lambda y: (-y[0], ids[y[1]]))
                 found += [(queries[start + row], score, ids[s]) for score, s in exact[: top + 1]]
         return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*found) if found else ((), (), ()), names)], schema=names)

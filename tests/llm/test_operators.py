@@ -352,6 +352,13 @@ def test_ann(spark):
     assert ann.search(df.limit(0)).count() == 0
 
 
+def test_ann_of_many_ties(spark):
+    rows = [(0, [1.0] + [0.0] * 199)] + [(i, [1.0 if j in (0, i) else 0.0 for j in range(200)]) for i in range(1, 200)]  # all others are distinct and alike to 0
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    got = [r.vec_id for r in ann.search(df, every=1000, k=1, share=1.0).orderBy("rank").collect()]
+    assert got == list(range(1, 21))
+
+
 def test_quality(spark):
     docs, labels = spark.read.parquet(f"{DIR}/../sf0.01/documents.parquet"), spark.read.parquet(f"{DIR}/../sf0.01/labels.parquet")
     found = quality.score(docs, quality.fit(docs, labels)).join(labels, "doc_id").where("held_out").toPandas()
