@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 #: Words are runs of anything but ASCII white space, as bytes.split() cuts them.
 WORD = r"[^\x20\x09-\x0D]+"
 CACHE = 100_000
-#: Rows of a batch that Python gets: texts can be long.
+#: Rows that Python takes at a time.
 BATCH = 1000
 
 U64 = np.uint64
@@ -31,19 +31,44 @@ def utf8(column="text"):
     return F.coalesce(F.col(column).cast("binary"), F.lit(b""))
 
 
-def batches(df: DataFrame) -> DataFrame:
-    """The same rows; Python workers of this session get at most BATCH of them at a time, to bound their memory."""
-    conf, name = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if not 0 < int(conf.get(name, "10000")) <= BATCH:
-        conf.set(name, str(BATCH))
-    return df
+def pieces(batches, rows: int = BATCH):
+    """Record batches of at most `rows` rows, without copying: Spark bounds a batch by bytes (64 MB) and rows, and Python objects made of short rows take more than those."""
+    for batch in batches:
+        for at in range(0, max(1, batch.num_rows), rows):
+            yield batch.slice(at, rows)
+
+
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """Names for working columns that no column of df has, whatever the case."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
+def col(name: str):
+    """A column by its name, which may hold dots or back quotes."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that spark.checkpoint.dir names. Where it is unset: a temporary one under a local master, as in tests; a cluster has to name one."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder:
+        return folder.rstrip("/")
+    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+        raise ValueError("spark.checkpoint.dir has to name a folder that driver and executors share")
+    return tempfile.mkdtemp(prefix="glyphloom-")
 
 
 def checkpoint(df: DataFrame) -> DataFrame:
-    """Cuts the lineage with files in the shared folder that spark.checkpoint.dir names (a temporary one where it is unset, as in tests)."""
+    """Cuts the lineage with files in the shared folder."""
     sc = df.sparkSession.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="glyphloom-"))
+        sc.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint()
 
 
@@ -110,7 +135,7 @@ def groups(rows, keys: list[str]):
 def components(edges: DataFrame) -> DataFrame:
     """Connected components of the undirected edges (a, b: long) as (node, component), component being the smallest node.
 
-    Alternates the large-star and small-star steps; every step only groups with a minimum and joins, so that no node's neighbours are ever collected, and ends when a round changes nothing. An edge with a null end or from a node to itself is dropped; a node without other edges isn't returned.
+    Alternates the large-star and small-star steps; every step only groups with a minimum and joins, so that no node's neighbours are ever collected, and ends when a round changes nothing. Where a node has neighbours beyond count, its rows are two numbers each and are summed up before the shuffle; the join that hands them their minimum is dealt anew by Spark if it is skewed. An edge with a null end or from a node to itself is dropped; a node without other edges isn't returned.
     """
     links = checkpoint(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
     before = None

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import U64, WordHashes, batches, checkpoint, components, grams, groups, mix, signed, table, utf8
+from .common import U64, WordHashes, checkpoint, col, components, fresh, grams, groups, mix, pieces, signed, table, utf8
 
 N, NUM, DEN = 3, 90, 100
 GROUP, BUNDLE = 4096, 32_768
@@ -231,7 +231,7 @@ def _sets(docs: DataFrame, n: int) -> DataFrame:
 
     def run(parts):
         hashes = WordHashes()
-        for batch in parts:
+        for batch in pieces(parts):
             found = [shingles(x.as_py(), n, hashes) for x in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(s) for s in found], pa.int64()), pa.array([set_hash(s) if len(s) else None for s in found], pa.int64()), pa.array([bitmap(s, width(len(s), THIN)).tobytes() for s in found], pa.binary())], ["doc_id", "n_shingles", "h", "bits"])
 
@@ -316,7 +316,6 @@ def join(docs: DataFrame, n: int = N, num: int = NUM, den: int = DEN, group: int
 
 def _linked(docs: DataFrame, n: int, num: int, den: int, group: int = GROUP, bundle: int = BUNDLE) -> DataFrame:
     """The join with h, the hash of the set, and component, the smallest h of the component; both are null for an empty set."""
-    docs = batches(docs)
     sets = checkpoint(_sets(docs.select("doc_id", "text"), n))
     classes = sets.where("h is not null").groupBy("h").agg(F.min("doc_id").alias("first"), F.min(F.coalesce("doc_id", F.lit(-(2**63)))).alias("any"), F.min("n_shingles").alias("n"), F.min("bits").alias("bits"))
     ties = checkpoint(_ties(docs, n, num, den))
@@ -330,7 +329,7 @@ def _linked(docs: DataFrame, n: int, num: int, den: int, group: int = GROUP, bun
 
     def elements(parts):
         hashes = WordHashes()
-        for batch in parts:
+        for batch in pieces(parts):
             out = []
             for raw, want, component, blocks in zip(batch.column(0), *(batch.column(i).to_pylist() for i in (1, 2, 3))):
                 found = shingles(raw.as_py(), n, hashes)
@@ -365,19 +364,20 @@ def _linked(docs: DataFrame, n: int, num: int, den: int, group: int = GROUP, bun
 def one_of_each(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100) -> DataFrame:
     """One document of each component, with all its columns: of those with its smallest doc_id the one with the smallest set hash; of equal sets with that id, one.
 
-    Rows that share a doc_id but aren't linked are components of their own, and all stay. A document with a null doc_id stays: it can't be told from others.
+    Rows that share a doc_id but aren't linked are components of their own, and all stay. A document with a null doc_id stays: it can't be told from others. Columns of docs may have any names.
     """
-    found = _linked(docs, n, num, den).where("doc_id = component_id").groupBy("component", "doc_id").agg(F.min("h").alias("__h")).select(F.col("doc_id").alias("__keep"), "__h")
-    kept = docs.join(found, F.col("doc_id") == F.col("__keep"), "left_semi")
-    many = kept.groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("__many"))
-    if many.limit(1).count():
-        same = F.col("doc_id") == F.col("__many")
-        again = batches(kept.join(many, same, "left_semi")).withColumn("__own", _set_hashes(n)(utf8()))
-        again = again.join(found, (F.col("doc_id") == F.col("__keep")) & F.col("__own").eqNullSafe(F.col("__h")), "left_semi")
-        again = again.withColumn("__text", F.md5(F.coalesce("text", F.lit(""))))
-        first = Window.partitionBy("doc_id", "__own", F.when(F.col("__own").isNull(), F.col("__text"))).orderBy("__text")
-        again = again.withColumn("__n", F.row_number().over(first)).where("__n = 1").drop("__n", "__text", "__own")
-        kept = kept.join(many, same, "left_anti").unionByName(again)
+    keep, best, many, own, text, place = fresh(docs, "keep", "best", "many", "own", "text_hash", "place")
+    found = _linked(docs.select("doc_id", "text"), n, num, den).where("doc_id = component_id").groupBy("component", "doc_id").agg(F.min("h").alias(best)).select(F.col("doc_id").alias(keep), best)
+    kept = docs.join(found, F.col("doc_id") == F.col(keep), "left_semi")
+    repeated = kept.groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias(many))
+    if repeated.limit(1).count():
+        same = F.col("doc_id") == F.col(many)
+        again = kept.join(repeated, same, "left_semi").withColumn(own, _set_hashes(n)(utf8()))
+        again = again.join(found, (F.col("doc_id") == F.col(keep)) & F.col(own).eqNullSafe(F.col(best)), "left_semi")
+        again = again.withColumn(text, F.md5(F.coalesce("text", F.lit(""))))
+        first = Window.partitionBy("doc_id", own, F.when(F.col(own).isNull(), F.col(text))).orderBy(text)
+        again = again.withColumn(place, F.row_number().over(first)).where(F.col(place) == 1).select(*map(col, docs.columns))
+        kept = kept.join(repeated, same, "left_anti").unionByName(again)
     return kept.unionByName(docs.where("doc_id is null"))
 
 

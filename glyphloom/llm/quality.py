@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import batches, table, utf8
+from .common import pieces, table, utf8
 
 LABELLED, DIM, BUCKETS = 3000, 48, 4096
 NEAREST, POWER = 25, 8
@@ -109,10 +109,10 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", labelled: in
     rows = labels.select("doc_id", F.col(label).alias("label")).where("doc_id is not null and label is not null").where(~held_out())
     rows = rows.groupBy("doc_id").agg(F.min("label").alias("label"))
     chosen = rows.orderBy(F.xxhash64("doc_id"), "doc_id").limit(labelled)
-    texts = batches(docs).select("doc_id", utf8().alias("raw")).join(F.broadcast(chosen), "doc_id")  # at most `labelled` rows
+    texts = docs.select("doc_id", utf8().alias("raw")).join(F.broadcast(chosen), "doc_id")  # at most `labelled` rows
 
     def run(parts):
-        for batch in parts:
+        for batch in pieces(parts):
             out = [features(x.as_py()) for x in batch.column(1)]
             hit = [np.flatnonzero(c) for c in out]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2).cast(pa.int32()), pa.array([h.astype("<u2").tobytes() for h in hit], pa.binary()), pa.array([np.minimum(c[h], 65535).astype("<u2").tobytes() for c, h in zip(out, hit)], pa.binary())], ["doc_id", "label", "at", "n"])
@@ -143,11 +143,11 @@ def score(docs: DataFrame, model: Model | None) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(parts):
-        for batch in parts:
+        for batch in pieces(parts):
             found = _scores(shared.value, batch.column(2))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.float64()), pa.array((found >= 0.5).astype(np.int32), pa.int32())], ["doc_id", "held_out", "score", "predicted"])
 
-    return batches(docs).select(docs["doc_id"].cast("long").alias("doc_id"), held_out().alias("held_out"), utf8().alias("raw")).mapInArrow(run, "doc_id long, held_out boolean, score double, predicted int")
+    return docs.select(docs["doc_id"].cast("long").alias("doc_id"), held_out().alias("held_out"), utf8().alias("raw")).mapInArrow(run, "doc_id long, held_out boolean, score double, predicted int")
 
 
 def keep(docs: DataFrame, model: Model | None) -> DataFrame:
@@ -160,7 +160,7 @@ def keep(docs: DataFrame, model: Model | None) -> DataFrame:
 
         return pd.Series(_scores(shared.value, pa.array(list(raws), pa.binary())) >= 0.5)
 
-    return batches(docs).where(good(utf8()))
+    return docs.where(good(utf8()))
 
 
 def query(spark, sf_dir):

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import CACHE, batches, table
+from .common import CACHE, pieces, table
 
 #: Fixed patterns, in the order in which kinds are listed.
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
@@ -224,13 +224,13 @@ class Scanner:
 
 def examples(docs: DataFrame, n: int = DOCS) -> list[tuple[str, str]]:
     """(label, string) from the n documents with the smallest hashes, labelled by the base kinds, or background."""
-    keyed = batches(docs).select("text", F.xxhash64("doc_id", "text").alias("h")).where("text is not null")
+    keyed = docs.select("text", F.xxhash64("doc_id", "text").alias("h")).where("text is not null")
     least = keyed.select("h").orderBy("h").limit(n).agg(F.max("h")).first()[0]
     if least is None:
         return []
 
     def run(parts):
-        for batch in parts:
+        for batch in pieces(parts):
             seen = set()
             for text in batch.column(0).to_pylist():
                 spots = base(text)
@@ -265,7 +265,7 @@ def scan(docs: DataFrame, scanner: Scanner) -> DataFrame:
 
     def run(parts):
         scanner = shared.value
-        for batch in parts:
+        for batch in pieces(parts):
             out = [[] for _ in range(6)]
             for text in batch.column(1):
                 found, spans = scanner.spans(text.as_py() or "")
@@ -277,7 +277,7 @@ def scan(docs: DataFrame, scanner: Scanner) -> DataFrame:
             kinds = [pa.int64()] * 3 + [pa.string()] * 2 + [pa.int64()]
             yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(c, t) for c, t in zip(out, kinds)]], ["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_format"])
 
-    return batches(docs).select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text")).mapInArrow(run, SCHEMA)
+    return docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text")).mapInArrow(run, SCHEMA)
 
 
 MASK = "[secret]"
@@ -303,7 +303,7 @@ def redact(docs: DataFrame, scanner: Scanner, mask: str = MASK) -> DataFrame:
             out.append("".join([*parts, text[at:]]) if spans else text)
         return pd.Series(out, dtype="object")
 
-    out = batches(docs).withColumn("text", masked(docs["text"]))
+    out = docs.withColumn("text", masked(docs["text"]))
     return out.withColumn("n_chars", F.length("text").cast("long")).select(*columns) if "n_chars" in columns else out.select(*columns)
 
 

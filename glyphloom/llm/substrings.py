@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import CACHE, WordHashes, batches, checkpoint, grams, signed, table, utf8
+from .common import CACHE, WordHashes, checkpoint, grams, pieces, signed, table, utf8
 
 SIZE, K, DEPTH = 20, 6, 32
 FLUSH = 400_000
@@ -129,7 +129,7 @@ def _documents(docs: DataFrame) -> DataFrame:
     """(doc_id, n_words, sha): sha of the words joined by one blank."""
 
     def run(parts):
-        for batch in parts:
+        for batch in pieces(parts):
             words = [x.as_py().split() for x in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(w) for w in words], pa.int64()), pa.array([hashlib.sha256(b" ".join(w)).digest() for w in words], pa.binary())], ["doc_id", "n_words", "sha"])
 
@@ -334,7 +334,7 @@ def _kept(texts: DataFrame) -> DataFrame:
 
 def dedup(docs: DataFrame, size: int = SIZE, k: int = K, flush: int = FLUSH) -> DataFrame:
     """(doc_id, n_words, n_removed, kept_sha256), one row for each row of docs."""
-    raws = batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), utf8().alias("raw"))
+    raws = docs.select(F.col("doc_id").cast("long").alias("doc_id"), utf8().alias("raw"))
     found = checkpoint(_documents(raws).groupBy("doc_id", "sha", "n_words").agg(F.count("*").alias("copies")))
     content = F.conv(F.substring(F.hex("sha"), 1, 16), 16, -10).cast("long")
     owners = found.where("doc_id is not null").groupBy("sha").agg(F.min("doc_id").alias("owner"))

@@ -2,7 +2,7 @@
 
 A huge text is encoded in overlapping chunks, with offsets. Two neighbouring chunks are spliced where both have a token boundary right after a blank or newline that lies inside the overlap: no token of the vocabulary reaches over such a place, since its pre-tokenizer cuts at white space, so what follows it is encoded alike by both. Where the overlap holds no such place the right chunk starts further left and the left one ends further right, twice as far each time, until one is found or the chunk has become the whole text.
 
-A text up to the size of a chunk is cut at blanks and newlines only, for the same reason, and each distinct word is encoded once: its count is remembered. Texts with the strings of special tokens, which may hold or join any characters, are given to the library whole.
+A text up to the size of a chunk (CHUNK characters) is a single chunk. It is cut at blanks and newlines only, for the same reason, and each distinct word is encoded once: its count is remembered. Texts with the strings of special tokens, which may hold or join any characters, are given to the library whole.
 
 Null text: empty, no tokens. Empty table: no rows. Repeated rows are counted each; other columns are not read.
 """
@@ -10,13 +10,14 @@ Null text: empty, no tokens. Empty table: no rows. Repeated rows are counted eac
 from __future__ import annotations
 
 import os
+from bisect import bisect_left
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import batches, table, utf8
+from .common import pieces, table, utf8
 
-CHUNK, OVERLAP, LIMIT = 32_768, 256, 2048
+CHUNK, OVERLAP, LIMIT = 8192, 256, 2048
 CACHE = 300_000
 NAME = "word_bpe_49k.json"
 
@@ -30,6 +31,10 @@ def load(name: str = NAME, path: str | None = None):
     return Tokenizer.from_file(path or public_tokenizers.path(name))
 
 
+def _start(token: tuple[int, int]) -> int:
+    return token[0]
+
+
 class Counter:
     """Counts tokens of texts under one tokenizer that cuts at white space and drops it."""
 
@@ -51,46 +56,50 @@ class Counter:
         return [sum(map(get, words)) for words in cut]
 
     def huge(self, text: str) -> tuple[int, int]:
-        """(tokens, widenings) of a text in overlapping chunks."""
+        """(tokens, widenings) of a text in overlapping chunks. A chunk is [begin, stop); its tokens are (start, end) within it, in order."""
         total, begin, widened = 0, 0, 0
         size = len(text)
-        stop = min(begin + self.chunk, size)
-        offsets = self._offsets(text, begin, stop)
+        stop = min(self.chunk, size)
+        found, done = self._encode(text, 0, stop), 0  # the first `done` tokens were counted with the chunk before
         while stop < size:
             overlap = self.overlap
             while True:
                 left = max(begin, stop - overlap)
-                right = min(size, left + self.chunk)
-                after = self._offsets(text, left, right)
-                place = self._common(text, left, stop, offsets, after)
+                right = min(size, max(stop, left + self.chunk))
+                after = self._encode(text, left, right)
+                place = self._common(text, begin, found, left, after, stop)
                 if place is not None:
                     break
                 widened += 1
                 overlap *= 2
                 stop = min(size, stop + overlap)
-                offsets = self._offsets(text, begin, stop)
+                found = self._encode(text, begin, stop)
+                done = bisect_left(found, done_at - begin, key=_start) if begin else 0
                 if stop == size:
-                    return total + len(offsets), widened
-            total += sum(1 for a, _ in offsets if a < place)
-            begin, stop = place, right
-            offsets = [x for x in after if x[0] >= place]
-        return total + len(offsets), widened
+                    return total + len(found) - done, widened
+            total += bisect_left(found, place - begin, key=_start) - done
+            done = bisect_left(after, place - left, key=_start)
+            begin, stop, found, done_at = left, right, after, place
+        return total + len(found) - done, widened
 
-    def _offsets(self, text: str, begin: int, stop: int) -> list[tuple[int, int]]:
-        return [(a + begin, b + begin) for a, b in self.tokenizer.encode(text[begin:stop], add_special_tokens=False).offsets]
+    def _encode(self, text: str, begin: int, stop: int) -> list[tuple[int, int]]:
+        return self.tokenizer.encode(text[begin:stop], add_special_tokens=False).offsets
 
     @staticmethod
-    def _common(text, left, stop, before, after):
-        """A start of a token in both encodings, after white space, with the same tokens from there to the last full word before stop."""
+    def _common(text: str, begin: int, before: list, left: int, after: list, stop: int) -> int | None:
+        """Where both encodings start a token after white space and agree from there to the last full word before stop; none: not proven stable."""
         last = max(text.rfind(" ", left, stop), text.rfind("\n", left, stop))
         if last < 0:
             return None
-        a = [x for x in before if left < x[0] and x[1] <= last]
-        b = {x for x in after if x[1] <= last}
+        shift = left - begin
+        first = max(0, bisect_left(before, shift + 1, key=_start))
+        a = [(x - shift, y - shift) for x, y in before[first:] if y <= last - begin]
+        b = after[: bisect_left(after, last - left, key=_start)]
+        b = [x for x in b if x[1] <= last - left]
+        starts = {x: i for i, x in enumerate(b)}
         for i, x in enumerate(a):
-            if x in b and text[x[0] - 1] in " \n":
-                same = {y for y in b if y[0] >= x[0]}
-                return x[0] if same == set(a[i:]) else None
+            if x in starts and text[left + x[0] - 1] in " \n":
+                return left + x[0] if a[i:] == b[starts[x] :] else None
         return None
 
     def counts(self, texts: list[str]) -> list[int]:
@@ -109,28 +118,17 @@ class Counter:
 
 
 SCHEMA = "doc_id long, n_bytes long, n_tokens long, over_limit boolean"
-BATCH_BYTES = 4_000_000
 
 
 def count(docs: DataFrame, path: str | None = None, limit: int = LIMIT, chunk: int = CHUNK, overlap: int = OVERLAP) -> DataFrame:
     def run(parts):
         counter = Counter(load(path=path), chunk, overlap)
-        for batch in parts:
-            keys, raws = batch.column(0), batch.column(1)
-            at = 0
-            while at < batch.num_rows or not batch.num_rows:
-                texts, sizes, begin = [], [], at
-                while at < batch.num_rows and sum(sizes[-1:]) < BATCH_BYTES and len(texts) < 1000:
-                    raw = raws[at].as_py()
-                    texts.append(raw.decode("utf-8", "replace"))
-                    sizes.append(len(raw))
-                    at += 1
-                n = counter.counts(texts)
-                yield pa.RecordBatch.from_arrays([keys.slice(begin, len(n)), pa.array(sizes, pa.int64()), pa.array(n, pa.int64()), pa.array([x > limit for x in n], pa.bool_())], ["doc_id", "n_bytes", "n_tokens", "over_limit"])
-                if not batch.num_rows:
-                    break
+        for batch in pieces(parts):
+            raws = batch.column(1).to_pylist()
+            n = counter.counts([x.decode("utf-8", "replace") for x in raws])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(map(len, raws), pa.int64()), pa.array(n, pa.int64()), pa.array([x > limit for x in n], pa.bool_())], ["doc_id", "n_bytes", "n_tokens", "over_limit"])
 
-    return batches(docs).select(docs["doc_id"].cast("long").alias("doc_id"), utf8().alias("raw")).mapInArrow(run, SCHEMA)
+    return docs.select(docs["doc_id"].cast("long").alias("doc_id"), utf8().alias("raw")).mapInArrow(run, SCHEMA)
 
 
 def query(spark, sf_dir):
