@@ -13,5 +13,7 @@ QUERIES = {
     "op8_mixing": mixing.query,
     "op9_ngram_jaccard": jaccard.query,
     "op10_url_filter": urls.query,
+    "matroska_packets": media.packet_query,
+    "matroska_cues": media.cue_query,
 }
-ORACLES = {"op8_mixing": mixing.SQL, "op10_url_filter": urls.SQL}
+ORACLES = {"op8_mixing": mixing.SQL, "op10_url_filter": urls.SQL, "matroska_packets": media.PACKET_SQL, "matroska_cues": media.CUE_SQL}

@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import batches, table, utf8
+from .common import col, pieces, table, utf8
 
 EBML, SEGMENT, INFO, TRACKS, CLUSTER, CUES = 0x1A45DFA3, 0x18538067, 0x1549A966, 0x1654AE6B, 0x1F43B675, 0x1C53BB6B
 SCALE, TIMESTAMP, SIMPLE, GROUP, BLOCK, DURATION = 0x2AD7B1, 0xE7, 0xA3, 0xA0, 0xA1, 0x9B
@@ -239,26 +239,46 @@ def read_back(data: bytes, track: int = 1) -> tuple[bytes, list[tuple]]:
     return b"".join(data[p[7] : p[7] + p[8]] for p in packets), packets
 
 
+PACKETS = "cluster long, block long, frame long, track long, timestamp_ns long, is_key boolean, lacing long, offset long, length long"
+CUE_ROWS = "timestamp_ns long, track long, cluster_offset long"
+#: Rows handed on at a time: a file has many packets.
+ROWS = 50_000
+
+
 def _table(df: DataFrame, key: str, content: str, schema: str, part: int) -> DataFrame:
-    rows = df.select(df[key].alias("key"), df[content].cast("binary").alias("content"))
-    names = ["key", *[x.split()[0] for x in schema.split(", ")]]
+    """(key, ...): the packets (part 0) or cues (1) of each file; key keeps its type."""
+    rows = df.select(col(key).alias("key"), col(content).cast("binary").alias("content"))
+    names = [x.split()[0] for x in schema.split(", ")]
+    kinds = [pa.bool_() if x.endswith("boolean") else pa.int64() for x in schema.split(", ")]
 
     def run(parts):
         for batch in parts:
-            keys, files = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            out = [(k, *row) for k, f in zip(keys, files) if f is not None for row in parse(f)[part]]
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*out)], names)
+            keys = batch.column(0)
+            for i, file in enumerate(batch.column(1)):
+                found = parse(file.as_py())[part] if file.is_valid else []
+                for at in range(0, len(found), ROWS):
+                    some = found[at : at + ROWS]
+                    yield pa.RecordBatch.from_arrays([keys.take(pa.array([i] * len(some), pa.int64())), *(pa.array(c, t) for c, t in zip(zip(*some), kinds))], ["key", *names])
 
     return rows.mapInArrow(run, f"key {rows.schema['key'].dataType.simpleString()}, {schema}")
 
 
 def packets(df: DataFrame, key: str, content: str) -> DataFrame:
-    return _table(df, key, content, "cluster long, block long, frame long, track long, timestamp_ns long, is_key boolean, lacing long, offset long, length long", 0)
+    return _table(df, key, content, PACKETS, 0)
 
 
 def cues(df: DataFrame, key: str, content: str) -> DataFrame:
-    return _table(df, key, content, "timestamp_ns long, track long, cluster_offset long", 1)
+    return _table(df, key, content, CUE_ROWS, 1)
+
+
+def files(docs: DataFrame) -> DataFrame:
+    """(doc_id, content): each text, padded, as a Matroska file."""
+
+    def run(parts):
+        for batch in pieces(parts, 100):
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([write(pad(x.as_py())) for x in batch.column(1)], pa.binary())], ["doc_id", "content"])
+
+    return docs.select(docs["doc_id"].cast("long").alias("doc_id"), utf8().alias("raw")).mapInArrow(run, "doc_id long, content binary")
 
 
 def pad(raw: bytes) -> bytes:
@@ -279,7 +299,7 @@ def digests(docs: DataFrame) -> DataFrame:
     """Stores each text in a file and tells what the file, as read back, holds."""
 
     def run(parts):
-        for batch in parts:
+        for batch in pieces(parts):
             out = []
             for key, raw in zip(batch.column(0).to_pylist(), batch.column(1)):
                 raw = raw.as_py()
@@ -289,8 +309,29 @@ def digests(docs: DataFrame) -> DataFrame:
             kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string()]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out) if out else [()] * 8, kinds)], [x.split()[0] for x in SCHEMA.split(", ")])
 
-    return batches(docs).select(docs["doc_id"].cast("long").alias("doc_id"), utf8().alias("raw")).mapInArrow(run, SCHEMA)
+    return docs.select(docs["doc_id"].cast("long").alias("doc_id"), utf8().alias("raw")).mapInArrow(run, SCHEMA)
 
 
 def query(spark, sf_dir):
     return digests(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def packet_query(spark, sf_dir):
+    """The packet table of all documents' files."""
+    return packets(files(table(spark, sf_dir, "documents").select("doc_id", "text")), "doc_id", "content").select("key", "cluster", "block", "frame", "timestamp_ns", "length")
+
+
+def cue_query(spark, sf_dir):
+    """The cues of all documents' files."""
+    return cues(files(table(spark, sf_dir, "documents").select("doc_id", "text")), "doc_id", "content").select("key", "timestamp_ns", "track")
+
+
+_BYTES = f"SELECT doc_id, (greatest(1, (strlen(coalesce(text, '')) + {UNIT - 1}) // {UNIT}) * {UNIT})::BIGINT AS n FROM documents"
+_STEP = FRAME * 1000 // HERTZ * 1_000_000
+PACKET_SQL = f"""
+WITH b AS ({_BYTES}), f AS (SELECT doc_id, n, unnest(range((n + {FRAME - 1}) // {FRAME})) AS i FROM b)
+SELECT doc_id AS key, (i // {LACE * BLOCKS})::BIGINT AS cluster, (i % {LACE * BLOCKS} // {LACE})::BIGINT AS block, (i % {LACE})::BIGINT AS frame, (i * {_STEP})::BIGINT AS timestamp_ns, least({FRAME}, n - i * {FRAME})::BIGINT AS length FROM f
+"""
+CUE_SQL = f"""
+WITH b AS ({_BYTES}) SELECT doc_id AS key, (unnest(range((n + {FRAME * LACE * BLOCKS - 1}) // {FRAME * LACE * BLOCKS})) * {LACE * BLOCKS * _STEP})::BIGINT AS timestamp_ns, 1::BIGINT AS track FROM b
+"""
