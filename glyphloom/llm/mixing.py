@@ -4,7 +4,7 @@ Sizes are word counts. Sources are ranked by code point with null last and weigh
 
 A document is emitted floor(rate) times, rate being target / words of its source, plus one more time if a hash of (seed, doc_id, text) falls below the fraction: reruns agree whatever the partitioning.
 
-Null text: no words, emitted by the same rule. Null source: a source of its own, ranked last. Null doc_id: hashed as an empty string. Repeated rows: each is an own document with the same draw. Empty table: no rows. Columns named like the working ones are left alone: those have a prefix of two underscores.
+Null text: no words, emitted by the same rule. Null source: a source of its own, ranked last. Null doc_id: hashed as an empty string. Repeated rows: each is an own document with the same draw. Empty table: no rows. Columns of the documents keep their values whatever their names: working ones get names that no column has.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, table
+from .common import WORD, col, fresh, table
 
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
@@ -50,14 +50,15 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, share=SHARE, most=MOST) ->
     return per.select("source", "source_size", "target", rate.alias("rate"))
 
 
-def with_copies(docs: DataFrame, weights=WEIGHTS, share=SHARE, most=MOST, seed=SEED) -> DataFrame:
-    """Adds __size, __source_size, __target and __copies to each document."""
-    sized = docs.withColumn("__size", n_words())
+def with_copies(docs: DataFrame, weights=WEIGHTS, share=SHARE, most=MOST, seed=SEED, names: tuple[str, str, str, str] = ("size", "source_size", "target", "copies")) -> DataFrame:
+    """Adds columns of these names to each document: its words, those of its source, the target of that, and how often the document is taken."""
+    source, rate = fresh(docs, "mix_source", "mix_rate")
+    size, source_size, target, copies = names
     targets = source_targets(docs.select("source", n_words().alias("size")), weights, share, most)
-    targets = targets.select(F.col("source").alias("__source"), F.col("source_size").alias("__source_size"), F.col("target").alias("__target"), F.col("rate").alias("__rate"))
-    joined = sized.join(_small(targets), F.col("source").eqNullSafe(F.col("__source")), "left")
-    copies = F.floor("__rate") + F.when(draw(seed) < F.col("__rate") - F.floor("__rate"), 1).otherwise(0)
-    return joined.withColumn("__copies", copies.cast("long")).drop("__source", "__rate")
+    targets = _small(targets.select(F.col("source").alias(source), F.col("source_size").alias(source_size), F.col("target").alias(target), F.col("rate").alias(rate)))
+    taken = F.floor(rate) + F.when(draw(seed) < F.col(rate) - F.floor(rate), 1).otherwise(0)
+    out = docs.join(targets, F.col("source").eqNullSafe(F.col(source)), "left").withColumn(copies, taken.cast("long"))
+    return out.select(*map(col, docs.columns), n_words().alias(size), source_size, target, copies)
 
 
 #: Sources up to which their targets are broadcast; beyond it Spark chooses the join.
@@ -74,14 +75,14 @@ def _small(targets: DataFrame) -> DataFrame:
 
 def mix(docs: DataFrame, **options) -> DataFrame:
     """The documents as often as the mix takes them, with their own columns only."""
-    columns = docs.columns
-    return with_copies(docs, **options).where("__copies > 0").withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies").cast("int")))).select(*columns)
+    names = fresh(docs, "mix_size", "mix_source_size", "mix_target", "mix_copies")
+    taken = with_copies(docs, names=tuple(names), **options).where(F.col(names[3]) > 0)
+    return taken.withColumn(names[0], F.explode(F.sequence(F.lit(1), F.col(names[3]).cast("int")))).select(*map(col, docs.columns))
 
 
 def query(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
-    out = with_copies(docs)
-    return out.select("doc_id", F.col("__size").alias("size"), F.col("__source_size").alias("source_size"), F.col("__target").alias("target"), (F.col("__copies") * F.col("__size")).alias("taken"), F.col("__copies").alias("copies"))
+    out = with_copies(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+    return out.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies")
 
 
 SQL = rf"""
