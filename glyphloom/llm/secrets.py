@@ -1,17 +1,19 @@
 """Secret scans: fixed patterns, and probabilistic automata inferred from labelled credentials.
 
-Three base kinds are found by pattern, leftmost and without overlaps within a kind: assign, access, hex. The strings that they hold in a bounded sample of documents are labelled credentials, by kind, and other tokens of 12 characters and more are the background. For each label a prefix tree of character classes with counts is built, and its states are merged where their outgoing frequencies, and those of all states below, are statistically compatible (Hoeffding bounds): a probabilistic automaton for the format. A candidate is a token of 12 characters or more of the alphabet of credentials (letters, digits, + / _ . = -), or what base spans leave of it. Every candidate of every whole text is scored by the log-likelihood of its format over that of the background, whatever classes of characters it has; those above a threshold are spans of kind `format`. Where a candidate as a whole is not above it, each of its parts between dots is a candidate. Base spans always stay.
+Three base kinds are found by pattern, leftmost and without overlaps within a kind: assign, access, hex. Labelled credentials are the strings that these hold in a bounded sample of documents, by kind, and EXAMPLES strings made by a fixed draw for each of the public formats in SHAPES. Ordinary strings are the other tokens of 12 characters and more of that sample, as they are and in capitals, those joined to names and paths, and made numbers, dates, addresses and versions (PLAIN). For each label a prefix tree of character classes with counts is built, and its states are merged where their outgoing frequencies, and those of all states below, are statistically compatible (Hoeffding bounds): a probabilistic automaton for the format. A candidate is a token of 12 characters or more of the alphabet of credentials (letters, digits, + / _ . = -), or what base spans leave of it. Every candidate of every whole text is scored by the log-likelihood of its best format over that of the best ordinary automaton, whatever classes of characters it has; those above a threshold are spans of kind `format`. Where a candidate as a whole is not above it, each of its parts between dots is a candidate. Base spans always stay.
 
 Bounds of the fit: DOCS sampled documents (those with the smallest hashes of doc_id and text), LABELLED distinct strings of each label and BACKGROUND of the background, of at most LONGEST characters. Everything else covers all text.
 
-Null text: empty, no spans. Empty table or no labelled strings: base spans only. Repeated rows are scanned each and give the same spans. Columns other than doc_id and text are not read by the scan; redact changes text and n_chars alone.
+Null text: empty, no spans. Empty table: no rows. Repeated rows are scanned each and give the same spans. Columns other than doc_id and text are not read by the scan; redact changes text and n_chars alone.
 """
 
 from __future__ import annotations
 
 import hashlib
 import math
+import random
 import re
+import string
 from bisect import bisect_left
 
 import pyarrow as pa
@@ -33,6 +35,28 @@ CANDIDATE = re.compile(rf"[A-Za-z0-9+/_.=-]{{{LEAST},}}")
 PART = re.compile(rf"[^.]{{{LEAST},}}")
 DOCS, LABELLED, BACKGROUND, LONGEST = 4000, 400, 4000, 128
 ALPHA, THRESHOLD = 0.05, 12.0
+EXAMPLES = 300
+LOWER, DIGITS = string.ascii_lowercase, string.digits
+BASE62, HEX16 = string.ascii_letters + string.digits, "0123456789ABCDEF"
+#: Formats of credentials: parts are fixed strings or (characters, least and most of them).
+SHAPES = {
+    "base62": ((BASE62, 16, 48),),
+    "base64": ((BASE62 + "+/", 24, 86), ("=", 0, 2)),
+    "urlsafe": ((BASE62 + "-_", 24, 64),),
+    "capitals": ((HEX16, 16, 64),),
+    "prefix": ((LOWER, 2, 5), "_", (BASE62, 20, 40)),
+    "prefixes": ((LOWER, 2, 4), "_", (LOWER, 4, 4), "_", (BASE62, 20, 32)),
+    "dashes": ((LOWER, 3, 5), "-", (DIGITS, 8, 13), "-", (DIGITS, 8, 13), "-", (BASE62, 20, 32)),
+    "signed": ("eyJ", (BASE62 + "-_", 20, 40), ".", "eyJ", (BASE62 + "-_", 20, 40), ".", (BASE62 + "-_", 43, 43)),
+}
+_H4, _D2 = ("0123456789abcdef", 4, 4), (DIGITS, 2, 2)
+#: Ordinary strings that no credential is.
+PLAIN = (
+    ((DIGITS, 1, 15),), ("+", (DIGITS, 1, 3), "-", (DIGITS, 2, 4), "-", (DIGITS, 5, 9)), ((DIGITS, 3, 3), "-", (DIGITS, 3, 3), "-", (DIGITS, 4, 4)), ((DIGITS, 1, 9), ".", (DIGITS, 1, 12)),
+    ((DIGITS, 4, 4), "-", _D2, "-", _D2), ((DIGITS, 4, 4), "-", _D2, "-", _D2, "T", _D2), ((DIGITS, 4, 4), "/", _D2, "/", _D2), (_D2, ".", _D2, ".", (DIGITS, 4, 4)), ((DIGITS, 4, 4), _D2, _D2, "T", (DIGITS, 6, 6)),
+    ((DIGITS, 1, 3), ".", (DIGITS, 1, 3), ".", (DIGITS, 1, 3), ".", (DIGITS, 1, 3)), ((DIGITS, 1, 2), ".", (DIGITS, 1, 2), ".", (DIGITS, 1, 4), "-", (LOWER, 2, 5), (DIGITS, 1, 2)),
+    (_H4, _H4, "-", _H4, "-", _H4, "-", _H4, "-", _H4, _H4, _H4), ((DIGITS, 4, 4), "-", (DIGITS, 4, 4), "-", (DIGITS, 4, 4), "-", (DIGITS, 4, 4)), ("=", ("=-_.", 12, 40)), (("-_=.+/", 12, 40),),
+)
 #: Classes of characters, by position: digits, hex letters and other letters in either case, each sign for itself.
 CLASSES = {**dict.fromkeys("0123456789", "0"), **dict.fromkeys("abcdef", "a"), **dict.fromkeys("ghijklmnopqrstuvwxyz", "g"), **dict.fromkeys("ABCDEF", "A"), **dict.fromkeys("GHIJKLMNOPQRSTUVWXYZ", "G")}
 SIGNS = "0agAG+/_=-."
@@ -174,11 +198,34 @@ class Automaton:
         return total + self.stop[at]
 
 
+def made(shape: tuple, n: int, seed: str) -> list[str]:
+    """n strings of a shape, by a fixed draw."""
+    rng = random.Random(f"{seed}|{shape}")
+    return ["".join(x if isinstance(x, str) else "".join(rng.choices(x[0], k=rng.randint(*x[1:]))) for x in shape) for _ in range(n)]
+
+
+def joined(tokens: list[str], n: int, sign: str) -> list[str]:
+    """n names of two to five pieces of the letters of tokens, joined by a sign; none: each piece starts with a capital, but at times the first."""
+    pieces = [p for t in tokens for p in re.findall("[a-z]{2,9}", t.lower())] or ["name", "of", "word"]
+    rng = random.Random(f"joined|{sign}")
+    out = []
+    for _ in range(n):
+        some = rng.choices(pieces, k=rng.randint(2, 5))
+        if not sign:
+            some = [p.capitalize() if i or rng.random() < 0.5 else p for i, p in enumerate(some)]
+        elif rng.random() < 0.3:
+            some.append(str(rng.randint(0, 9999)))
+        out.append(sign.join(some))
+    return out
+
+
 class Background:
-    """Two automata: of the background strings as they are, and in capitals, since prose may be set in them and the few that are would be lost in merged states."""
+    """Automata of ordinary strings: of those of the corpus as they are, and in capitals, since prose may be set in them and the few that are would be lost in merged states; of names and paths made of their letters; and of numbers and dates."""
 
     def __init__(self, strings: list[str]):
         self.cases = [Automaton(strings), Automaton([s.upper() for s in strings])]
+        self.cases += [Automaton(joined(strings, EXAMPLES, sign)) for sign in ("", "_", "-", "/", ".")]
+        self.cases += [Automaton(made(shape, EXAMPLES // 3, "plain")) for shape in PLAIN]
 
     def score(self, classes: str) -> float:
         return max(a.score(classes) for a in self.cases)
@@ -249,8 +296,9 @@ def fit(docs: DataFrame, n: int = DOCS, labelled: int = LABELLED, threshold: flo
     for label, s in examples(docs, n):
         if len(by.setdefault(label, [])) < (labelled if label else BACKGROUND):
             by[label].append(s)
-    background = Background(by[""]) if by.get("") else None
-    return Scanner({k: Automaton(v) for k, v in sorted(by.items()) if k}, background, threshold)
+    for label, shape in SHAPES.items():
+        by.setdefault(label, []).extend(made(shape, EXAMPLES, label))
+    return Scanner({k: Automaton(v) for k, v in sorted(by.items()) if k}, Background(by.get("", [])), threshold)
 
 
 def _joined(spans) -> str:

@@ -223,6 +223,38 @@ def test_every_candidate_is_scored():
     assert not any(k == 3 for x in prose for _, k, _ in scanner.spans(x)[1])
 
 
+def test_credentials_of_other_formats(spark):
+    """Credentials that no base kind knows, among the documents of a table, and ordinary strings that must stay."""
+    docs = spark.read.parquet(f"{DIR}/../sf0.01/documents.parquet").select("doc_id", "text")
+    scanner = secrets.fit(docs)
+    rng = random.Random(9)
+    b62, pick = secrets.BASE62, lambda of, n: "".join(rng.choices(of, k=n))
+    planted = {
+        "chat": lambda: f"xoxb-{pick(secrets.DIGITS, 11)}-{pick(secrets.DIGITS, 12)}-{pick(b62, 24)}",
+        "payment": lambda: "sk_live_" + pick(b62, 24),
+        "cloud": lambda: pick(b62 + "/+", 40),
+        "capital hex": lambda: pick("0123456789ABCDEF", 33),
+        "forge": lambda: "ghp_" + pick(b62, 36),
+        "map": lambda: "AIza" + pick(b62 + "_-", 35),
+        "signed": lambda: f"eyJ{pick(b62 + '_-', 33)}.{pick(b62 + '_-', 61)}.{pick(b62 + '_-', 43)}",
+        "unseen length": lambda: pick(b62, 75),
+    }
+    rows = [(f"{name}", f"See {token} there.", token) for name, f in planted.items() for token in (f() for _ in range(50))]
+    plain = ["example.com/en/page/12345", "internationalization", "Donaudampfschifffahrtsgesellschaft", "2024-01-15T10:22:33.123", "192.168.100.1234", "first.last.name.example.com", "ABCDEFGHIJKLMN", "/usr/local/lib/python3.13/site-packages", "+49-170-1234567", "123456789012345", "getUserNameFromDatabase", "HTTPServerConnectionFactory", "MAX_BUFFER_SIZE_DEFAULT", "image_20240115_123456.jpg", "-" * 40, "=" * 30, "123e4567-e89b-12d3-a456-426614174000"]
+    found = secrets.scan(spark.createDataFrame([(i, t) for i, (_, t, _) in enumerate(rows)] + [(-1 - i, f"See {t} there.") for i, t in enumerate(plain)], "doc_id long, text string"), scanner).collect()
+    hits = defaultdict(int)
+    for r in found:
+        if r.doc_id >= 0:
+            name, _, token = rows[r.doc_id]
+            hits[name] += f"format:4:{4 + len(token)}" in r.spans.split(",")
+    assert all(hits[name] >= 47 for name in planted), dict(hits)
+    assert [r.spans for r in found if r.doc_id < 0 and "format" in r.spans] == []
+    assert secrets.scan(docs, scanner).agg(F.sum("n_format")).first()[0] == 0  # the table holds no others
+    clean = secrets.redact(spark.createDataFrame([(i, t, len(t)) for i, (_, t, _) in enumerate(rows)], "doc_id long, text string, n_chars long"), scanner)
+    assert clean.where("text = 'See [secret] there.' and n_chars = 19").count() >= 47 * len(planted)
+    assert secrets.fit(docs.limit(0)).secret(planted["cloud"]())
+
+
 def test_packing(docs, rows, empty):
     encoder = packing.Encoder()
     got = packing.pack(docs).toPandas()
