@@ -2,22 +2,24 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from .unicode import ARABIC, LATIN, MARKS, SPACE, ZWNJ, letters, ranges
+from .unicode import ARABIC, LATIN, MARKS, SPACE, TATWEEL, ZWNJ, letters, ranges
 
+Hook = Callable[[Column], Column]
 PROFILES = ("none", "conservative_sorani")
 MODES = ("any", "arabic_no_latin", "arabic_no_latin_digit", "arabic_letters_marks_space")
 #: Fixed: language tags whose texts skip the outer normaliser.
 SKIPPED_LANGUAGES = ("en", "eng", "english", "ar", "ara", "arabic", "fa", "fas", "per", "persian", "farsi", "tr", "tur", "turkish", "ku", "kur", "kmr", "kurmanji", "ckb", "srd", "ku-ar", "ku-latn")
 #: Fixed patterns of markup: ends of HTML blocks, tags; templates, links, emphasis of wikitext.
 BLOCK_END, TAG = r"(?i)</(p|div|br|li|h[1-6]|article|section|blockquote)>", r"<[^>]+>"
-TEMPLATE, LINK, EMPHASIS = r"\{\{[^{}]*\}\}", r"\[\[(?:[^|\]]*\|)?([^\]]+)\]\]", r"''+"
+TEMPLATE, LINK, EMPHASIS = r"\{\{[^{}]*\}\}", r"\[\[(?:[^|\]]*\|)?([^\]]+)\]\]", r"'{2,}"
 #: Fixed: where a text is cut into paragraphs.
 PARAGRAPH = r"[\n\x{61F}?!\x{61B};\x{3002}]+"
-SENTINEL = 64
 
 
 def strip(c: Column) -> Column:
@@ -27,12 +29,14 @@ def strip(c: Column) -> Column:
 def tatweel(c: Column) -> Column:
     """A tatweel before an Arabic letter goes (marks and tatweels between them don't count); else it stays after a letter that joins forward and becomes a dash after anything else."""
     run = ranges("M") + "\\x{640}"
-    c = F.regexp_replace(c, f"\\x{{640}}(?=[{run}]*+[{ranges('AL')}])", "")
-    return F.regexp_replace(c, f"\\x{{640}}(?<![{ranges('JOIN')}][{run}]{{0,{SENTINEL}}}\\x{{640}})", "-")
+    kept = F.regexp_replace(c, f"\\x{{640}}(?=[{run}]*+[{ranges('AL')}])", "")
+    # a run of marks and tatweels that no joining letter precedes: its first tatweel, then each next one from the end (\G) of the match before
+    dashed = F.regexp_replace(kept, f"(?:(?<![{ranges('JOIN')}{run}])|\\G)([{ranges('M')}]*+)\\x{{640}}", "$1-")
+    return F.when(c.contains(TATWEEL), dashed).otherwise(c)
 
 
 def yeh_nonfinal(c: Column) -> Column:
-    return F.regexp_replace(c, f"\\x{{64A}}(?=[{ranges('M')}\\x{{640}}]*+[{ranges('AL')}])", "ی")
+    return F.when(c.contains("ي"), F.regexp_replace(c, f"\\x{{64A}}(?=[{ranges('M')}\\x{{640}}]*+[{ranges('AL')}])", "ی")).otherwise(c)
 
 
 def strip_marks(c: Column) -> Column:
@@ -49,10 +53,12 @@ def blanks(c: Column) -> Column:
     return strip(F.regexp_replace(c, r"\n{3,}", "\n\n"))
 
 
-def normalize_label(c: Column, profile: str = "conservative_sorani", marks: bool = False, yeh: bool = False, zwnj: bool = False) -> Column:
-    """The label normaliser. What looks at neighbours comes first, since it looks at those of the original text."""
+def normalize_label(c: Column, profile: str = "conservative_sorani", marks: bool = False, yeh: bool = False, zwnj: bool = False, outer: Hook | None = None, transliterate: Hook | None = None) -> Column:
+    """The label normaliser. What looks at neighbours comes first, since it looks at those of the original text. Hooks are functions of a column: a transliteration is applied first, an outer normaliser next."""
     if profile not in PROFILES:
         raise ValueError(f"unknown profile {profile!r}; known: {', '.join(PROFILES)}")
+    for hook in (transliterate, outer):
+        c = hook(c) if hook else c
     sorani = profile == "conservative_sorani"
     if sorani:
         c = tatweel(c)
@@ -81,15 +87,17 @@ def clean_html(c: Column, **options) -> Column:
     return normalize_label(F.regexp_replace(F.regexp_replace(c, BLOCK_END, "\n"), TAG, " "), **options)
 
 
-def clean_wikitext(c: Column, **options) -> Column:
-    """Innermost templates go once, links keep their label, tags become blanks, quotes of emphasis go."""
-    for pattern, by in ((TEMPLATE, " "), (LINK, "$1"), (TAG, " "), (EMPHASIS, "")):
+def clean_wikitext(c: Column, parser: Hook | None = None, **options) -> Column:
+    """Innermost templates go once, links keep their label, tags become blanks, quotes of emphasis go; or a parser does all of it."""
+    for pattern, by in ((TEMPLATE, " "), (LINK, "$1"), (TAG, " "), (EMPHASIS, "")) if parser is None else ():
         c = F.regexp_replace(c, pattern, by)
-    return normalize_label(c, **options)
+    return normalize_label(parser(c) if parser else c, **options)
 
 
 def block_key(c: Column) -> Column:
-    return F.replace(F.lower(F.array_join(words(c), " ")), F.lit("ß"), F.lit("ss"))
+    """White space joined and case folded, for comparison only: lower case of upper case is full folding but for two letters, and its final sigma. What stands between the two keeps the optimiser from dropping the first."""
+    c = F.upper(F.translate(F.array_join(words(c), " "), "\u0131", "\ufdd0"))
+    return F.translate(F.lower(F.replace(c, F.lit("\u1e9e"), F.lit("SS"))), "\u03c2", "\u03c3")
 
 
 def join_unique_blocks(blocks: Column, **options) -> Column:
@@ -121,6 +129,14 @@ def uses_outer_normaliser(language: Column) -> Column:
     return F.coalesce((tag == "") | ~tag.isin(*SKIPPED_LANGUAGES), F.lit(True))
 
 
+#: Fixed: characters that a document has to have at least, by its source.
+LEAST = {"wikipedia": 100, "wikitext": 51, "text": 51, "jsonl": 51}
+
+
+def long_enough(c: Column, kind: str) -> Column:
+    return F.length(c) >= LEAST[kind]
+
+
 def words(c: Column) -> Column:
     """Split at white space. Its other characters become blanks first: a regular expression tries each range of a class on each character."""
     space = letters(SPACE)

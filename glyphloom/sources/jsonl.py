@@ -14,7 +14,6 @@ HTML = ("article_html", "content_html", "body_html", "html")
 BODY = ("content_text", "content", "body", "text", "article", "raw_content")
 LANGUAGE = ("language", "lang", "locale", "language_code")
 ID = ("id", "uuid", "url", "uri", "link", "slug")
-MORE_THAN = 50
 
 
 def pick(v: Column, names: tuple[str, ...]) -> Column:
@@ -29,16 +28,36 @@ def pick(v: Column, names: tuple[str, ...]) -> Column:
     return F.coalesce(*out)
 
 
-def documents(spark: SparkSession, path: str, **options) -> DataFrame:
-    """(title, language, text, doc_key) of the objects of a file of JSON lines, one for each id: without one, of each line. Lines that are no objects, and documents of up to MORE_THAN characters, are dropped, the latter after duplicates are."""
-    lines = spark.read.text(path).select(T.strip(F.col("value")).alias("line"), F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("n")).where("line <> ''")
-    rows = lines.withColumn("v", F.try_parse_json("line")).where(F.schema_of_variant("v").startswith("OBJECT"))
-    rows = rows.withColumn("doc_key", F.coalesce(pick(F.col("v"), ID), F.sha1("line")))
+def lines(spark: SparkSession, path: str, source: int = 0) -> DataFrame:
+    """(source_idx, file, n, line) of the lines of a file that aren't blank; n grows with the place in the file."""
+    rows = spark.read.text(path).select(F.lit(source).alias("source_idx"), F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("n"), T.strip(F.col("value")).alias("line"))
+    return rows.where("line <> ''")
+
+
+def first_documents(rows: DataFrame, **options) -> DataFrame:
+    """(source_idx, doc_key, title, language, text) of lines that are objects, one for each id among all sources: the first by source, file and place. Without an id each line is its own.
+
+    Documents of up to 50 characters are dropped, after duplicates are. With an outer normaliser (`outer`), texts whose language skips it don't pass through it.
+    """
     from ..operators.units import first_of_each
 
-    rows = first_of_each(rows.select("doc_key", "v", "file", "n"), "doc_key", "file", "n")
+    rows = rows.withColumn("v", F.try_parse_json("line")).where(F.schema_of_variant("v").startswith("OBJECT"))
+    rows = rows.withColumn("doc_key", F.coalesce(pick(F.col("v"), ID), F.sha1("line")))
+    rows = first_of_each(rows.select("source_idx", "doc_key", "v", "file", "n"), "doc_key", "source_idx", "file", "n")
     found = lambda names: pick(F.col("v"), names)
-    body = F.coalesce(T.clean_html(found(HTML), **options), found(BODY))
-    rows = rows.select("doc_key", found(TITLE).alias("title"), found(LANGUAGE).alias("language"), found(SUMMARY).alias("summary"), body.alias("body")).where("body IS NOT NULL")
+    raw = rows.select("source_idx", "doc_key", found(TITLE).alias("title"), found(LANGUAGE).alias("language"), found(SUMMARY).alias("summary"), found(HTML).alias("html"), found(BODY).alias("plain"))
+    outer = options.pop("outer", None)
+    body = F.coalesce(T.clean_html(F.col("html"), **options), F.col("plain"))
     text = T.join_unique_blocks(F.array("title", "summary", "body"), **options)
-    return rows.select("doc_key", "title", "language", text.alias("text")).where(F.length("text") > MORE_THAN)
+    if outer:
+        text = F.when(T.uses_outer_normaliser(F.coalesce("language", F.lit(""))), T.join_unique_blocks(F.array("title", "summary", "body"), outer=outer, **options)).otherwise(text)
+    rows = raw.withColumn("body", body).where("body IS NOT NULL").select("source_idx", "doc_key", "title", "language", text.alias("text"))
+    return rows.where(T.long_enough(F.col("text"), "jsonl"))
+
+
+def documents(spark: SparkSession, *paths: str, **options) -> DataFrame:
+    """(source_idx, doc_key, title, language, text) of the files of JSON lines, each id once among all of them."""
+    rows = lines(spark, paths[0])
+    for i, path in enumerate(paths[1:], 1):
+        rows = rows.unionByName(lines(spark, path, i))
+    return first_documents(rows, **options)

@@ -24,6 +24,9 @@ def value(spark, f, s):
         ({}, f"ب {TW} ب", "ب - ب"),
         ({}, f"ب{TW}\u064e{TW}ب", "ب\u064eب"),
         ({}, f"ب{TW}\u200eب", f"ب{TW}ب"),
+        ({}, f"ب{'\u064e' * 500}{TW}{'\u064e' * 70}{TW}", f"ب{'\u064e' * 500}{TW}{'\u064e' * 70}{TW}"),
+        ({}, f"ا{'\u064e' * 500}{TW}\u064e{TW}{TW} {TW}x{TW}{TW}", f"ا{'\u064e' * 500}-\u064e-- -x--"),
+        ({}, f"ب{TW}{TW}x{TW}ب{TW}", f"ب{TW}{TW}xب{TW}"),
         ({"profile": "none"}, f"ب{TW}ب", f"ب{TW}ب"),
         ({}, "كىي", "کیي"),
         ({"yeh": True}, "يب بي", "یب بي"),
@@ -59,6 +62,16 @@ def test_blocks(spark):
     join = lambda *b: spark.range(1).select(T.join_unique_blocks(F.array(*map(F.lit, b)))).first()[0]
     assert join("Title", "TITLE ", "body") == "Title\n\nbody"
     assert join("STRASSE", "straße") == "STRASSE"
+    assert join("ΣΑΣ", "σας", "ﬁn", "FIN", "ŉx", "ʼNX", "ı", "i", "ẞ", "ss") == "ΣΑΣ\n\nﬁn\n\nŉx\n\nı\n\ni\n\nẞ"
+
+
+def test_hooks(spark):
+    up = lambda c: F.upper(c)
+    assert value(spark, lambda c: T.normalize_label(c, transliterate=lambda x: F.replace(x, F.lit("a"), F.lit("b")), outer=up), "xa ") == "XB"
+    assert value(spark, lambda c: T.clean_wikitext(c, parser=lambda x: F.regexp_extract(x, "<b>(.*)</b>", 1)), "{{a}} <b>x</b> [[p|q]]") == "x"
+    lines = spark.createDataFrame([(0, "f", i, f'{{"id": {i + 1}, "lang": "{lang}", "text": "{"y" * 60}"}}') for i, lang in enumerate(("en", "xx", ""))], "source_idx int, file string, n long, line string")
+    got = {r.doc_key: r.text for r in jsonl.first_documents(lines, outer=up).collect()}
+    assert got == {"1": "y" * 60, "2": "Y" * 60, "3": "Y" * 60}
 
 
 @pytest.mark.parametrize(("mode", "given", "expected"), [("arabic_no_latin", "سل é", True), ("arabic_no_latin", "سل ö", False), ("arabic_no_latin_digit", "سل²", False), ("arabic_letters_marks_space", "س١،", True), ("arabic_letters_marks_space", "س\u200cل", False)])
@@ -94,6 +107,13 @@ def test_files(spark, tmp_path):
     (tmp_path / "a.jsonl").write_text("\n".join(lines))
     got = jsonl.documents(spark, str(tmp_path / "a.jsonl")).collect()
     assert [(r.doc_key, r.title) for r in got] == [("u", "T")]
+    (tmp_path / "b.jsonl").write_text("\n".join(['{"id": "u", "text": "' + "z" * 60 + '"}', '{"id": "new", "text": "' + "z" * 60 + '"}']))
+    both = files.read(spark, [f"{tmp_path}/b.jsonl:jsonl", f"{tmp_path}/a.jsonl:jsonl"])
+    assert sorted((r.source_idx, r.text[:1]) for r in both.collect()) == [(0, "z"), (0, "z")]  # u is taken from the first of the sources
+    for i in range(3):
+        (tmp_path / f"t{i}.txt").write_text(f"{i} " + "w" * 60)
+    assert [r.text[0] for r in files.read(spark, [f"{tmp_path}/t{i}.txt:text" for i in range(3)]).collect()] == ["0", "1", "2"]
+    assert files.read(spark, [f"{tmp_path}/t*.txt:text", f"{tmp_path}/t0.txt:text"], skip=1).count() == 2
     page = lambda title, body, more="": f"<page><title>{title}</title>{more}<revision><text xml:space='preserve'>{body}</text></revision></page>"
     (tmp_path / "w.xml").write_text("<mediawiki>" + page("A", "a" * 100) + page("B", "b" * 99) + page("C", "c" * 200, "<redirect title='A'/>") + "</mediawiki>")
     assert [r.title for r in files.wikipedia(spark, str(tmp_path / "w.xml")).collect()] == ["A"]
