@@ -3,45 +3,25 @@
 from __future__ import annotations
 
 import struct
-import zlib
+import time
 from collections.abc import Iterator
 
 import numpy as np
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from ..functions import kernels, outlines
+from ..functions import jpeg, kernels, outlines
 from ..functions.draws import SEED
 
-#: Font files up to this many bytes in all are broadcast; larger pools are joined to their lines.
-MOST_BYTES = 256 << 20
-PLAN = ("effective_profile", "noise", "band", "shadow", "stain", "rule", "warp", "rotate", "unsharp", "heavy_blur", "jpeg_quality")
+PLAN = ("effective_profile", "intensity", "noise", "noise_sigma", "band", "band_amplitude", "shadow", "stain", "rule", "warp", "rotate", "degrees", "unsharp", "unsharp_percent", "heavy_blur", "blur_radius", "jpeg_quality")
 #: Fixed: what the plain drawing of a line, used where the styled one fails, chooses from.
 PLAIN_WIDTHS, PLAIN_HEIGHTS, PLAIN_SIZES = (900, 1100, 1300, 1500, 1700), (64, 72, 80, 96), (22, 42)
 #: Rows handed on at a time: images are large.
 ROWS = 64
-ADDED = "image_width int, image_height int, bbox array<int>, render_fallback string, fallback_reason string, image_bytes binary"
-
-
-def png(a: np.ndarray) -> bytes:
-    h, w = a.shape[:2]
-
-    def chunk(tag: bytes, data: bytes) -> bytes:
-        return struct.pack(">I", len(data)) + tag + data + struct.pack(">I", zlib.crc32(tag + data))
-
-    rows = np.concatenate([np.zeros((h, 1), np.uint8), np.ascontiguousarray(a).reshape(h, -1)], axis=1).tobytes()
-    return b"\x89PNG\r\n\x1a\n" + chunk(b"IHDR", struct.pack(">IIBBBBB", w, h, 8, 2, 0, 0, 0)) + chunk(b"IDAT", zlib.compress(rows, 6)) + chunk(b"IEND", b"")
-
-
-def unpng(data: bytes) -> np.ndarray:
-    """Pixels of what png() made."""
-    w, h = struct.unpack_from(">II", data, 16)
-    at, body = 8, b""
-    while at < len(data):
-        n, tag = struct.unpack_from(">I4s", data, at)
-        body += data[at + 8 : at + 8 + n] if tag == b"IDAT" else b""
-        at += 12 + n
-    return np.frombuffer(zlib.decompress(body), np.uint8).reshape(h, 1 + 3 * w)[:, 1:].reshape(h, w, 3)
+ADDED = "image_width int, image_height int, bbox array<int>, render_fallback string, fallback_reason string, image_bytes binary, draw_us long, degrade_us long, code_us long"
+#: Fixed: quality of the images that are kept.
+QUALITY = 88
+#: Bytes of fonts that a worker keeps.
+FONT_BYTES = 128 << 20
 
 
 def color(text: str) -> tuple[int, ...]:
@@ -67,55 +47,52 @@ def plain(font: outlines.Font, row: dict, rng) -> np.ndarray:
     return a
 
 
-def rendered(lines: DataFrame, files: DataFrame, fallback: str | None = None, reject_over: int = 0, seed: int = SEED, **damage) -> DataFrame:
-    """Adds image columns to lines that have a font_path and what sheets.layout, styles, crop_boxes, crop_pads and damage_plan add; files: (path, content) of fonts.
+def rendered(lines: DataFrame, fallback: str | None = None, reject_over: int = 0, seed: int = SEED, **damage) -> DataFrame:
+    """Adds image columns (JPEG) and times to lines that have a font_path and what sheets.layout, styles, crop_boxes, crop_pads and damage_plan add.
 
-    Lines wider than reject_over pixels after damage are dropped, if it isn't 0. If a line can't be drawn in its style, the job fails, unless a fallback font's path is given: then it is drawn plainly in that font and says why. Empty and null texts are drawn as blank rows.
+    Workers read a font file when they first need it, from the folder that driver and executors share, and keep FONT_BYTES of them; no row carries font bytes. Lines wider than reject_over pixels after damage have no image (null), if it isn't 0. If a line can't be drawn in its style, the job fails, unless a fallback font's path is given: then it is drawn plainly in that font and says why. Empty and null texts are drawn as blank rows.
     """
-    total = files.agg(F.coalesce(F.sum(F.octet_length("content")), F.lit(0)).alias("n")).first().n
-    if total <= MOST_BYTES:
-        shared = lines.sparkSession.sparkContext.broadcast({r.path: bytes(r.content) for r in files.select("path", "content").collect()})
-    else:
-        shared = None
-        lines = lines.join(files.select(F.col("path").alias("font_path"), F.col("content").alias("__font")), "font_path", "left")
-    extra = {} if fallback is None or shared is not None else {fallback: bytes(files.where(F.col("path") == fallback).first().content)}
-    kept = [f for f in lines.schema.fields if f.name != "__font"]
-    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in kept]) + ", " + ADDED
-    names = [f.name for f in kept]
+    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in lines.schema.fields]) + ", " + ADDED
+    names = lines.columns
 
     def run(batches: Iterator) -> Iterator:
         import pandas as pd
 
-        fonts: dict[str, outlines.Font] = {}
+        fonts: dict[str, tuple[int, outlines.Font]] = {}
 
-        def font(path: str, row: dict) -> outlines.Font:
+        def font(path: str) -> outlines.Font:
             if path not in fonts:
-                if len(fonts) >= 64:
+                with open(path, "rb") as f:
+                    data = f.read()
+                while fonts and sum(n for n, _ in fonts.values()) + len(data) > FONT_BYTES:
                     fonts.pop(next(iter(fonts)))
-                fonts[path] = outlines.Font(shared.value[path] if shared is not None else extra.get(path) or row["__font"])
-            return fonts[path]
+                fonts[path] = len(data), outlines.Font(data)
+            return fonts[path][1]
 
-        def drawn(row: dict) -> list | None:
+        def drawn(row: dict) -> list:
             row["text"] = row["text"] if isinstance(row["text"], str) else ""
             rng, why = np.random.default_rng([seed, int(row["line_id"])]), None
+            times = [time.perf_counter()]
             try:
-                a = kernels.trim(styled(font(row["font_path"], row), row), row["crop_pad_x"], row["crop_pad_y"])
+                a = kernels.trim(styled(font(row["font_path"]), row), row["crop_pad_x"], row["crop_pad_y"])
             except (ValueError, KeyError, IndexError, struct.error) as e:
                 if fallback is None:
                     raise
                 why = f"{type(e).__name__}: {e}"[:500]
-                a = plain(font(fallback, row), row, rng)
-            a = kernels.damage(a, {k: row[k] for k in PLAN}, int(rng.integers(2**63)), **damage)
+                a = plain(font(fallback), row, rng)
+            times.append(time.perf_counter())
+            a = kernels.damage(a, {k: None if row[k] != row[k] else row[k] for k in PLAN}, int(rng.integers(2**63)), **damage)
+            times.append(time.perf_counter())
             h, w = a.shape[:2]
-            if reject_over and w > reject_over:
-                return None
-            return [*(row[n] for n in names), w, h, [0, 0, w, h], "plain_line" if why else None, why, png(a)]
+            image = None if reject_over and w > reject_over else jpeg.encode(a, QUALITY)
+            times.append(time.perf_counter())
+            return [*(row[n] for n in names), w, h, [0, 0, w, h], "plain_line" if why else None, why, image, *(int((b - a) * 1e6) for a, b in zip(times, times[1:]))]
 
-        columns = [*names, "image_width", "image_height", "bbox", "render_fallback", "fallback_reason", "image_bytes"]
+        columns = [*names, *(x.split()[0] for x in ADDED.split(", "))]
         for batch in batches:
             for first in range(0, len(batch), ROWS):
-                yield pd.DataFrame(filter(None, map(drawn, batch.iloc[first : first + ROWS].to_dict("records"))), columns=columns)
+                yield pd.DataFrame(map(drawn, batch.iloc[first : first + ROWS].to_dict("records")), columns=columns)
 
-    # A line takes a tenth of a second: lines are dealt out, however few partitions they come in.
+    # A line takes a hundredth of a second: lines are dealt out, however few partitions they come in.
     tasks = max(3 * lines.sparkSession.sparkContext.defaultParallelism, int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     return lines.repartition(tasks, "line_id").mapInPandas(run, schema)

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.draws import SEED, integer, pick, uniform, weighted
+from ..functions.kernels import BAND, NOISE
 
 LINES = 64
 #: Fixed: what is drawn for sheets and lines.
@@ -19,12 +20,16 @@ MIXED = ("mixed", "book_scan", "ugly_scan")
 #: Fixed: gates of damage with their probabilities.
 GATES = {"noise": 0.16, "band": 0.07, "shadow": 0.07, "stain": 0.035, "rule": 0.06, "warp": 0.06, "rotate": 0.15, "unsharp": 0.18, "heavy_blur": 0.05}
 LOW_JPEG, JPEG, LOW_JPEG_RANGE = 0.08, (62, 92), (42, 68)
+#: Fixed: intensities by profile, and from where to where the strength of each gate is drawn (whole percents of unsharp).
+INTENSITY = {"photocopy_bleed": (0.2, 0.82), "binary_lowres_bloat": (0.1, 0.42)}
+UNSHARP, BLUR, DEGREES = (110, 180), (0.45, 1.15), 0.8
 
 
 def pages(lines: DataFrame, size: int = LINES) -> DataFrame:
-    """Adds page_id, sheet_line_index and n_lines, which is short on the last sheet."""
+    """Adds page_id, sheet_line_index and n_lines, which is short on the last sheet. Lines are numbered from 0 without gaps, so the greatest number tells how many the last one has."""
+    last = lines.agg(F.coalesce(F.max("line_id"), F.lit(-1)).alias("n")).first().n
     out = lines.withColumn("page_id", F.floor(F.col("line_id") / size).cast("long")).withColumn("sheet_line_index", (F.col("line_id") % size).cast("int"))
-    return out.withColumn("n_lines", F.count("*").over(Window.partitionBy("page_id")).cast("int"))
+    return out.withColumn("n_lines", F.least(F.lit(size), F.lit(last + 1) - F.col("page_id") * size).cast("int"))
 
 
 def layout(df: DataFrame, max_height: int = 16000, seed: int = SEED) -> DataFrame:
@@ -61,8 +66,8 @@ def crop_boxes(df: DataFrame) -> DataFrame:
     return df.withColumn("crop_top", F.greatest(F.lit(0), top - margin)).withColumn("crop_right", F.col("sheet_width")).withColumn("crop_bottom", F.least(F.col("sheet_height"), top + F.col("row_height") + margin))
 
 
-def damage_plan(df: DataFrame, profile: str = "mixed", seed: int = SEED, gates: dict[str, float] = GATES, low_prob: float = LOW_JPEG, quality: tuple[int, int] = JPEG, low: tuple[int, int] = LOW_JPEG_RANGE) -> DataFrame:
-    """Adds effective_profile, a boolean for each gate and jpeg_quality (null: the image isn't coded on the way)."""
+def damage_plan(df: DataFrame, profile: str = "mixed", seed: int = SEED, gates: dict[str, float] = GATES, low_prob: float = LOW_JPEG, quality: tuple[int, int] = JPEG, low: tuple[int, int] = LOW_JPEG_RANGE, intensity: dict[str, tuple[float, float]] = INTENSITY, degrees: float = DEGREES) -> DataFrame:
+    """Adds effective_profile and intensity, for each gate a boolean, the strengths that are drawn for them (null: not used) and jpeg_quality (null: the image isn't coded on the way)."""
     u = lambda tag: uniform(F.col("line_id"), tag, seed)
     if profile not in {*MIXED, "browser_clean", *dict(PROFILES)}:
         raise ValueError(f"unknown profile {profile!r}")
@@ -72,6 +77,18 @@ def damage_plan(df: DataFrame, profile: str = "mixed", seed: int = SEED, gates:
     allowed = dict.fromkeys(("noise", "band", "shadow", "stain", "warp", "heavy_blur"), ~bloat) | {"rule": F.lit(True), "rotate": ~is_("digital_clean", "binary_lowres_bloat"), "unsharp": is_("book_scan", "overcooked_scan", "photocopy_bleed")}
     for gate, p in gates.items():
         df = df.withColumn(gate, ~clean & allowed[gate] & (u(gate) < p))
+    within = lambda tag, a, b: F.bround(F.lit(float(a)) + u(tag) * F.lit(float(b) - float(a)), 4)
+    strong = None
+    for name, (a, b) in intensity.items():
+        strong = (F.when if strong is None else strong.when)(is_(name), within("intensity", a, b))
+    df = df.withColumn("intensity", strong if strong is not None else F.lit(None).cast("double"))
+    df = df.withColumns({
+        "noise_sigma": F.when(F.col("noise"), within("noise_sigma", *NOISE)),
+        "band_amplitude": F.when(F.col("band"), within("band_amplitude", *BAND)),
+        "degrees": F.when(F.col("rotate"), within("degrees", -degrees, degrees)),
+        "unsharp_percent": F.when(F.col("unsharp"), integer(u("unsharp_percent"), *UNSHARP).cast("double")),
+        "blur_radius": F.when(F.col("heavy_blur"), within("blur_radius", *BLUR)),
+    })
     coded = F.when(u("low_jpeg") < low_prob, integer(u("quality"), *low)).otherwise(integer(u("quality"), *quality))
     return df.withColumn("jpeg_quality", F.when(~clean, coded))
 
@@ -81,10 +98,10 @@ def crop_pads(df: DataFrame, x: tuple[int, int] = (4, 28), y: tuple[int, int] =
     return df.withColumn("crop_pad_x", integer(uniform(F.col("line_id"), "crop_x", seed), *x)).withColumn("crop_pad_y", integer(uniform(F.col("line_id"), "crop_y", seed), *y))
 
 
-def too_high(df: DataFrame, max_height: int = 16000) -> DataFrame:
-    """(page_id, sheet_height, suggested): sheets that stay too high at the narrowest layout, with the number of lines that would fit."""
-    fits = F.greatest(F.lit(1), F.floor(F.lit(max_height - GAP_LEAST) / (ROW_LEAST + GAP_LEAST)).cast("int"))
-    return df.where(F.col("sheet_height") > max_height).select("page_id", "sheet_height", fits.alias("suggested")).distinct()
+def too_high(df: DataFrame, max_height: int = 16000, size: int = LINES) -> DataFrame:
+    """(page_id, sheet_height, suggested): sheets that stay too high at the narrowest layout, with the number of lines that would fit. None are if max_height is 0."""
+    fits = F.greatest(F.lit(1), F.floor(F.lit(size * max_height) / F.col("sheet_height")).cast("int"))
+    return df.where(F.lit(max_height > 0) & (F.col("sheet_height") > max_height)).select("page_id", "sheet_height", fits.alias("suggested")).distinct()
 
 
 def file_name(line_id: Column, suffix: str = "jpg") -> Column:

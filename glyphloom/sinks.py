@@ -10,7 +10,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .operators import sheets, units
+from .operators import metrics, sheets, units
 
 #: Fixed: names that a run owns in its output folder; nothing else there is touched.
 IMAGES, TRAIN, VAL, METADATA, CONFIG, TEMPORARY = "images", "train_list.txt", "val_list.txt", "metadata.jsonl", "generator_config.json", "_tmp_html"
@@ -90,17 +90,23 @@ def _append(rows: DataFrame, target: Path, staging: Path) -> None:
     shutil.rmtree(staging)
 
 
-def commit(spark: SparkSession, rows: DataFrame, out: str, suffix: str = "png") -> int:
-    """Rendered rows into the folder: first all rows to a staging table, so that nothing is drawn twice, then images, each by a rename, then manifests, last metadata. What resumes a run goes by metadata, so a row that is there has its image. Returns the number of rows."""
+def commit(spark: SparkSession, rows: DataFrame, out: str, every: int = 0) -> tuple[int, DataFrame]:
+    """Rendered rows into the folder: first all rows to a staging table, so that nothing is drawn twice, then images, each by a rename, then manifests, last metadata. What resumes a run goes by metadata, so a row that is there has its image. Rows without an image are rejected ones. Returns the number of rows, and the measures of each `every` sheets (operators.metrics)."""
     prepare(out)
     base = Path(out) / STAGING
-    rows.withColumn("filename", sheets.file_name(F.col("line_id"), suffix)).write.mode("overwrite").parquet(str(base / "rows"))
-    rows = spark.read.parquet(str(base / "rows"))
+    rows.withColumn("filename", sheets.file_name(F.col("line_id"))).write.mode("overwrite").parquet(str(base / "rows"))
+    every_row = spark.read.parquet(str(base / "rows"))
+    rows = every_row.where("image_bytes IS NOT NULL")
     n = rows.select("filename", "line_id", "image_bytes").mapInPandas(_images(str(Path(out) / IMAGES)), "line_id long").count()
     have = _lines(spark, out, TRAIN, VAL).select(F.regexp_extract("value", r"^images/line_(\d+)\.", 1).try_cast("long").alias("line_id")).distinct()
-    lines = sheets.manifest(rows, suffix).join(have, "line_id", "left_anti")  # a run that broke between manifests and metadata
+    lines = sheets.manifest(rows).join(have, "line_id", "left_anti")  # a run that broke between manifests and metadata
     for name, split in ((TRAIN, "train"), (VAL, "val")):
         _append(lines.where(F.col("split") == split), Path(out) / name, base / split)
     _append(sheets.metadata(rows), Path(out) / METADATA, base / "metadata")
+    kept = F.col("image_bytes").isNotNull().cast("long")
+    parts = every_row.select(F.col("sheet_page_id").alias("page_id"), kept.alias("lines"), kept.alias("files"), (1 - kept).alias("rejected"), F.coalesce(F.octet_length("image_bytes"), F.lit(0)).cast("long").alias("bytes"), "draw_us", "degrade_us", "code_us")
+    whole = ("files", "rejected", "bytes", "draw_us", "degrade_us", "code_us")
+    measures = metrics.rollup(metrics.merged(parts, whole, ()), ("lines", *whole[:3]), whole[3:], every) if every > 0 else parts.limit(0)
+    measures = spark.createDataFrame(measures.collect(), measures.schema)  # a row for each `every` sheets, before the staging table goes
     shutil.rmtree(base)
-    return n
+    return n, measures
