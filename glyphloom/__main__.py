@@ -8,6 +8,9 @@ from . import config
 
 
 def main(argv: list[str] | None = None) -> int:
+    for stream in (sys.stdout, sys.stderr):  # labels and titles are in any script, consoles need not be
+        if hasattr(stream, "reconfigure"):
+            stream.reconfigure(encoding="utf-8", errors="replace")
     o = config.parser().parse_args(argv)
     try:
         config.check(o)

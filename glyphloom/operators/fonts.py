@@ -11,7 +11,6 @@ from ..functions.draws import SEED, choice, uniform
 STYLES = ("regular", "normal", "bold", "bd", "italic", "it", "oblique", "light", "lt", "medium", "med", "semibold", "semi", "demibold", "black", "heavy", "thin", "extra", "extrabold", "extralight", "condensed", "narrow")
 #: Fixed: tokens that tell a vendor or collection.
 VENDORS = ("font", "fonts", "unicode", "kurdish", "kurdfonts", "collection", "sorani", "central", "main", "set", "abd", "xb", "k")
-SUFFIXES = (".ttf", ".otf", ".ttc")
 
 
 def _tokens(c: Column) -> Column:
@@ -29,12 +28,9 @@ def family_key(path: Column) -> Column:
     return F.when(key == "", "font").otherwise(key)
 
 
-def wanted(key: Column, path: Column, include: str | None = None, exclude: str | None = None) -> Column:
-    name = F.concat(key, F.lit(" "), path)
-    out = F.lower(path).rlike(r"\.(ttf|otf|ttc)\z")
-    if include:
-        out &= name.rlike(f"(?i){include}")
-    return out & ~name.rlike(f"(?i){exclude}") if exclude else out
+def matches(key: Column, path: Column, pattern: str) -> Column:
+    """Whether a pattern is found in a font's family and path, whatever the case."""
+    return F.concat(key, F.lit(" "), path).rlike(f"(?i){pattern}")
 
 
 def identity(size: Column, content: Column) -> Column:
@@ -58,18 +54,17 @@ def pool(paths: DataFrame) -> DataFrame:
 
 
 def assign(lines: DataFrame, fonts: DataFrame, key: str = "line_id", seed: int = SEED) -> DataFrame:
-    """A font for each line: first a family, all alike, then a file of it. The pool is as large as a font folder: it is broadcast if it has at most MOST files."""
-    families = fonts.select("family_idx", "n_variants").distinct()
-    counts = families.orderBy("family_idx").limit(MOST).collect()
-    if not counts:
+    """A font for each line: first a family, all alike, then a file of it. The pool is as large as a font folder: its files are broadcast if they are at most MOST, and joined by their numbers otherwise."""
+    pool = fonts.agg(F.count_distinct("family_idx").alias("families"), F.count("*").alias("files")).first()
+    if not pool.families:
         raise ValueError("no fonts")
-    sizes = F.array(*[F.lit(int(r.n_variants)) for r in counts])
-    chosen = lines.withColumn("family_idx", choice(uniform(F.col(key), "family", seed), len(counts)))
-    chosen = chosen.withColumn("variant_idx", F.floor(uniform(F.col(key), "variant", seed) * F.element_at(sizes, F.col("family_idx") + 1)).cast("int"))
+    small = F.broadcast if pool.files <= MOST else lambda df: df
+    families = fonts.select("family_idx", F.col("n_variants").alias("__variants")).distinct()
+    chosen = lines.withColumn("family_idx", choice(uniform(F.col(key), "family", seed), pool.families)).join(small(families), "family_idx")
+    chosen = chosen.withColumn("variant_idx", F.floor(uniform(F.col(key), "variant", seed) * F.col("__variants")).cast("int")).drop("__variants")
     files = fonts.select("family_idx", "variant_idx", F.col("family").alias("font_family"), F.col("path").alias("font_path"))
-    if sum(r.n_variants for r in counts) <= MOST:
-        files = F.broadcast(files)
-    return chosen.join(files, ["family_idx", "variant_idx"])
+    return chosen.join(small(files), ["family_idx", "variant_idx"])
 
 
+#: Files of a pool that are broadcast: a few MB of paths.
 MOST = 20_000

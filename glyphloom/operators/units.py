@@ -16,9 +16,13 @@ PARAGRAPH_LEAST = 4
 
 
 def checkpoint(df: DataFrame) -> DataFrame:
-    sc = df.sparkSession.sparkContext
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="glyphloom-"))
+    """Cuts the lineage with files in the folder that spark.checkpoint.dir names. Where it is unset: a temporary one under a local master; a cluster has to name one that all share."""
+    spark = df.sparkSession
+    if spark.sparkContext.getCheckpointDir() is None:
+        folder, master = spark.conf.get("spark.checkpoint.dir", None), spark.sparkContext.master
+        if not folder and (not master.startswith("local") or master.startswith("local-cluster")):
+            raise ValueError("spark.checkpoint.dir has to name a folder that driver and executors share")
+        spark.sparkContext.setCheckpointDir(folder or tempfile.mkdtemp(prefix="glyphloom-"))
     return df.checkpoint()
 
 
@@ -59,16 +63,17 @@ def with_line_ids(rows: DataFrame, *order: str, name: str = "line_id") -> DataFr
 
 
 def numbered(ordered: DataFrame, name: str) -> DataFrame:
-    """Numbers rows as they stand: partition after partition."""
+    """Numbers rows as they stand: partition after partition. What the partitions before hold is a table with a row for each, which is broadcast."""
     ordered = checkpoint(ordered)
-    counts = {r.p: r.n for r in ordered.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).collect()}  # a row for each partition
+    counts = ordered.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).collect()  # a row for each partition
     before, total = [], 0
-    for p in range(max(counts, default=-1) + 1):
-        before.append(total)
-        total += counts.get(p, 0)
-    offsets = F.array(*[F.lit(n).cast("long") for n in before or [0]])
+    for p, n in sorted((r.p, r.n) for r in counts):
+        before.append((p, total))
+        total += n
+    offsets = F.broadcast(ordered.sparkSession.createDataFrame(before, "__part int, __before long"))
     place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
-    return ordered.withColumn(name, place + F.element_at(offsets, F.spark_partition_id() + 1))
+    placed = ordered.withColumn("__place", place).withColumn("__part", F.spark_partition_id())
+    return placed.join(offsets, "__part").withColumn(name, F.col("__place") + F.col("__before")).drop("__part", "__place", "__before")
 
 
 def numbered_units(docs: DataFrame, unit: str | tuple[int, ...] = "line", script: str = "any", seed: int = SEED, key: str = "doc_id", order: str | None = None, keep: tuple[str, ...] = ()) -> DataFrame:

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import argparse
+import time
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import config, sinks
 from ..functions.draws import uniform
-from ..operators import fonts, render, sheets, units
+from ..operators import fonts, metrics, render, sheets, units
 from ..sources import discover, files
 
 GATE_OPTIONS = {"noise": "extra_noise_prob", "band": "scanner_band_prob", "shadow": "edge_shadow_prob", "stain": "stain_prob", "rule": "nearby_rule_prob", "warp": "perspective_warp_prob", "heavy_blur": "heavy_blur_prob"}
@@ -33,7 +34,9 @@ def line_tasks(spark: SparkSession, o: argparse.Namespace) -> DataFrame:
     """(line_id, text, source_path, source_type, label_source_index, label_repeat_index): units of interleaved documents, or repeated labels."""
     options = {"profile": o.text_cleanup_profile, "marks": o.strip_arabic_marks, "yeh": o.normalize_arabic_yeh_nonfinal, "zwnj": o.normalize_zwnj}
     if o.label_source_manifest:
-        rows = files.labels(spark, o.label_source_manifest, o.script_filter, not o.no_label_source_dedupe, **options)
+        judged = files.judged_labels(files.raw_labels(spark, o.label_source_manifest), o.script_filter, not o.no_label_source_dedupe, **options)
+        print("labels:", ", ".join(f"{k} {v}" for k, v in files.label_counts(judged).first().asDict().items()))
+        rows = judged.where("fate = 'accepted'").select("label_idx", "label")
         rows = units.with_line_ids(rows, "label_idx", name="place").drop("label_idx")
         if o.label_source_shuffle:
             seed = o.seed + SHUFFLE if o.label_source_shuffle_seed is None else o.label_source_shuffle_seed
@@ -65,16 +68,21 @@ def planned(tasks: DataFrame, pool: DataFrame, o: argparse.Namespace) -> DataFra
     df = sheets.styles(df, o.text_opacity_prob, o.word_spacing_prob, o.letter_spacing_prob, o.seed, (o.word_spacing_min_px, o.word_spacing_max_px), (o.letter_spacing_min_px, o.letter_spacing_max_px))
     df = sheets.crop_pads(sheets.crop_boxes(df), (o.crop_pad_x_min, o.crop_pad_x_max), (o.crop_pad_y_min, o.crop_pad_y_max), o.seed)
     gates = sheets.GATES | {g: getattr(o, name) for g, name in GATE_OPTIONS.items()}
-    df = sheets.damage_plan(df, o.degradation_profile, o.seed, gates, o.low_quality_jpeg_prob, (o.jpeg_quality_min, o.jpeg_quality_max), (o.low_quality_jpeg_min, o.low_quality_jpeg_max))
+    intensity = {"photocopy_bleed": (o.photocopy_bleed_intensity_min, o.photocopy_bleed_intensity_max), "binary_lowres_bloat": (o.binary_bloat_intensity_min, o.binary_bloat_intensity_max)}
+    df = sheets.damage_plan(df, o.degradation_profile, o.seed, gates, o.low_quality_jpeg_prob, (o.jpeg_quality_min, o.jpeg_quality_max), (o.low_quality_jpeg_min, o.low_quality_jpeg_max), intensity, o.max_rotation_degrees)
     df = units.split_ratio(df, o.val_ratio, o.seed) if o.val_count is None else units.split_exact(df, o.val_count, o.seed)
     named = {"page_id": "sheet_page_id", "row_height": "sheet_row_height", "gap": "sheet_gap", "compacted": "sheet_compacted_for_height"}
     return df.withColumns({new: F.col(old) for old, new in named.items()} | {"degradation_profile": F.lit(o.degradation_profile)})
 
 
 def font_pool(spark: SparkSession, o: argparse.Namespace) -> DataFrame:
-    if not o.fonts_dir and not o.extra_font_dir:
+    folders = [f for f in [o.fonts_dir, *o.extra_font_dir, *(discover.system_folders() if o.include_windows_fonts else [])] if f]
+    if not folders:
         raise ValueError("no fonts; give --fonts-dir")
-    found = discover.font_files(spark, [f for f in [o.fonts_dir, *o.extra_font_dir] if f], not o.no_dedupe_font_files, not o.no_group_font_families, o.font_include_regex, o.font_exclude_regex)
+    suffixes = (*discover.SUFFIXES, *(discover.WEB_SUFFIXES if o.include_web_fonts else ()))
+    judged = discover.judged_fonts(spark, folders, not o.no_dedupe_font_files, not o.no_group_font_families, o.font_include_regex, o.font_exclude_regex, suffixes)
+    print("fonts:", ", ".join(f"{k} {v}" for k, v in discover.font_counts(judged).first().asDict().items()))
+    found = judged.where("fate = 'accepted'").select("family", "path")
     if found.isEmpty():
         raise ValueError("no font is left")
     return found
@@ -91,8 +99,7 @@ def run(spark: SparkSession, o: argparse.Namespace) -> int:
         raise ValueError("manifests have rows and metadata none; use --overwrite")
     if had.metadata_rows != had.manifest_rows:
         print(f"metadata have {had.metadata_rows} rows, manifests {had.manifest_rows}")
-    files_ = font_pool(spark, o)
-    pool = fonts.pool(files_.select("family", "path"))
+    pool = fonts.pool(font_pool(spark, o))
     counts = pool.agg(F.count_distinct("family").alias("font_families"), F.count("*").alias("font_files")).first().asDict()
     options = vars(o) | counts
     if had.metadata_rows:
@@ -106,11 +113,15 @@ def run(spark: SparkSession, o: argparse.Namespace) -> int:
     sinks.prepare(o.output_dir)
     sinks.write_config(o.output_dir, options | {"created_at": spark.sql("SELECT date_format(now(), 'yyyy-MM-dd HH:mm:ss')").first()[0]})
     lines = planned(line_tasks(spark, o), pool, o)
+    high = sheets.too_high(lines, o.browser_max_screenshot_height, o.sheet_lines).orderBy("suggested").first()
+    if high:
+        raise ValueError(f"sheet {high.page_id} is {high.sheet_height} pixels high, {o.browser_max_screenshot_height} are allowed; use --sheet-lines {high.suggested} or --browser-max-screenshot-height 0")
     if had.metadata_rows:
         lines = units.remaining(lines, sinks.written(spark, o.output_dir))
     fallback = None if o.fallback_renderer == "none" else pool.orderBy("path").first().path
-    drawn = render.rendered(
-        lines, files_, fallback, o.reject_crop_width_over, o.seed, max_degrees=o.max_rotation_degrees, frac=o.max_perspective_shift_frac, pad=o.geometry_pad_px,
-        bleed=(o.photocopy_bleed_intensity_min, o.photocopy_bleed_intensity_max), bloated=(o.binary_bloat_intensity_min, o.binary_bloat_intensity_max),
-    )
-    return sinks.commit(spark, drawn, o.output_dir)
+    began = time.monotonic()
+    drawn = render.rendered(lines, fallback, o.reject_crop_width_over, o.seed, frac=o.max_perspective_shift_frac, pad=o.geometry_pad_px)
+    n, measures = sinks.commit(spark, drawn, o.output_dir, max(1, o.bench_every))
+    for line in metrics.report(measures, time.monotonic() - began):
+        print(line, flush=True)
+    return n

@@ -13,8 +13,8 @@ from .. import config
 from ..functions import text as T
 from ..functions import unicode as U
 from ..functions.draws import SEED, sql_uniform, uniform
-from ..operators import fonts, render, sheets, units
-from ..sources import discover
+from ..operators import fonts, metrics, render, sheets, units
+from ..sources import discover, files
 from . import dataset
 
 FROM = "abcdefghijklmnopqrstuvwz.,!"
@@ -115,12 +115,12 @@ def wikitext_to_text(spark, sf_dir):
 _KEY = "replace(lower(" + _strip(f"regexp_replace(b, '[{SP}]+', ' ', 'g')") + "), 'ß', 'ss')"
 
 
-@query(f"""WITH x AS (SELECT conv_id, turn, {_blanks(_drop("text", CF))} AS b FROM conversations WHERE turn IN (0, 1, 2)), y AS (
+@query(f"""WITH x AS (SELECT conv_id, turn, {_blanks(_drop("text", CF))} AS b FROM conversations), y AS (
  SELECT conv_id, unnest([0, 1]) AS again, turn, b FROM x), z AS (SELECT *, {_KEY} AS k, row_number() OVER (PARTITION BY conv_id, {_KEY} ORDER BY again, turn) AS n FROM y)
  SELECT conv_id, coalesce(string_agg(b, chr(10) || chr(10) ORDER BY again, turn) FILTER (WHERE n = 1 AND k <> ''), '') AS label FROM z GROUP BY conv_id""")
 def join_unique_blocks(spark, sf_dir):
-    """The first three turns, twice each, so that there is something to drop."""
-    turns = _t(spark, sf_dir, "conversations").where("turn IN (0, 1, 2)").groupBy("conv_id").agg(F.transform(F.sort_array(F.collect_list(F.struct("turn", "text"))), lambda x: x["text"]).alias("b"))
+    """All turns, twice each, so that there is something to drop."""
+    turns = _t(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.transform(F.sort_array(F.collect_list(F.struct("turn", "text"))), lambda x: x["text"]).alias("b"))
     return turns.select("conv_id", T.join_unique_blocks(F.concat("b", "b"), profile="none").alias("label"))
 
 
@@ -141,6 +141,21 @@ def doc_dedup(spark, sf_dir):
     return units.first_of_each(docs, "doc_key", "doc_id")
 
 
+_JSON = "jl AS (SELECT doc_id, doc_id % 3 AS source_idx, 'id' || (doc_id // 2) AS doc_key, lang, source, text FROM documents)"
+
+
+@query(f"""WITH {_JSON}, f AS (SELECT *, row_number() OVER (PARTITION BY doc_key ORDER BY source_idx, doc_id) AS n FROM jl), t AS (SELECT source_idx, doc_key, source AS title, lang AS language, {_blanks(_drop('text', CF))} AS b, {_blanks(_drop('source', CF))} AS s FROM f WHERE n = 1)
+ SELECT source_idx::INT AS source_idx, doc_key, title, language, CASE WHEN b = '' THEN s WHEN lower(b) = lower(s) THEN s ELSE s || chr(10) || chr(10) || b END AS text FROM t WHERE length(CASE WHEN b = '' OR lower(b) = lower(s) THEN s ELSE s || chr(10) || chr(10) || b END) > 50""")
+def jsonl_documents(spark, sf_dir):
+    """Documents as JSON lines of three sources, in which ids repeat within and across sources."""
+    from ..sources import jsonl
+
+    i = F.col("doc_id")
+    record = F.to_json(F.struct(F.concat(F.lit("id"), F.floor(i / 2).cast("string")).alias("id"), F.col("source").alias("title"), F.col("lang").alias("language"), F.col("text").alias("content")))
+    rows = _docs(spark, sf_dir).select((i % 3).cast("int").alias("source_idx"), F.lit("documents").alias("file"), i.alias("n"), record.alias("line"))
+    return jsonl.first_documents(rows, profile="none")
+
+
 @query("SELECT doc_id, lang NOT IN (" + ", ".join(f"'{x}'" for x in T.SKIPPED_LANGUAGES) + ") AS outer_normaliser FROM documents")
 def lang_gate(spark, sf_dir):
     return _docs(spark, sf_dir).select("doc_id", T.uses_outer_normaliser(F.col("lang")).alias("outer_normaliser"))
@@ -148,7 +163,7 @@ def lang_gate(spark, sf_dir):
 
 @query("SELECT doc_id, length(text) >= 100 AS wiki, length(text) > 50 AS other FROM documents")
 def length_gates(spark, sf_dir):
-    return _docs(spark, sf_dir).select("doc_id", (F.length("text") >= 100).alias("wiki"), (F.length("text") > 50).alias("other"))
+    return _docs(spark, sf_dir).select("doc_id", T.long_enough(F.col("text"), "wikipedia").alias("wiki"), T.long_enough(F.col("text"), "jsonl").alias("other"))
 
 
 _DIG = U.ranges("digit")
@@ -274,9 +289,12 @@ def font_dedup(spark, sf_dir):
 _LABELS = f"lab0 AS (SELECT item_id, {_blanks('text')} AS label FROM benchmark), lab AS (SELECT label, min(item_id) AS item_id FROM lab0 WHERE label <> '' GROUP BY label)"
 
 
+def _judged(spark, sf_dir):
+    return files.judged_labels(_t(spark, sf_dir, "benchmark").select("item_id", F.col("text").alias("raw")), order="item_id", profile="none")
+
+
 def _labels(spark, sf_dir):
-    rows = _t(spark, sf_dir, "benchmark").select("item_id", T.normalize_label(F.col("text"), profile="none").alias("label")).where("label <> ''")
-    return units.first_of_each(rows, "label", "item_id")
+    return _judged(spark, sf_dir).where("fate = 'accepted'").select("item_id", "label")
 
 
 @query(f"WITH {_LABELS}, r AS (SELECT label, item_id, unnest([0, 1, 2])::INT AS repeat_idx FROM lab) SELECT row_number() OVER (ORDER BY item_id, repeat_idx) - 1 AS line_id, item_id, repeat_idx, label FROM r")
@@ -291,11 +309,9 @@ def label_shuffle(spark, sf_dir):
     return units.with_line_ids(rows, "u", "item_id", name="place").select("place", "item_id")
 
 
-@query(f"WITH {_LABELS} SELECT (SELECT count(*) FROM benchmark) AS raw, (SELECT count(*) FROM lab0 WHERE label = '') AS empty, (SELECT count(*) FROM lab0 WHERE label <> '') - (SELECT count(*) FROM lab) AS duplicates, (SELECT count(*) FROM lab) AS accepted")
+@query(f"WITH {_LABELS} SELECT (SELECT count(*) FROM benchmark) AS raw, (SELECT count(*) FROM lab0 WHERE label = '') AS empty, 0 AS script, (SELECT count(*) FROM lab0 WHERE label <> '') - (SELECT count(*) FROM lab) AS duplicates, (SELECT count(*) FROM lab) AS accepted")
 def label_counters(spark, sf_dir):
-    rows = _t(spark, sf_dir, "benchmark").select(T.normalize_label(F.col("text"), profile="none").alias("label"))
-    n = rows.groupBy("label").count().agg(F.sum("count").alias("raw"), F.coalesce(F.sum(F.when(F.col("label") == "", F.col("count"))), F.lit(0)).alias("empty"), F.count_if(F.col("label") != "").alias("accepted"))
-    return n.select("raw", "empty", (F.col("raw") - F.col("empty") - F.col("accepted")).alias("duplicates"), "accepted")
+    return files.label_counts(_judged(spark, sf_dir))
 
 
 def _pick(u: str, values: list) -> str:
@@ -405,7 +421,7 @@ def metadata_rows(spark, sf_dir):
 def _drawn(spark, sf_dir, folders, **options):
     found = discover.font_files(spark, folders, exclude="math")
     tasks = units.with_line_ids(_labels(spark, sf_dir), "item_id").select("line_id", "item_id", F.col("label").alias("text"))
-    return render.rendered(dataset.planned(tasks, fonts.pool(found.select("family", "path")), config.parser().parse_args([])), found, **options)
+    return render.rendered(dataset.planned(tasks, fonts.pool(found), config.parser().parse_args([])), **options)
 
 
 FONTS = "/usr/share/fonts/truetype"
@@ -446,7 +462,14 @@ def _gates() -> str:
     return ", ".join(f"{allowed.get(g, bloat)} AND {_line(g)} < {p}::DOUBLE AS {g}" for g, p in sheets.GATES.items())
 
 
-_PLAN = f"{LINES_SQL}, pl0 AS (SELECT line_id, {_profile()} AS p FROM lines), pl AS (SELECT line_id, p AS effective_profile, {_gates()}, CASE WHEN {_line('low_jpeg')} < 0.08::DOUBLE THEN {_int(_line('quality'), 42, 68)} ELSE {_int(_line('quality'), 62, 92)} END AS jpeg_quality FROM pl0)"
+def _drawn_within(tag: str, low: float, high: float) -> str:
+    return f"round_even({float(low)}::DOUBLE + {_line(tag)} * {float(high) - float(low)!r}::DOUBLE, 4)"
+
+
+_STRENGTH = " ".join(f"WHEN '{name}' THEN {_drawn_within('intensity', *ends)}" for name, ends in sheets.INTENSITY.items())
+_STRENGTHS = f"""CASE p {_STRENGTH} END AS intensity, CASE WHEN noise THEN {_drawn_within("noise_sigma", *sheets.NOISE)} END AS noise_sigma, CASE WHEN band THEN {_drawn_within("band_amplitude", *sheets.BAND)} END AS band_amplitude,
+ CASE WHEN rotate THEN {_drawn_within("degrees", -sheets.DEGREES, sheets.DEGREES)} + 0.0::DOUBLE END AS degrees, CASE WHEN unsharp THEN {_int(_line("unsharp_percent"), *sheets.UNSHARP)}::DOUBLE END AS unsharp_percent, CASE WHEN heavy_blur THEN {_drawn_within("blur_radius", *sheets.BLUR)} END AS blur_radius"""
+_PLAN = f"{LINES_SQL}, pl0 AS (SELECT line_id, {_profile()} AS p FROM lines), pl1 AS (SELECT line_id, p, {_gates()} FROM pl0), pl AS (SELECT * EXCLUDE p, p AS effective_profile, {_STRENGTHS}, CASE WHEN {_line('low_jpeg')} < 0.08::DOUBLE THEN {_int(_line('quality'), 42, 68)} ELSE {_int(_line('quality'), 62, 92)} END AS jpeg_quality FROM pl1)"
 
 
 @query(f"WITH {_PLAN} SELECT * FROM pl")
@@ -459,17 +482,25 @@ def profile_mix(spark, sf_dir):
     return sheets.damage_plan(_lines(spark, sf_dir).select("line_id")).groupBy("effective_profile").agg(F.count("*").alias("n"), F.count_if("noise").alias("noisy"))
 
 
-@query("SELECT event_id // 100 AS part, event_type, count(*) AS sheets, sum(round(value * 1000)::BIGINT)::BIGINT AS total_ms FROM events GROUP BY 1, 2")
+@query("""WITH s AS (SELECT event_id, user_id % 64 AS n, round(value * 1000000)::BIGINT AS us FROM events), h AS (SELECT event_id // 2 AS page_id, sum(n)::BIGINT AS lines, coalesce(sum(us * n) // nullif(sum(n), 0), 0)::BIGINT AS degrade_us, sum(us)::BIGINT AS draw_us FROM s GROUP BY 1)
+ SELECT page_id // 100 AS part, count(*) AS pages, sum(lines)::BIGINT AS lines, sum(draw_us)::BIGINT AS draw_us, sum(degrade_us)::BIGINT AS degrade_us FROM h GROUP BY 1""")
 def bench_rollup(spark, sf_dir):
-    e = _t(spark, sf_dir, "events").withColumn("part", F.floor(F.col("event_id") / 100))
-    return e.groupBy("part", "event_type").agg(F.count("*").alias("sheets"), F.sum(F.round(F.col("value") * 1000).cast("long")).alias("total_ms"))
+    """Measures of halves of sheets, made of events: merged, then rolled up for each hundred sheets."""
+    return metrics.rollup(_halves(spark, sf_dir), ("lines",), ("draw_us", "degrade_us"), 100)
+
+
+def _halves(spark, sf_dir):
+    us = F.round(F.col("value") * 1000000).cast("long")
+    parts = _t(spark, sf_dir, "events").select(F.floor(F.col("event_id") / 2).alias("page_id"), (F.col("user_id") % 64).alias("lines"), us.alias("draw_us"), us.alias("degrade_us"))
+    return metrics.merged(parts, ("draw_us",), ("degrade_us",))
 
 
 _US = "round(value * 1000000)::BIGINT"
 
 
-@query(f"SELECT user_id, sum(event_id)::BIGINT AS lines, (sum({_US} * event_id) // sum(event_id))::BIGINT AS per_line, sum({_US})::BIGINT AS per_sheet FROM events WHERE event_id > 0 GROUP BY user_id")
+@query(f"SELECT user_id, sum(event_id)::BIGINT AS lines, coalesce(sum({_US} * event_id) // nullif(sum(event_id), 0), 0)::BIGINT AS per_line, sum({_US})::BIGINT AS per_sheet FROM events GROUP BY user_id")
 def metric_merge(spark, sf_dir):
-    """Halves of split sheets: measures of lines are averaged by lines, others added. In whole millionths, so that sums don't depend on their order."""
-    e = _t(spark, sf_dir, "events").where("event_id > 0").select("user_id", "event_id", F.round(F.col("value") * 1000000).cast("long").alias("us"))
-    return e.groupBy("user_id").agg(F.sum("event_id").alias("lines"), F.expr("sum(us * event_id) div sum(event_id)").alias("per_line"), F.sum("us").alias("per_sheet"))
+    """Parts of split sheets: measures of lines are averaged by lines, others added. In whole millionths, so that sums don't depend on their order."""
+    us = F.round(F.col("value") * 1000000).cast("long")
+    parts = _t(spark, sf_dir, "events").select("user_id", F.col("event_id").alias("lines"), us.alias("per_line"), us.alias("per_sheet"))
+    return metrics.merged(parts, ("per_sheet",), ("per_line",), "user_id")
