@@ -5,11 +5,10 @@ Each stage takes (spark, docs, sf_dir) and returns a DataFrame that is written a
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from glyphloom.llm import jaccard, mixing, packing, quality, secrets
-from glyphloom.llm.common import table
+from glyphloom.llm.common import shared_folder, table
 
 
 def good_quality(spark, docs, sf_dir):
@@ -45,18 +44,24 @@ STAGES = [
     ("packing", packed),
 ]
 
-#: SQL can express neither the classifier nor the automata; tests hold the pipeline against a brute-force version.
+#: SQL can express neither the classifier nor the automata; tests/llm/test_pipeline.py holds all stages against plain Python.
 ORACLE_SQL = None
 
 
+def _delete(spark, path):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def run(spark, sf_dir):
-    """All stages over documents. What stands between them is written below the shared folder of spark.checkpoint.dir, or a temporary one where that is unset."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="glyphloom-")
-    base = f"{base.rstrip('/')}/pipeline-{uuid.uuid4().hex}"
+    """All stages over documents. What stands between them is written below the shared folder of spark.checkpoint.dir; a table is deleted when the next one is written, so only the last one stays, from which the result is read."""
+    base = f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}"
     docs = table(spark, sf_dir, "documents")
     for i, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if i + 1 < len(STAGES):
             docs.write.parquet(f"{base}/{i}")
             docs = spark.read.parquet(f"{base}/{i}")
+            if i:
+                _delete(spark, f"{base}/{i - 1}")
     return docs
