@@ -4,8 +4,8 @@ A window is SIZE consecutive words of a document. A word is removed if a window
 
 1. A document whose whole word sequence is that of an earlier one loses all words if it has a window; it takes no further part.
 2. Each window has a minimiser, the K-gram in it with the smallest hash (the first of them). Equal windows have equal minimisers. Neighbouring windows with one minimiser are a segment. Minimisers are shuffled by hash and sorted; a task reads them as a stream and reports the places of those that are found in more than one place.
-3. Segments around these places (a task gives out each content once and reports the rest as repeats) are dealt to shards by the hash of their minimiser, sorted by it and by content. In the stream of a shard, segments with the same words as the one before are repeats, and all their windows start earlier too. The others are indexed, a bounded number of words at a time but never cutting what one minimiser holds: a suffix array sorted to DEPTH words, its Burrows-Wheeler transform in a wavelet matrix, and for each suffix the order of its place in the corpus.
-4. Every window of the indexed segments is searched backwards, word by word, and given up as soon as a single suffix is left: it occurs once. What is left after SIZE steps are the matches above the threshold; a window is removed unless it is the earliest of its interval.
+3. Segments around these places (a task gives out each content once and reports the rest as repeats) are dealt to shards by the hash of their minimiser, sorted by it and by content. In the stream of a shard, segments with the same words as the one before are repeats, and all their windows start earlier too. The others are indexed, a bounded number of words at a time but never cutting what one minimiser holds: a suffix array sorted to DEPTH words, its Burrows-Wheeler transform in a wavelet matrix, and for each suffix the order of its place in the corpus. If one minimiser holds more than that number, its segments are cut further, by the smallest K-gram of each window but the minimiser, and go to PARTS files of the task, which are solved one by one.
+4. Every window of the indexed segments is searched backwards, word by word, and given up as soon as a single suffix is left: the steps until then are its matching statistic, the length of the longest match that ends there, as far as the threshold of SIZE. Windows that reach it are the matches; a window is removed unless it is the earliest of its interval.
 5. The windows to be removed are joined to their documents by doc_id, and the words outside of them are kept.
 
 Nulls: null text has no words; rows with a null doc_id are left whole and remove nothing. Several rows with one doc_id: the order is that of a hash of their words; equal rows are copies, one stays. Empty texts and tables: no words, no rows. Other columns are not read.
@@ -14,32 +14,38 @@ Nulls: null text has no words; rows with a null doc_id are left whole and remove
 from __future__ import annotations
 
 import hashlib
+import pickle
+import tempfile
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import CACHE, WordHashes, checkpoint, grams, pieces, signed, table, utf8
+from .common import CACHE, U64, WordHashes, checkpoint, grams, pieces, signed, table, utf8
 
 SIZE, K, DEPTH = 20, 6, 32
-FLUSH = 400_000
+FLUSH, PARTS = 400_000, 64
 
 
 def minimisers(hashes: np.ndarray, size: int = SIZE, k: int = K) -> tuple[np.ndarray, np.ndarray]:
     """For each window, the place of the k-gram with the smallest hash in it (the first of equal ones), and the hashes of all k-grams."""
     h = grams(hashes, k)
-    n = len(hashes) - size + 1
+    return smallest(h, len(hashes) - size + 1, size - k + 1), h
+
+
+def smallest(h: np.ndarray, n: int, wide: int) -> np.ndarray:
+    """The place of the smallest of `wide` values from each of the first n on."""
     if n <= 0:
-        return np.empty(0, np.int64), h
+        return np.empty(0, np.int64)
     place = np.arange(n)
     least = h[:n].copy()
-    for i in range(1, size - k + 1):
+    for i in range(1, wide):
         other = h[i : i + n]
         less = other < least
         least[less] = other[less]
         place[less] = np.arange(n)[less] + i
-    return place, h
+    return place
 
 
 class Wavelet:
@@ -97,22 +103,23 @@ class FMIndex:
         self.before = np.concatenate([[0], np.cumsum(np.bincount(t, minlength=len(ids) + 2))])
         self.wavelet = Wavelet(t[self.suffixes - 1] if len(t) else t)
 
-    def windows(self, places: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Backward search of the windows of text that start at these places: (number of the window, low, high) of those that occur more than once."""
-        live = np.arange(len(places))
+    def windows(self, places: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Backward search of the windows of text that start at these places: (number of the window, low, high) of those that occur more than once, and for every window its matching statistic: how many of its last words occur elsewhere too."""
+        live, lengths = np.arange(len(places)), np.full(len(places), size)
         low, high = np.zeros(len(places), np.int64), np.full(len(places), len(self.text), np.int64)
         for i in range(size - 1, -1, -1):
             symbols = self.text[places[live] + i]
             a, b = self.wavelet.ranks(symbols, low, high)
             low, high = self.before[symbols] + a, self.before[symbols] + b
             more = high - low > 1
+            lengths[live[~more]] = size - 1 - i
             live, low, high = live[more], low[more], high[more]
-        return live, low, high
+        return live, low, high, lengths
 
     def repeats(self, places: np.ndarray, size: int, order: np.ndarray) -> np.ndarray:
         """Which of the windows at these places are not the first of their kind; order: of each place of the text."""
         out = np.zeros(len(places), bool)
-        live, low, high = self.windows(places, size)
+        live, low, high, _ = self.windows(places, size)
         if len(live):
             spans, inverse = np.unique(low * (len(self.text) + 1) + high, return_inverse=True)
             lows, highs = spans // (len(self.text) + 1), spans % (len(self.text) + 1)
@@ -250,7 +257,39 @@ def _segments(texts: DataFrame, size: int, k: int) -> DataFrame:
     return texts.mapInArrow(run, "key long, digest binary, doc_id long, content long, start int, last int, words binary")
 
 
-def _removed(segments: DataFrame, size: int, flush: int) -> DataFrame:
+class Parts:
+    """The segments of one minimiser that are too many for one index, in files that go with the object."""
+
+    def __init__(self, key: int, size: int, k: int):
+        self.key, self.size, self.k, self.hashes = U64(key & (1 << 64) - 1), size, k, WordHashes()
+        self.files = [tempfile.TemporaryFile() for _ in range(PARTS)]
+
+    def add(self, doc, content: int, start: int, words: list[bytes]) -> None:
+        """Cuts the segment where the smallest k-gram but the minimiser itself changes: equal windows have equal ones."""
+        h = grams(self.hashes.of(words), self.k)
+        h[h == self.key] = ~U64(0)
+        place = smallest(h, len(words) - self.size + 1, self.size - self.k + 1)
+        change = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]]))
+        for a, b in zip(change.tolist(), [*change[1:].tolist(), len(place)]):
+            sub = int(h[place[a]])
+            pickle.dump((sub, doc, content, start + a, b" ".join(words[a : b + self.size - 1])), self.files[sub % PARTS])
+
+    def read(self):
+        """For each file, its rows (sub-key, words, doc, content, start) in order."""
+        for file in self.files:
+            file.seek(0)
+            rows = []
+            while True:
+                try:
+                    sub, doc, content, start, text = pickle.load(file)
+                except EOFError:
+                    break
+                rows.append((sub, text, doc, content, start))
+            file.close()
+            yield sorted(rows)
+
+
+def _removed(segments: DataFrame, size: int, flush: int, k: int = K) -> DataFrame:
     """(doc_id, content, first, last): words to be removed, last exclusive."""
     names = ["doc_id", "content", "first", "last"]
 
@@ -286,8 +325,26 @@ def _removed(segments: DataFrame, size: int, flush: int) -> DataFrame:
             out.append((key, content, first, first + b - a - 1 + size))
         yield rows(out)
 
+    def solve_parts(large):
+        for found in large.read():
+            held, words, last = [], 0, None
+            repeats = []
+            for sub, text, doc, content, start in found:
+                if (sub, text) == last:
+                    repeats.append((doc, content, start, start + text.count(b" ") + 1))
+                    continue
+                if words >= flush and sub != last[0]:
+                    yield from solve(held)
+                    held, words = [], 0
+                last = sub, text
+                held.append((doc, content, start, text.split(b" ")))
+                words += len(held[-1][3])
+            if repeats:
+                yield rows(repeats)
+            yield from solve(held)
+
     def run(parts):
-        held, words, last, current = [], 0, None, None
+        held, words, last, current, large = [], 0, None, None, None
         for batch in parts:
             repeats = []
             columns = [batch.column(i).to_pylist() for i in range(7)]
@@ -295,14 +352,32 @@ def _removed(segments: DataFrame, size: int, flush: int) -> DataFrame:
                 if text is None or (key, digest, text) == last:
                     repeats.append((doc, content, start, end))
                     continue
-                if words >= flush and key != current:
-                    yield from solve(held)
-                    held, words = [], 0
-                last, current = (key, digest, text), key
-                held.append((doc, content, start, text.split(b" ")))
-                words += len(held[-1][3])
+                last = key, digest, text
+                if key != current:
+                    if large:
+                        yield from solve_parts(large)
+                        large = None
+                    if words >= flush:
+                        yield from solve(held)
+                        held, words = [], 0
+                    current, first, own = key, len(held), 0
+                row = doc, content, start, text.split(b" ")
+                if large:
+                    large.add(*row)
+                    continue
+                held.append(row)
+                words += len(row[3])
+                own += len(row[3])
+                if own > flush:
+                    large = Parts(key, size, k)
+                    for x in held[first:]:
+                        large.add(*x)
+                        words -= len(x[3])
+                    del held[first:]
             if repeats:
                 yield rows(repeats)
+        if large:
+            yield from solve_parts(large)
         yield from solve(held)
 
     placed = segments.repartition("key").sortWithinPartitions("key", "digest", "doc_id", "content", "start")
@@ -341,7 +416,7 @@ def dedup(docs: DataFrame, size: int = SIZE, k: int = K, flush: int = FLUSH) ->
     firsts = owners.select(F.col("owner").alias("doc_id"), content.alias("content"))
     places = _places(raws, size, k).join(firsts, "content").select("doc_id", "content", "places")
     segments = _segments(raws.join(places, "doc_id").select("doc_id", "raw", "content", "places"), size, k)
-    spans = _removed(segments, size, flush).groupBy("doc_id", "content").agg(F.collect_list(F.struct("first", "last")).alias("spans"))  # of one document
+    spans = _removed(segments, size, flush, k).groupBy("doc_id", "content").agg(F.collect_list(F.struct("first", "last")).alias("spans"))  # of one document
     kept = _kept(raws.join(spans, "doc_id").select("doc_id", "raw", "content", "spans"))
     rows = found.join(owners, "sha", "left").withColumn("content", content).withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
     rows = rows.withColumn("whole", F.col("doc_id").isNotNull() & (F.col("n_words") >= size) & ((F.col("doc_id") > F.col("owner")) | (F.col("copy") > 1)))
