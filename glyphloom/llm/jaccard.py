@@ -5,7 +5,7 @@ Sets of hashed word n-grams link when den * overlap >= num * union. The join is
 1. Documents with equal sets are one class; links are sought between classes only.
 2. Blocking loses no link. Sets are put in size classes, whose bounds grow by half; a set also enters the next class if a partner could be there. Two linked sets of a class differ in at most D elements. Elements are dealt by hash to D + T parts: then at least T parts hold the same in both, so that a set with fewer than T empty parts shares a part that is not empty (sets with T or more also emit their empty parts). Each part is a key. Keys are shuffled and sorted; a task reads each key's classes as a stream and ties them to the first one.
 3. A signature tree is built over the classes tied to one first class, one size class at a time: its nodes hold the OR of their members' bitmaps and the range of their sizes. A dual traversal of node pairs drops those whose sizes don't match or whose largest possible overlap is too small, and those that are already known to be connected. Only bitmaps are shuffled here; what is left keeps passages that many documents share from tying these together.
-4. Connected components of what is left are candidate groups. Their sets are brought together, a signature tree is built over each group in the same way, and pairs that its traversal leaves are compared element by element. In either step, groups of more than GROUP (BUNDLE) classes are dealt to blocks, and each pair of blocks is a group of its own.
+4. Connected components of what is left are candidate groups. Their sets are brought together, a signature tree is built over each group in the same way, and pairs that its traversal leaves are compared element by element. In either step, groups of more than GROUP (BUNDLE) classes, ELEMENTS elements or MAP_BYTES of bitmaps are dealt to blocks, and each pair of blocks is a group of its own.
 5. Components of the links found are the answer.
 
 Null or empty text, or text without words: an empty set, linked with nothing, a component of its own. Fewer words than n: the whole sequence is the one element. Repeated rows: equal sets, linked. Null doc_id: takes part; a component's id is its smallest doc_id that isn't null. Empty table: no rows. Other columns are not read by the join; one_of_each returns them as they are.
@@ -25,6 +25,8 @@ from .common import U64, WordHashes, checkpoint, col, components, fresh, grams,
 
 N, NUM, DEN = 3, 90, 100
 GROUP, BUNDLE = 4096, 32_768
+#: Elements of the sets of a block, and bytes of the bitmaps of one: what a task holds is at most two blocks, however large the sets are.
+ELEMENTS, MAP_BYTES = 4_000_000, 48 << 20
 FAN = 16
 #: Bits of a bitmap for each element, at least: of those that are shuffled, and of those that are not.
 THIN, WIDE = 2, 8
@@ -292,7 +294,8 @@ def _spanning(tree: SignatureTree, names: list[int]):
 def _refined(ties: DataFrame, classes: DataFrame, num: int, den: int, bundle: int) -> DataFrame:
     """Ties (a, b) that bitmaps and sizes allow."""
     members = ties.select(F.col("b").alias("first"), F.col("a").alias("h")).union(ties.select(F.col("b").alias("first"), F.col("b").alias("h")).distinct())
-    blocks = members.groupBy("first").agg(F.ceil(F.count("*") / bundle).cast("int").alias("blocks"))
+    sized = members.join(classes.select("h", F.octet_length("bits").alias("bytes")), "h")
+    blocks = sized.groupBy("first").agg(F.ceil(F.greatest(F.count("*") / bundle, F.sum("bytes") / MAP_BYTES)).cast("int").alias("blocks"))
     dealt = members.join(blocks, "first").join(classes.select("h", "n", "bits"), "h")
     own, i = F.pmod("h", "blocks").cast("int"), F.col("i")
     dealt = dealt.withColumn("i", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select("first", (F.least(own, i) * F.col("blocks") + F.greatest(own, i)).alias("block"), "h", "n", "bits")
@@ -320,9 +323,10 @@ def _linked(docs: DataFrame, n: int, num: int, den: int, group: int = GROUP, bun
     classes = sets.where("h is not null").groupBy("h").agg(F.min("doc_id").alias("first"), F.min(F.coalesce("doc_id", F.lit(-(2**63)))).alias("any"), F.min("n_shingles").alias("n"), F.min("bits").alias("bits"))
     ties = checkpoint(_ties(docs, n, num, den))
     candidates = components(_refined(ties, classes, num, den, bundle))
+    sized = candidates.join(classes.select(F.col("h").alias("node"), "n"), "node")
     classes = classes.select("h", "first", "any")
-    sizes = candidates.groupBy("component").count()
-    wanted = candidates.join(sizes, "component").select(F.col("node").alias("h"), "component", F.ceil(F.col("count") / group).cast("int").alias("blocks"))
+    sizes = sized.groupBy("component").agg(F.ceil(F.greatest(F.count("*") / group, F.sum("n") / ELEMENTS)).cast("int").alias("blocks"))
+    wanted = candidates.join(sizes, "component").select(F.col("node").alias("h"), "component", "blocks")
     wanted = wanted.join(classes, "h").select(F.coalesce("first", "any").alias("doc_id"), F.col("h").alias("want"), "component", "blocks")
 
     blocking = Blocking(num, den)
