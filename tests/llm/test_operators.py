@@ -57,13 +57,14 @@ def empty(docs):
     return docs.limit(0)
 
 
-def test_substrings(docs, rows, empty):
+@pytest.mark.parametrize("flush", [2000, 40])
+def test_substrings(docs, rows, empty, flush):
     first = {}
     for i, t in rows:
         w = (t or "").encode().split()
         for a in range(len(w) - 19):
             first.setdefault(tuple(w[a : a + 20]), (i, a))
-    got = {r.doc_id: r for r in substrings.dedup(docs, flush=2000).collect()}
+    got = {r.doc_id: r for r in substrings.dedup(docs, flush=flush).collect()}
     assert len(got) == len(rows)
     for i, t in rows:
         w = (t or "").encode().split()
@@ -76,6 +77,45 @@ def test_substrings(docs, rows, empty):
     assert substrings.dedup(empty).count() == 0
 
 
+def test_substrings_of_a_hot_minimiser(spark):
+    """One 6-gram in many contexts, which is the minimiser of all windows around it: more than an index may hold."""
+    rng = random.Random(12)
+    words = [f"w{i}" for i in range(400)]
+    best = min((rng.choices(words, k=6) for _ in range(20_000)), key=lambda g: int(substrings.grams(substrings.WordHashes().of([w.encode() for w in g]), 6)[0]))
+    contexts = [(rng.choices(words, k=25), rng.choices(words, k=25)) for _ in range(120)]
+    texts = []
+    for i in range(300):
+        left, right = contexts[rng.randrange(120)][0], contexts[rng.randrange(120)][1]
+        texts.append((i, " ".join([*left, *best, *right])))
+    first = {}
+    for i, t in texts:
+        w = t.split()
+        for a in range(len(w) - 19):
+            first.setdefault(tuple(w[a : a + 20]), (i, a))
+    for flush in (500, 10**6):
+        got = {r.doc_id: r.n_removed for r in substrings.dedup(frame(spark, texts), flush=flush).collect()}
+        for i, t in texts:
+            w, gone = t.split(), set()
+            for a in range(len(w) - 19):
+                if first[tuple(w[a : a + 20])] != (i, a):
+                    gone |= set(range(a, a + 20))
+            assert got[i] == len(gone), (flush, i)
+
+
+def test_matching_statistics():
+    rng = random.Random(2)
+    sequences = [[rng.choice("ab").encode() for _ in range(40)] for _ in range(4)]
+    index = substrings.FMIndex(sequences, depth=32)
+    places = np.array([s + i for s in index.starts for i in range(31)])
+    *_, lengths = index.windows(places, 10)
+    flat = [s + [str(i).encode()] for i, s in enumerate(sequences)]
+    for p, n in zip(places, lengths):
+        doc = int(np.searchsorted(index.starts, p, "right")) - 1
+        window = sequences[doc][p - index.starts[doc] : p - index.starts[doc] + 10]
+        count = lambda w: sum(s[i : i + len(w)] == w for s in flat for i in range(len(s)))
+        assert n == max((k for k in range(1, 11) if count(window[10 - k :]) > 1), default=0)
+
+
 def test_substrings_repeated_rows(spark):
     text = " ".join(f"x{i}" for i in range(25))
     got = substrings.dedup(frame(spark, [(1, text), (1, text), (None, text), (2, text)])).orderBy("doc_id", "n_removed").collect()
