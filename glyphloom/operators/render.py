@@ -47,10 +47,10 @@ def plain(font: outlines.Font, row: dict, rng) -> np.ndarray:
     return a
 
 
-def rendered(lines: DataFrame, fallback: str | None = None, reject_over: int = 0, seed: int = SEED, **damage) -> DataFrame:
+def rendered(lines: DataFrame, fallback: str | None = None, reject_over: int = 0, seed: int = SEED, max_height: int = 0, **damage) -> DataFrame:
     """Adds image columns (JPEG) and times to lines that have a font_path and what sheets.layout, styles, crop_boxes, crop_pads and damage_plan add.
 
-    Workers read a font file when they first need it, from the folder that driver and executors share, and keep FONT_BYTES of them; no row carries font bytes. Lines wider than reject_over pixels after damage have no image (null), if it isn't 0. If a line can't be drawn in its style, the job fails, unless a fallback font's path is given: then it is drawn plainly in that font and says why. Empty and null texts are drawn as blank rows.
+    Workers read a font file when they first need it, from the folder that driver and executors share, and keep FONT_BYTES of them; no row carries font bytes. Lines wider than reject_over pixels after damage have no image (null), if it isn't 0. If a line can't be drawn in its style, or its sheet is higher than max_height (if that isn't 0), the job fails, unless a fallback font's path is given: then it is drawn plainly in that font and says why. Empty and null texts are drawn as blank rows.
     """
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in lines.schema.fields]) + ", " + ADDED
     names = lines.columns
@@ -74,6 +74,8 @@ def rendered(lines: DataFrame, fallback: str | None = None, reject_over: int = 0
             rng, why = np.random.default_rng([seed, int(row["line_id"])]), None
             times = [time.perf_counter()]
             try:
+                if 0 < max_height < row["sheet_height"]:
+                    raise ValueError(f"sheet too high: {row['sheet_height']} of {max_height}")
                 a = kernels.trim(styled(font(row["font_path"]), row), row["crop_pad_x"], row["crop_pad_y"])
             except (ValueError, KeyError, IndexError, struct.error) as e:
                 if fallback is None:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.draws import SEED, integer, pick, uniform, weighted
 from ..functions.kernels import BAND, NOISE
+from .units import checkpoint
 
 LINES = 64
 #: Fixed: what is drawn for sheets and lines.
@@ -98,8 +99,31 @@ def crop_pads(df: DataFrame, x: tuple[int, int] = (4, 28), y: tuple[int, int] =
     return df.withColumn("crop_pad_x", integer(uniform(F.col("line_id"), "crop_x", seed), *x)).withColumn("crop_pad_y", integer(uniform(F.col("line_id"), "crop_y", seed), *y))
 
 
+def split_high(df: DataFrame, size: int = LINES, max_height: int = 16000, seed: int = SEED) -> DataFrame:
+    """Sheets that stay too high at the narrowest layout are halved, again and again: lines move to sheets 2p + 1 (the first floor(n / 2) of them) and 2p + 2, numbered anew. What becomes of each sheet is worked out on a row for each, and joined; if no sheet of `size` lines can be too high, nothing is done."""
+    rounds = 0
+    while max_height > 0 and size > 1 and size * (ROW_LEAST + GAP_LEAST) + GAP_LEAST > max_height:
+        size, rounds = -(-size // 2), rounds + 1
+    if not rounds:
+        return df
+    parts = df.select(F.col("page_id").alias("__origin"), "page_id", F.lit(0).alias("__start"), "n_lines").distinct()
+    for _ in range(rounds):
+        parts = checkpoint(layout(parts, max_height, seed).select("__origin", "page_id", "__start", "n_lines", "sheet_height"))
+        half = F.floor(F.col("n_lines") / 2).cast("int")
+        part = lambda page, start, n: F.struct(page.alias("page_id"), start.alias("__start"), n.alias("n_lines"))
+        halves = F.array(part(F.col("page_id") * 2 + 1, F.col("__start"), half), part(F.col("page_id") * 2 + 2, F.col("__start") + half, F.col("n_lines") - half))
+        whole = F.array(part(F.col("page_id"), F.col("__start"), F.col("n_lines")))
+        high = (F.col("sheet_height") > max_height) & (F.col("n_lines") > 1)
+        parts = parts.select("__origin", F.explode(F.when(high, halves).otherwise(whole)).alias("p")).select("__origin", "p.*")
+    found = parts.groupBy("__origin").agg(F.sort_array(F.collect_list(F.struct("__start", "page_id", "n_lines"))).alias("__parts"))  # at most `size` of a sheet
+    own = F.element_at(F.filter("__parts", lambda p: p["__start"] <= F.col("sheet_line_index")), -1)
+    placed = df.join(found, F.col("page_id") == F.col("__origin")).withColumn("__own", own)
+    more = [F.col("__own.page_id").alias("page_id"), (F.col("sheet_line_index") - F.col("__own.__start")).alias("sheet_line_index"), F.col("__own.n_lines").alias("n_lines")]
+    return placed.select(*[F.col(c) for c in df.columns if c not in ("page_id", "sheet_line_index", "n_lines")], *more)
+
+
 def too_high(df: DataFrame, max_height: int = 16000, size: int = LINES) -> DataFrame:
-    """(page_id, sheet_height, suggested): sheets that stay too high at the narrowest layout, with the number of lines that would fit. None are if max_height is 0."""
+    """(page_id, sheet_height, suggested): sheets that are too high, with the number of lines that would fit. None are if max_height is 0."""
     fits = F.greatest(F.lit(1), F.floor(F.lit(size * max_height) / F.col("sheet_height")).cast("int"))
     return df.where(F.lit(max_height > 0) & (F.col("sheet_height") > max_height)).select("page_id", "sheet_height", fits.alias("suggested")).distinct()
 

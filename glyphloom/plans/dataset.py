@@ -64,7 +64,8 @@ def line_tasks(spark: SparkSession, o: argparse.Namespace) -> DataFrame:
 def planned(tasks: DataFrame, pool: DataFrame, o: argparse.Namespace) -> DataFrame:
     """Tasks with fonts, sheets, styles, crops, damage and splits: all that drawing needs."""
     df = fonts.assign(tasks, pool, seed=o.seed).drop("family_idx", "variant_idx")
-    df = sheets.layout(sheets.pages(df, o.sheet_lines), o.browser_max_screenshot_height, o.seed)
+    df = sheets.split_high(sheets.pages(df, o.sheet_lines), o.sheet_lines, o.browser_max_screenshot_height, o.seed)
+    df = sheets.layout(df, o.browser_max_screenshot_height, o.seed)
     df = sheets.styles(df, o.text_opacity_prob, o.word_spacing_prob, o.letter_spacing_prob, o.seed, (o.word_spacing_min_px, o.word_spacing_max_px), (o.letter_spacing_min_px, o.letter_spacing_max_px))
     df = sheets.crop_pads(sheets.crop_boxes(df), (o.crop_pad_x_min, o.crop_pad_x_max), (o.crop_pad_y_min, o.crop_pad_y_max), o.seed)
     gates = sheets.GATES | {g: getattr(o, name) for g, name in GATE_OPTIONS.items()}
@@ -113,14 +114,14 @@ def run(spark: SparkSession, o: argparse.Namespace) -> int:
     sinks.prepare(o.output_dir)
     sinks.write_config(o.output_dir, options | {"created_at": spark.sql("SELECT date_format(now(), 'yyyy-MM-dd HH:mm:ss')").first()[0]})
     lines = planned(line_tasks(spark, o), pool, o)
-    high = sheets.too_high(lines, o.browser_max_screenshot_height, o.sheet_lines).orderBy("suggested").first()
+    fallback = None if o.fallback_renderer == "none" else pool.orderBy("path").first().path
+    high = None if fallback else sheets.too_high(lines, o.browser_max_screenshot_height, o.sheet_lines).orderBy("suggested").first()
     if high:
         raise ValueError(f"sheet {high.page_id} is {high.sheet_height} pixels high, {o.browser_max_screenshot_height} are allowed; use --sheet-lines {high.suggested} or --browser-max-screenshot-height 0")
     if had.metadata_rows:
         lines = units.remaining(lines, sinks.written(spark, o.output_dir))
-    fallback = None if o.fallback_renderer == "none" else pool.orderBy("path").first().path
     began = time.monotonic()
-    drawn = render.rendered(lines, fallback, o.reject_crop_width_over, o.seed, frac=o.max_perspective_shift_frac, pad=o.geometry_pad_px)
+    drawn = render.rendered(lines, fallback, o.reject_crop_width_over, o.seed, o.browser_max_screenshot_height, frac=o.max_perspective_shift_frac, pad=o.geometry_pad_px)
     n, measures = sinks.commit(spark, drawn, o.output_dir, max(1, o.bench_every))
     for line in metrics.report(measures, time.monotonic() - began):
         print(line, flush=True)

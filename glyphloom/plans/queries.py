@@ -330,15 +330,19 @@ def _line(tag: str) -> str:
     return sql_uniform("line_id", tag)
 
 
-def _sheets_sql(size: int) -> str:
-    return f"""{LINES_SQL}, pg AS (SELECT line_id, text, line_id // {size} AS page_id, (line_id % {size})::INT AS sheet_line_index, count(*) OVER (PARTITION BY line_id // {size})::INT AS n_lines FROM lines),
-d0 AS (SELECT *, {_pick(_page("width"), sheets.WIDTHS)}::INT AS sheet_width, {_pick(_page("row"), sheets.ROW_HEIGHTS)}::INT AS rh, {_int(_page("pad_x"), 16, 28)} AS pad_x, {_int(_page("pad_y"), 8, 14)} AS pad_y, {_int(_page("gap"), 6, 10)} AS g0,
+def _layout_sql(most: int) -> str:
+    return f"""d0 AS (SELECT *, {_pick(_page("width"), sheets.WIDTHS)}::INT AS sheet_width, {_pick(_page("row"), sheets.ROW_HEIGHTS)}::INT AS rh, {_int(_page("pad_x"), 16, 28)} AS pad_x, {_int(_page("pad_y"), 8, 14)} AS pad_y, {_int(_page("gap"), 6, 10)} AS g0,
  {_pick(_page("paper"), sheets.PAPERS)} AS paper, {_pick(_page("color"), sheets.INKS)} AS color FROM pg),
-d1 AS (SELECT *, least(g0 - 4, ceil(greatest(0, n_lines * (rh + g0) + g0 - 16000) / (n_lines + 1))::INT) AS k1 FROM d0), d2 AS (SELECT *, g0 - k1 AS gap FROM d1),
-d3 AS (SELECT *, least((rh - 42) // 2, ceil(greatest(0, n_lines * (rh + gap) + gap - 16000) / (n_lines * 2))::INT) AS k2 FROM d2),
+d1 AS (SELECT *, least(g0 - 4, ceil(greatest(0, n_lines * (rh + g0) + g0 - {most}) / (n_lines + 1))::INT) AS k1 FROM d0), d2 AS (SELECT *, g0 - k1 AS gap FROM d1),
+d3 AS (SELECT *, least((rh - 42) // 2, ceil(greatest(0, n_lines * (rh + gap) + gap - {most}) / (n_lines * 2))::INT) AS k2 FROM d2),
 d4 AS (SELECT *, (rh - 2 * k2)::INT AS row_height, k1 > 0 OR k2 > 0 AS compacted FROM d3), sh AS (SELECT *, greatest(64, n_lines * (row_height + gap) + gap)::INT AS sheet_height FROM d4)"""
 
 
+def _sheets_sql(size: int) -> str:
+    return f"""{LINES_SQL}, pg AS (SELECT line_id, text, line_id // {size} AS page_id, (line_id % {size})::INT AS sheet_line_index, count(*) OVER (PARTITION BY line_id // {size})::INT AS n_lines FROM lines),
+{_layout_sql(16000)}"""
+
+
 _SHEET = ["page_id", "n_lines", "sheet_width", "sheet_height", "row_height", "gap", "pad_x", "pad_y", "compacted", "paper", "color"]
 
 
@@ -356,6 +360,15 @@ def sheet_compaction(spark, sf_dir):
     return _sheets(spark, sf_dir, 300).select(*_SHEET).distinct()
 
 
+@query(f"""WITH {LINES_SQL}, p0 AS (SELECT line_id, line_id // 300 AS p, (line_id % 300)::INT AS i, count(*) OVER (PARTITION BY line_id // 300)::INT AS n FROM lines), p1 AS (SELECT *, CASE WHEN n * 46 + 4 > 8000 THEN n // 2 END AS half FROM p0),
+pg AS (SELECT line_id, CASE WHEN half IS NULL THEN p WHEN i < half THEN 2 * p + 1 ELSE 2 * p + 2 END AS page_id, CASE WHEN half IS NULL OR i < half THEN i ELSE i - half END AS sheet_line_index, CASE WHEN half IS NULL THEN n WHEN i < half THEN half ELSE n - half END AS n_lines FROM p1),
+{_layout_sql(8000)} SELECT line_id, page_id, sheet_line_index::INT AS sheet_line_index, n_lines::INT AS n_lines, sheet_height, row_height, gap FROM sh""")
+def sheet_split(spark, sf_dir):
+    """Sheets of 300 lines, of which 173 at most fit into 8000 pixels: halved."""
+    pages = sheets.pages(_lines(spark, sf_dir).select("line_id"), 300)
+    return sheets.layout(sheets.split_high(pages, 300, 8000), 8000).select("line_id", "page_id", "sheet_line_index", "n_lines", "sheet_height", "row_height", "gap")
+
+
 def _gated(tag: str, p: float, low: float, high: float, other: float, places: int) -> str:
     return f"CASE WHEN {_line(tag + '?')} < {p}::DOUBLE THEN round_even({low}::DOUBLE + {_line(tag)} * {high - low!r}::DOUBLE, {places}) + 0.0::DOUBLE ELSE {other}::DOUBLE END"
 

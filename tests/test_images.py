@@ -183,8 +183,14 @@ def test_labels_and_fallback(spark, tmp_path):
 def test_reject_guard_and_measures(spark, tmp_path, capsys):
     (tmp_path / "l.txt").write_text("".join(f"label number {i}{' very long' * (i % 2 * 9)}\n" for i in range(12)))
     args = ["--fonts-dir", str(FONTS), "--label-source-manifest", str(tmp_path / "l.txt"), "--sheet-lines", "4", "--bench-every", "2"]
-    assert main([*args, "--output-dir", str(tmp_path / "a"), "--browser-max-screenshot-height", "150"]) == 1
-    assert "--sheet-lines 3" in capsys.readouterr().err
+    assert main([*args, "--output-dir", str(tmp_path / "a"), "--browser-max-screenshot-height", "50"]) == 1
+    assert "--sheet-lines" in capsys.readouterr().err
+    assert main([*args, "--output-dir", str(tmp_path / "a"), "--browser-max-screenshot-height", "50", "--fallback-renderer", "pil"]) == 0
+    assert all("sheet too high" in json.loads(x)["fallback_reason"] for x in (tmp_path / "a" / "metadata.jsonl").read_text().splitlines())
+    assert main([*args, "--output-dir", str(tmp_path / "b"), "--browser-max-screenshot-height", "150"]) == 0
+    halves = [json.loads(x) for x in (tmp_path / "b" / "metadata.jsonl").read_text().splitlines()]
+    assert [(r["sheet_page_id"], r["sheet_line_index"]) for r in halves] == [(2 * p + 1 + i // 2, i % 2) for p in range(3) for i in range(4)] and all(r["sheet_height"] <= 150 for r in halves)
+    capsys.readouterr()
     assert main([*args, "--output-dir", str(tmp_path / "o"), "--reject-crop-width-over", "700"]) == 0
     said = capsys.readouterr().out
     rows = [json.loads(x) for x in (tmp_path / "o" / "metadata.jsonl").read_text().splitlines()]
