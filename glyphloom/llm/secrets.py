@@ -55,7 +55,7 @@ PLAIN = (
     ((DIGITS, 1, 15),), ("+", (DIGITS, 1, 3), "-", (DIGITS, 2, 4), "-", (DIGITS, 5, 9)), ((DIGITS, 3, 3), "-", (DIGITS, 3, 3), "-", (DIGITS, 4, 4)), ((DIGITS, 1, 9), ".", (DIGITS, 1, 12)),
     ((DIGITS, 4, 4), "-", _D2, "-", _D2), ((DIGITS, 4, 4), "-", _D2, "-", _D2, "T", _D2), ((DIGITS, 4, 4), "/", _D2, "/", _D2), (_D2, ".", _D2, ".", (DIGITS, 4, 4)), ((DIGITS, 4, 4), _D2, _D2, "T", (DIGITS, 6, 6)),
     ((DIGITS, 1, 3), ".", (DIGITS, 1, 3), ".", (DIGITS, 1, 3), ".", (DIGITS, 1, 3)), ((DIGITS, 1, 2), ".", (DIGITS, 1, 2), ".", (DIGITS, 1, 4), "-", (LOWER, 2, 5), (DIGITS, 1, 2)),
-    (_H4, _H4, "-", _H4, "-", _H4, "-", _H4, "-", _H4, _H4, _H4), ((DIGITS, 4, 4), "-", (DIGITS, 4, 4), "-", (DIGITS, 4, 4), "-", (DIGITS, 4, 4)), ("=", ("=-_.", 12, 40)), (("-_=.+/", 12, 40),),
+    (_H4, _H4, "-", _H4, "-", _H4, "-", _H4, "-", _H4, _H4, _H4), ((DIGITS, 4, 4), "-", (DIGITS, 4, 4), "-", (DIGITS, 4, 4), "-", (DIGITS, 4, 4)), ("=", ("=-_.", 12, 40)), (("-_=.+/", 12, 40),), ((LOWER, 12, 60),), ((LOWER.upper(), 12, 60),),
 )
 #: Classes of characters, by position: digits, hex letters and other letters in either case, each sign for itself.
 CLASSES = {**dict.fromkeys("0123456789", "0"), **dict.fromkeys("abcdef", "a"), **dict.fromkeys("ghijklmnopqrstuvwxyz", "g"), **dict.fromkeys("ABCDEF", "A"), **dict.fromkeys("GHIJKLMNOPQRSTUVWXYZ", "G")}
