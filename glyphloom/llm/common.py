@@ -36,6 +36,8 @@ def pieces(batches, rows: int = BATCH):
     for batch in batches:
         for at in range(0, max(1, batch.num_rows), rows):
             yield batch.slice(at, rows)
+    batch = None
+    pa.default_memory_pool().release_unused()  # the worker lives on
 
 
 def fresh(df: DataFrame, *names: str) -> list[str]:
@@ -65,11 +67,17 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def checkpoint(df: DataFrame) -> DataFrame:
-    """Cuts the lineage with files in the shared folder."""
-    sc = df.sparkSession.sparkContext
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(shared_folder(df.sparkSession))
-    return df.checkpoint()
+    """Cuts the lineage with files in the shared folder. While they are written, Python workers get at most BATCH rows at a time, whatever bytes they may have: they are kept by Spark with the memory that they once took. The session's own setting is put back."""
+    spark, name = df.sparkSession, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(shared_folder(spark))
+    before = spark.conf.get(name)
+    if not 0 < int(before) <= BATCH:
+        spark.conf.set(name, str(BATCH))
+    try:
+        return df.checkpoint()
+    finally:
+        spark.conf.set(name, before)
 
 
 class WordHashes(dict):

@@ -294,8 +294,9 @@ def _spanning(tree: SignatureTree, names: list[int]):
 def _refined(ties: DataFrame, classes: DataFrame, num: int, den: int, bundle: int) -> DataFrame:
     """Ties (a, b) that bitmaps and sizes allow."""
     members = ties.select(F.col("b").alias("first"), F.col("a").alias("h")).union(ties.select(F.col("b").alias("first"), F.col("b").alias("h")).distinct())
-    sized = members.join(classes.select("h", F.octet_length("bits").alias("bytes")), "h")
-    blocks = sized.groupBy("first").agg(F.ceil(F.greatest(F.count("*") / bundle, F.sum("bytes") / MAP_BYTES)).cast("int").alias("blocks"))
+    most = F.greatest(F.lit(128), F.col("n") * (THIN / 4))  # bytes of the bitmap, at most
+    sized = members.join(classes.select("h", "n"), "h")
+    blocks = sized.groupBy("first").agg(F.ceil(F.greatest(F.count("*") / bundle, F.sum(most) / MAP_BYTES)).cast("int").alias("blocks"))
     dealt = members.join(blocks, "first").join(classes.select("h", "n", "bits"), "h")
     own, i = F.pmod("h", "blocks").cast("int"), F.col("i")
     dealt = dealt.withColumn("i", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select("first", (F.least(own, i) * F.col("blocks") + F.greatest(own, i)).alias("block"), "h", "n", "bits")

@@ -130,11 +130,12 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", labelled: in
 
 
 def _scores(model: Model | None, raws) -> np.ndarray:
+    """Of a list of texts as bytes."""
     if model is None:
         return np.full(len(raws), 0.5)
     out = [np.empty(0)]
     for i in range(0, len(raws), ROWS):
-        out.append(model.scores(np.stack([features(x.as_py()) for x in raws[i : i + ROWS]])))
+        out.append(model.scores(np.stack([features(x) for x in raws[i : i + ROWS]])))
     return np.concatenate(out)
 
 
@@ -144,7 +145,7 @@ def score(docs: DataFrame, model: Model | None) -> DataFrame:
 
     def run(parts):
         for batch in pieces(parts):
-            found = _scores(shared.value, batch.column(2))
+            found = _scores(shared.value, batch.column(2).to_pylist())
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.float64()), pa.array((found >= 0.5).astype(np.int32), pa.int32())], ["doc_id", "held_out", "score", "predicted"])
 
     return docs.select(docs["doc_id"].cast("long").alias("doc_id"), held_out().alias("held_out"), utf8().alias("raw")).mapInArrow(run, "doc_id long, held_out boolean, score double, predicted int")
@@ -158,7 +159,7 @@ def keep(docs: DataFrame, model: Model | None) -> DataFrame:
     def good(raws):
         import pandas as pd
 
-        return pd.Series(_scores(shared.value, pa.array(list(raws), pa.binary())) >= 0.5)
+        return pd.Series(_scores(shared.value, raws.array) >= 0.5)
 
     return docs.where(good(utf8()))
 
