@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
-from ..functions.draws import SEED, choice, uniform
+from ..functions.draws import SEED, batched, choice, uniform
 
 #: Fixed: tokens of file names that tell a style.
 STYLES = ("regular", "normal", "bold", "bd", "italic", "it", "oblique", "light", "lt", "medium", "med", "semibold", "semi", "demibold", "black", "heavy", "thin", "extra", "extrabold", "extralight", "condensed", "narrow")
@@ -58,10 +59,11 @@ def assign(lines: DataFrame, fonts: DataFrame, key: str = "line_id", seed: int =
     pool = fonts.agg(F.count_distinct("family_idx").alias("families"), F.count("*").alias("files")).first()
     if not pool.families:
         raise ValueError("no fonts")
+    draw = batched if isinstance(lines.schema[key].dataType, IntegralType) else uniform
     small = F.broadcast if pool.files <= MOST else lambda df: df
     families = fonts.select("family_idx", F.col("n_variants").alias("__variants")).distinct()
-    chosen = lines.withColumn("family_idx", choice(uniform(F.col(key), "family", seed), pool.families)).join(small(families), "family_idx")
-    chosen = chosen.withColumn("variant_idx", F.floor(uniform(F.col(key), "variant", seed) * F.col("__variants")).cast("int")).drop("__variants")
+    chosen = lines.withColumn("family_idx", choice(draw(F.col(key), "family", seed), pool.families)).join(small(families), "family_idx")
+    chosen = chosen.withColumn("variant_idx", F.floor(draw(F.col(key), "variant", seed) * F.col("__variants")).cast("int")).drop("__variants")
     files = fonts.select("family_idx", "variant_idx", F.col("family").alias("font_family"), F.col("path").alias("font_path"))
     return chosen.join(small(files), ["family_idx", "variant_idx"])
 

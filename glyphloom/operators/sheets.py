@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.draws import SEED, integer, pick, uniform, weighted
+from ..functions.draws import SEED, batched, integer, pick, uniform, weighted
 from ..functions.kernels import BAND, NOISE
 from .units import checkpoint
 
@@ -35,10 +35,8 @@ def pages(lines: DataFrame, size: int = LINES) -> DataFrame:
 
 def layout(df: DataFrame, max_height: int = 16000, seed: int = SEED) -> DataFrame:
     """Adds the sheet's attributes by page_id and n_lines; a sheet that is too high gets narrower gaps, then lower rows, in closed form."""
-    u = lambda tag: uniform(F.col("page_id"), tag, seed)
-    df = df.withColumn("sheet_width", pick(u("width"), WIDTHS)).withColumn("row_height", pick(u("row"), ROW_HEIGHTS))
-    df = df.withColumn("pad_x", integer(u("pad_x"), 16, 28)).withColumn("pad_y", integer(u("pad_y"), 8, 14)).withColumn("gap", integer(u("gap"), 6, 10))
-    df = df.withColumn("paper", pick(u("paper"), PAPERS)).withColumn("color", pick(u("color"), INKS))
+    u = lambda tag: batched(F.col("page_id"), tag, seed)
+    df = df.withColumns({"sheet_width": pick(u("width"), WIDTHS), "row_height": pick(u("row"), ROW_HEIGHTS), "pad_x": integer(u("pad_x"), 16, 28), "pad_y": integer(u("pad_y"), 8, 14), "gap": integer(u("gap"), 6, 10), "paper": pick(u("paper"), PAPERS), "color": pick(u("color"), INKS)})
     n = F.col("n_lines")
     over = lambda: F.greatest(F.lit(0), n * (F.col("row_height") + F.col("gap")) + F.col("gap") - max_height)
     if max_height > 0:
@@ -51,14 +49,15 @@ def layout(df: DataFrame, max_height: int = 16000, seed: int = SEED) -> DataFram
 
 
 def styles(df: DataFrame, opacity_prob: float = 0.08, word_prob: float = 0.22, letter_prob: float = 0.035, seed: int = SEED, word: tuple[float, float] = (-0.8, 4.0), letter: tuple[float, float] = (0.05, 0.35)) -> DataFrame:
-    u = lambda tag: uniform(F.col("line_id"), tag, seed)
-    gated = lambda tag, p, low, high, other, places: F.when(u(f"{tag}?") < p, F.bround(F.lit(low) + u(tag) * F.lit(high - low), places)).otherwise(F.lit(other))
-    df = df.withColumn("font_size", integer(u("size"), 24, F.greatest(F.lit(24), F.least(F.lit(40), F.col("row_height") - 8))))
-    df = df.withColumn("css_weight", pick(u("weight"), WEIGHTS))
-    df = df.withColumn("css_line_height", integer(u("height"), F.greatest(F.col("font_size") + 6, F.col("row_height") - 8), F.col("row_height")))
+    u = lambda tag: batched(F.col("line_id"), tag, seed)
+    gated = lambda tag, p, low, high, other, places: F.when(F.col(f"__{tag}?") < p, F.bround(F.lit(low) + uniform(F.col("line_id"), tag, seed) * F.lit(high - low), places)).otherwise(F.lit(other))
+    df = df.withColumns({f"__{tag}": u(tag) for tag in ("size", "weight", "height", "opacity?", "word?", "letter?")})
+    df = df.withColumn("font_size", integer(F.col("__size"), 24, F.greatest(F.lit(24), F.least(F.lit(40), F.col("row_height") - 8))))
+    df = df.withColumn("css_weight", pick(F.col("__weight"), WEIGHTS))
+    df = df.withColumn("css_line_height", integer(F.col("__height"), F.greatest(F.col("font_size") + 6, F.col("row_height") - 8), F.col("row_height")))
     df = df.withColumn("css_opacity", gated("opacity", opacity_prob, 0.72, 0.96, 1.0, 3))
     df = df.withColumn("css_word_spacing_px", gated("word", word_prob, *word, 0.0, 2))
-    return df.withColumn("css_letter_spacing_px", gated("letter", letter_prob, *letter, 0.0, 2))
+    return df.withColumn("css_letter_spacing_px", gated("letter", letter_prob, *letter, 0.0, 2)).drop("__size", "__weight", "__height", "__opacity?", "__word?", "__letter?")
 
 
 def crop_boxes(df: DataFrame) -> DataFrame:
@@ -72,12 +71,13 @@ def damage_plan(df: DataFrame, profile: str = "mixed", seed: int = SEED, gates:
     u = lambda tag: uniform(F.col("line_id"), tag, seed)
     if profile not in {*MIXED, "browser_clean", *dict(PROFILES)}:
         raise ValueError(f"unknown profile {profile!r}")
-    df = df.withColumn("effective_profile", weighted(u("profile"), PROFILES) if profile in MIXED else F.lit(profile))
+    every = {f"__{tag}": batched(F.col("line_id"), tag, seed) for tag in ("profile", *gates, "low_jpeg", "quality")}  # what every line needs; the others are drawn where they are used
+    df = df.withColumns(every).withColumn("effective_profile", weighted(F.col("__profile"), PROFILES) if profile in MIXED else F.lit(profile))
     is_ = lambda *names: F.col("effective_profile").isin(*names)
     clean, bloat = is_("browser_clean"), is_("binary_lowres_bloat")
     allowed = dict.fromkeys(("noise", "band", "shadow", "stain", "warp", "heavy_blur"), ~bloat) | {"rule": F.lit(True), "rotate": ~is_("digital_clean", "binary_lowres_bloat"), "unsharp": is_("book_scan", "overcooked_scan", "photocopy_bleed")}
     for gate, p in gates.items():
-        df = df.withColumn(gate, ~clean & allowed[gate] & (u(gate) < p))
+        df = df.withColumn(gate, ~clean & allowed[gate] & (F.col(f"__{gate}") < p))
     within = lambda tag, a, b: F.bround(F.lit(float(a)) + u(tag) * F.lit(float(b) - float(a)), 4)
     strong = None
     for name, (a, b) in intensity.items():
@@ -90,13 +90,13 @@ def damage_plan(df: DataFrame, profile: str = "mixed", seed: int = SEED, gates:
         "unsharp_percent": F.when(F.col("unsharp"), integer(u("unsharp_percent"), *UNSHARP).cast("double")),
         "blur_radius": F.when(F.col("heavy_blur"), within("blur_radius", *BLUR)),
     })
-    coded = F.when(u("low_jpeg") < low_prob, integer(u("quality"), *low)).otherwise(integer(u("quality"), *quality))
-    return df.withColumn("jpeg_quality", F.when(~clean, coded))
+    coded = F.when(F.col("__low_jpeg") < low_prob, integer(F.col("__quality"), *low)).otherwise(integer(F.col("__quality"), *quality))
+    return df.withColumn("jpeg_quality", F.when(~clean, coded)).drop(*every)
 
 
 def crop_pads(df: DataFrame, x: tuple[int, int] = (4, 28), y: tuple[int, int] = (2, 12), seed: int = SEED) -> DataFrame:
     """Adds crop_pad_x and crop_pad_y, what stays around the ink of a line."""
-    return df.withColumn("crop_pad_x", integer(uniform(F.col("line_id"), "crop_x", seed), *x)).withColumn("crop_pad_y", integer(uniform(F.col("line_id"), "crop_y", seed), *y))
+    return df.withColumn("crop_pad_x", integer(batched(F.col("line_id"), "crop_x", seed), *x)).withColumn("crop_pad_y", integer(batched(F.col("line_id"), "crop_y", seed), *y))
 
 
 def split_high(df: DataFrame, size: int = LINES, max_height: int = 16000, seed: int = SEED) -> DataFrame:
@@ -129,7 +129,8 @@ def too_high(df: DataFrame, max_height: int = 16000, size: int = LINES) -> DataF
 
 
 def file_name(line_id: Column, suffix: str = "jpg") -> Column:
-    return F.format_string(f"line_%010d.{suffix}", line_id)
+    number = line_id.cast("string")
+    return F.concat(F.lit("line_"), F.lpad(number, F.greatest(F.lit(10), F.length(number)), "0"), F.lit(f".{suffix}"))
 
 
 def manifest(df: DataFrame, suffix: str = "jpg") -> DataFrame:

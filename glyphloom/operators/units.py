@@ -2,30 +2,62 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
+import re
 import tempfile
+import uuid
+from collections.abc import Iterator
 
-from pyspark.sql import Column, DataFrame, Window
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from ..functions import text as T
-from ..functions.draws import SEED, uniform, words_drawn
+from ..functions.draws import SEED, batched, drawn, numpy_words_drawn, uniform
 
 #: Fixed: of each unit, words least, most and most likely, and characters least and most.
 UNITS = {"line": (1, 34, 18, 6, 260), "phrase48": (2, 10, 5, 16, 48), "short_phrase": (1, 6, 3, 8, 32), "word": (1, 1, 1, 2, 24)}
 PARAGRAPH_LEAST = 4
+#: Bytes of texts that are cut at a time.
+PIECE = 1 << 20
+_PARAGRAPH = re.compile(re.sub(r"\\x\{(\w+)\}", lambda m: f"\\u{int(m[1], 16):04x}", T.PARAGRAPH))
 
 
-def checkpoint(df: DataFrame) -> DataFrame:
-    """Cuts the lineage with files in the folder that spark.checkpoint.dir names. Where it is unset: a temporary one under a local master; a cluster has to name one that all share."""
-    spark = df.sparkSession
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that spark.checkpoint.dir names. Where it is unset: a temporary one under a local master; a cluster has to name one that all share."""
     if spark.sparkContext.getCheckpointDir() is None:
         folder, master = spark.conf.get("spark.checkpoint.dir", None), spark.sparkContext.master
         if not folder and (not master.startswith("local") or master.startswith("local-cluster")):
             raise ValueError("spark.checkpoint.dir has to name a folder that driver and executors share")
         spark.sparkContext.setCheckpointDir(folder or tempfile.mkdtemp(prefix="glyphloom-"))
+    return spark.sparkContext.getCheckpointDir()
+
+
+def checkpoint(df: DataFrame) -> DataFrame:
+    """Cuts the lineage with files in the shared folder."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """As checkpoint, but in columns: compressed, and a query reads only those that it needs. The table goes when Python ends."""
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/stored-{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(path)
+    atexit.register(_drop, spark, path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def _drop(spark: SparkSession, path: str) -> None:
+    with contextlib.suppress(Exception):  # Spark may be gone
+        target = spark._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def paragraphs(docs: DataFrame, key: str = "doc_id", text: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
     """(doc_id, para_idx, paragraph): pieces of at least four characters; columns to keep follow the key."""
     cut = docs.select(key, *keep, F.posexplode(F.split(text, T.PARAGRAPH)).alias("para_idx", "paragraph"))
@@ -33,28 +65,92 @@ def paragraphs(docs: DataFrame, key: str = "doc_id", text: str = "text", keep: t
 
 
 def units(docs: DataFrame, unit: str | tuple[int, ...] = "line", script: str = "any", seed: int = SEED, key: str = "doc_id", keep: tuple[str, ...] = ()) -> DataFrame:
-    """(doc_id, para_idx, unit_idx, text, n_words, n_chars): consecutive words of each paragraph, as many as drawn; units out of the bounds of length or script are dropped, and the numbers of the others stay."""
-    low, high, mode, least, most = UNITS[unit] if isinstance(unit, str) else unit
-    rows = paragraphs(docs, key, keep=keep).withColumn("w", T.words(F.col("paragraph"))).where(F.size("w") > 0).drop("paragraph")
+    """(doc_id, para_idx, unit_idx, text, n_words, n_chars): consecutive words of each paragraph, as many as drawn; units out of the bounds of length or script are dropped, and the numbers of the others stay. Python cuts them, a piece of about PIECE characters at a time, so that draws are made together."""
+    bounds = UNITS[unit] if isinstance(unit, str) else unit
+    rows = docs.select(key, *keep, F.col(key).cast("string").cast("binary").alias("__name"), F.col("text").cast("binary").alias("__text"))
+    own = [(c, StringType() if c == "text" else IntegerType()) for c in ("para_idx", "unit_idx", "text", "n_words", "n_chars")]
+    schema = StructType([*(docs.schema[c] for c in (key, *keep)), *(StructField(c, kind) for c, kind in own)])
+
+    names = schema.names
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes = np.asarray(pc.fill_null(pc.binary_length(batch.column("__text")), 0)).astype(np.int64)
+            piece = (np.cumsum(sizes) - sizes) // PIECE
+            ends = np.flatnonzero(np.diff(piece)) + 1 if len(piece) else []
+            for low, high in zip([0, *ends], [*ends, batch.num_rows]):
+                part = batch.slice(low, high - low)
+                doc, *found = _cut(part.column("__name").to_pylist(), part.column("__text").to_pylist(), bounds, seed)
+                yield pa.RecordBatch.from_arrays([*(part.column(i).take(pa.array(doc)) for i in range(1 + len(keep))), *found], names=names)
+        pa.default_memory_pool().release_unused()  # the worker lives on
+
+    cut = rows.mapInArrow(run, schema)
+    return cut if script == "any" else cut.where(T.passes_script(F.col("text"), script))
+
+
+def _cut(names: list[bytes | None], texts: list[bytes | None], bounds: tuple[int, ...], seed: int) -> tuple:
+    """(row, para_idx, unit_idx, text, n_words, n_chars) of the units of texts, in order."""
+    low, high, mode, least, most = bounds
+    words, sizes, docs, paras = [], [], [], []
+    for i, text in enumerate(texts):
+        for k, p in enumerate(_PARAGRAPH.split(text.decode("utf-8", "surrogateescape")) if text is not None else ()):
+            p = p.strip()
+            if len(p) >= PARAGRAPH_LEAST:
+                w = p.split()
+                words += w
+                sizes.append(len(w))
+                docs.append(i)
+                paras.append(k)
+    size, doc, para = np.array(sizes, np.int64), np.array(docs, np.int64), np.array(paras, np.int64)
     if high == 1:
-        cut = rows.select(key, *keep, "para_idx", F.posexplode("w").alias("unit_idx", "text")).withColumn("n_words", F.lit(1))
+        k, of = _within(size)
+        pos, n = k, np.ones(len(words), np.int64)
     else:
-        name = F.concat_ws("/", F.col(key).cast("string"), F.col("para_idx").cast("string"))
-
-        def step(a: Column, k: Column) -> Column:
-            n = words_drawn(uniform(F.concat(name, F.lit("/"), k.cast("string")), "unit", seed), low, high, mode)
-            return F.when(a["at"] >= F.size("w"), a).otherwise(F.struct((a["at"] + n).alias("at"), F.array_append(a["cuts"], a["at"]).alias("cuts")))
-
-        start = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("cuts"))
-        most_units = F.ceil(F.size("w") / low).cast("int")
-        cuts = F.aggregate(F.sequence(F.lit(0), most_units - 1), start, step)
-        rows = rows.withColumn("cuts", cuts["cuts"])
-        # Words are taken one by one: a slice copies the whole array, which a long paragraph would pay for at each unit.
-        end = lambda i: F.coalesce(F.get("cuts", i + 1), F.size("w"))
-        pieces = F.transform("cuts", lambda c, i: F.struct(F.array_join(F.transform(F.sequence(c, end(i) - 1), lambda k: F.get("w", k)), " ").alias("text"), (end(i) - c).alias("n_words")))
-        cut = rows.select(key, *keep, "para_idx", F.posexplode(pieces).alias("unit_idx", "c")).select(key, *keep, "para_idx", "unit_idx", "c.text", "c.n_words")
-    cut = cut.withColumn("n_chars", F.length("text"))
-    return cut.where(F.col("n_chars").between(least, most) & T.passes_script(F.col("text"), script))
+        heads = [b"%d|" % seed + (b"%s/%d/" % (names[i], p) if names[i] is not None else b"%d/" % p) for i, p in zip(docs, paras)]
+        longest = max([64, *map(len, heads)])
+        lengths = np.fromiter(map(len, heads), np.int64, len(heads))
+        prefixes = np.frombuffer(b"".join(h.ljust(longest, b"\0") for h in heads), np.uint8).reshape(-1, longest)
+        done = []
+        # most paragraphs end within a few draws more than they take on average; the others are drawn anew as far as they can go
+        some = np.minimum(-(-size // low), size * 3 // (low + high + mode) * 5 // 4 + 4)
+        todo = np.arange(len(size))
+        for draws in (some, -(-size // low)):
+            k, of = _within(draws[todo])
+            of = todo[of]
+            n = numpy_words_drawn(drawn(prefixes, lengths, k, ("unit",), of)[0], low, high, mode)
+            before = np.cumsum(n) - n
+            pos = before - before[k == 0][np.cumsum(k == 0) - 1] if len(k) else before
+            last = np.zeros(len(size), np.int64)
+            np.maximum.at(last, of, pos + n)
+            short = last < size
+            short[np.setdiff1d(np.arange(len(size)), todo)] = False
+            good = (pos < size[of]) & ~short[of]
+            done.append((of[good], k[good], pos[good], n[good]))
+            todo = np.flatnonzero(short)
+            if not len(todo):
+                break
+        of, k, pos, n = (np.concatenate(x) for x in zip(*done))
+        if len(done) > 1:
+            order = np.lexsort((k, of))
+            of, k, pos, n = of[order], k[order], pos[order], n[order]
+        n = np.minimum(n, size[of] - pos)
+    start = (np.cumsum(size) - size)[of] + pos
+    found = [" ".join(words[a:b]) for a, b in zip(start.tolist(), (start + n).tolist())]
+    chars = np.fromiter(map(len, found), np.int64, len(found))
+    fits = np.flatnonzero((chars >= least) & (chars <= most))
+    found = [found[i] for i in fits.tolist()]
+    try:
+        column = pa.array(found, pa.string())
+    except UnicodeEncodeError:  # bytes that are no UTF-8 stay as they are
+        column = pa.array([x.encode("utf-8", "surrogateescape") for x in found], pa.binary()).view(pa.string())
+    of = of[fits]
+    return doc[of], pa.array(para[of], pa.int32()), pa.array(k[fits], pa.int32()), column, pa.array(n[fits], pa.int32()), pa.array(chars[fits], pa.int32())
+
+
+def _within(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers from 0 within each of so many, and of which they are."""
+    of = np.repeat(np.arange(len(sizes)), sizes)
+    return np.arange(len(of)) - (np.cumsum(sizes) - sizes)[of], of
 
 
 def with_line_ids(rows: DataFrame, *order: str, name: str = "line_id") -> DataFrame:
@@ -64,23 +160,22 @@ def with_line_ids(rows: DataFrame, *order: str, name: str = "line_id") -> DataFr
 
 def numbered(ordered: DataFrame, name: str) -> DataFrame:
     """Numbers rows as they stand: partition after partition. What the partitions before hold is a table with a row for each, which is broadcast."""
-    ordered = checkpoint(ordered)
-    counts = ordered.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).collect()  # a row for each partition
+    place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    placed = stored(ordered.withColumn("__place", place).withColumn("__part", F.spark_partition_id()))
+    counts = placed.groupBy(F.col("__part").alias("p")).agg(F.count("*").alias("n")).collect()  # a row for each partition
     before, total = [], 0
     for p, n in sorted((r.p, r.n) for r in counts):
         before.append((p, total))
         total += n
     offsets = F.broadcast(ordered.sparkSession.createDataFrame(before, "__part int, __before long"))
-    place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
-    placed = ordered.withColumn("__place", place).withColumn("__part", F.spark_partition_id())
     return placed.join(offsets, "__part").withColumn(name, F.col("__place") + F.col("__before")).drop("__part", "__place", "__before")
 
 
 def numbered_units(docs: DataFrame, unit: str | tuple[int, ...] = "line", script: str = "any", seed: int = SEED, key: str = "doc_id", order: str | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
-    """units with line_id, by document (or its `order`), paragraph and unit. Documents and not units go into ranges, so units are cut once; those of a document, or of rows that share a key, stay in one range."""
+    """units with line_id, by document (or its `order`), paragraph and unit. Documents and not units go into ranges, so units are cut once; those of a document, or of rows that share a key, stay in one range. Documents are sorted first, so that units come in order but for keys that repeat."""
     order = order or key
     more = tuple(c for c in dict.fromkeys((order, *keep)) if c != key)
-    cut = units(docs.select(key, *more, "text").repartitionByRange(order, key), unit, script, seed, key, more)
+    cut = units(docs.select(key, *more, "text").repartitionByRange(order, key).sortWithinPartitions(order, key), unit, script, seed, key, more)
     return numbered(cut.sortWithinPartitions(*dict.fromkeys([order, key, "para_idx", "unit_idx"])), "line_id")
 
 
@@ -101,13 +196,13 @@ def interleave(docs: DataFrame, source: str = "source", key: str = "doc_id", see
 
 def split_exact(lines: DataFrame, count: int, seed: int = SEED) -> DataFrame:
     """Adds split: val for the `count` lines with the smallest draws."""
-    chosen = lines.select(F.col("line_id").alias("__id"), uniform(F.col("line_id"), "val", seed).alias("u")).orderBy("u", "__id").limit(count).select("__id", F.lit("val").alias("__val"))
+    chosen = lines.select(F.col("line_id").alias("__id"), batched(F.col("line_id"), "val", seed).alias("u")).orderBy("u", "__id").limit(count).select("__id", F.lit("val").alias("__val"))
     out = lines.join(chosen, lines.line_id == F.col("__id"), "left")
     return out.withColumn("split", F.coalesce("__val", F.lit("train"))).drop("__id", "__val")
 
 
 def split_ratio(lines: DataFrame, ratio: float, seed: int = SEED) -> DataFrame:
-    return lines.withColumn("split", F.when(uniform(F.col("line_id"), "split", seed) < ratio, "val").otherwise("train"))
+    return lines.withColumn("split", F.when(batched(F.col("line_id"), "split", seed) < ratio, "val").otherwise("train"))
 
 
 def shuffled_words(c: Column, key: Column, seed: int = SEED) -> Column:

@@ -62,16 +62,16 @@ def line_tasks(spark: SparkSession, o: argparse.Namespace) -> DataFrame:
 
 
 def planned(tasks: DataFrame, pool: DataFrame, o: argparse.Namespace) -> DataFrame:
-    """Tasks with fonts, sheets, styles, crops, damage and splits: all that drawing needs."""
-    df = fonts.assign(tasks, pool, seed=o.seed).drop("family_idx", "variant_idx")
-    df = sheets.split_high(sheets.pages(df, o.sheet_lines), o.sheet_lines, o.browser_max_screenshot_height, o.seed)
+    """Tasks with fonts, sheets, styles, crops, damage and splits: all that drawing needs. What asks for the last line, or for the lines with the least draws, comes first, as it runs by itself."""
+    df = sheets.split_high(sheets.pages(tasks, o.sheet_lines), o.sheet_lines, o.browser_max_screenshot_height, o.seed)
+    df = units.split_ratio(df, o.val_ratio, o.seed) if o.val_count is None else units.split_exact(df, o.val_count, o.seed)
+    df = fonts.assign(df, pool, seed=o.seed).drop("family_idx", "variant_idx")
     df = sheets.layout(df, o.browser_max_screenshot_height, o.seed)
     df = sheets.styles(df, o.text_opacity_prob, o.word_spacing_prob, o.letter_spacing_prob, o.seed, (o.word_spacing_min_px, o.word_spacing_max_px), (o.letter_spacing_min_px, o.letter_spacing_max_px))
     df = sheets.crop_pads(sheets.crop_boxes(df), (o.crop_pad_x_min, o.crop_pad_x_max), (o.crop_pad_y_min, o.crop_pad_y_max), o.seed)
     gates = sheets.GATES | {g: getattr(o, name) for g, name in GATE_OPTIONS.items()}
     intensity = {"photocopy_bleed": (o.photocopy_bleed_intensity_min, o.photocopy_bleed_intensity_max), "binary_lowres_bloat": (o.binary_bloat_intensity_min, o.binary_bloat_intensity_max)}
     df = sheets.damage_plan(df, o.degradation_profile, o.seed, gates, o.low_quality_jpeg_prob, (o.jpeg_quality_min, o.jpeg_quality_max), (o.low_quality_jpeg_min, o.low_quality_jpeg_max), intensity, o.max_rotation_degrees)
-    df = units.split_ratio(df, o.val_ratio, o.seed) if o.val_count is None else units.split_exact(df, o.val_count, o.seed)
     named = {"page_id": "sheet_page_id", "row_height": "sheet_row_height", "gap": "sheet_gap", "compacted": "sheet_compacted_for_height"}
     return df.withColumns({new: F.col(old) for old, new in named.items()} | {"degradation_profile": F.lit(o.degradation_profile)})
 
