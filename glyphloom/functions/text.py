@@ -1,12 +1,16 @@
-"""Text functions from Column to Column; all but the decoding of HTML entities stay in the JVM."""
+"""Text functions from Column to Column; all stay in the JVM but the decoding of HTML entities and what looks at classes of many ranges."""
 
 from __future__ import annotations
 
+import functools
+import re
 from collections.abc import Callable
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import ArrayType, BooleanType, StringType
 
 from .unicode import ARABIC, LATIN, MARKS, SPACE, TATWEEL, ZWNJ, letters, ranges
 
@@ -26,17 +30,63 @@ def strip(c: Column) -> Column:
     return F.btrim(c, F.lit(letters(SPACE)))
 
 
-def tatweel(c: Column) -> Column:
-    """A tatweel before an Arabic letter goes (marks and tatweels between them don't count); else it stays after a letter that joins forward and becomes a dash after anything else."""
-    run = ranges("M") + "\\x{640}"
-    kept = F.regexp_replace(c, f"\\x{{640}}(?=[{run}]*+[{ranges('AL')}])", "")
-    # a run of marks and tatweels that no joining letter precedes: its first tatweel, then each next one from the end (\G) of the match before
-    dashed = F.regexp_replace(kept, f"(?:(?<![{ranges('JOIN')}{run}])|\\G)([{ranges('M')}]*+)\\x{{640}}", "$1-")
-    return F.when(c.contains(TATWEEL), dashed).otherwise(c)
+def _class(kind: str) -> str:
+    """Python looks a character up in a table, where Java tries each range of a class in turn."""
+    return f"[{''.join(re.escape(x) for x in letters(kind))}]"
 
 
-def yeh_nonfinal(c: Column) -> Column:
-    return F.when(c.contains("ي"), F.regexp_replace(c, f"\\x{{64A}}(?=[{ranges('M')}\\x{{640}}]*+[{ranges('AL')}])", "ی")).otherwise(c)
+@functools.cache
+def _context() -> tuple[re.Pattern, re.Pattern, frozenset, frozenset, frozenset]:
+    run = f"[{re.escape(TATWEEL)}{_class('M')[1:]}*+"
+    return re.compile(TATWEEL + run), re.compile(f"ي(?={run}{_class('AL')})"), *(frozenset(letters(k)) for k in ("M", "AL", "JOIN"))
+
+
+def _each(change: Callable[[str], str], sign: str, texts: pa.Array) -> pa.Array:
+    """Changes the texts, or those in arrays, that hold this sign; bytes that are no UTF-8 stay as they are."""
+    if pa.types.is_list(texts.type):
+        texts = texts.take(pa.array(range(len(texts)))) if texts.offset else texts
+        return pa.ListArray.from_arrays(texts.offsets, _each(change, sign, texts.values), mask=texts.is_null() if texts.null_count else None)
+    held = sign.encode()
+    out = [change(x.decode("utf-8", "surrogateescape")).encode("utf-8", "surrogateescape") if x is not None and held in x else x for x in texts.cast(pa.binary()).to_pylist()]
+    return pa.array(out, pa.binary()).view(pa.string())
+
+
+def _tatweel(text: str) -> str:
+    runs, _, marks, letter, joins = _context()
+
+    def by(m: re.Match) -> str:
+        found, end = m.group(), m.end()
+        if end < len(text) and text[end] in letter:
+            return found.replace(TATWEEL, "")
+        at = m.start() - 1
+        while at >= 0 and text[at] in marks:
+            at -= 1
+        return found if at >= 0 and text[at] in joins else found.replace(TATWEEL, "-")
+
+    return runs.sub(by, text)
+
+
+def _yeh(text: str) -> str:
+    return _context()[1].sub("ی", text)
+
+
+def _contextual(change: Callable[[str], str], sign: str, many: bool) -> Callable[[Column], Column]:
+    kind = ArrayType(StringType()) if many else StringType()
+
+    @F.arrow_udf(kind)
+    def run(texts: pa.Array) -> pa.Array:
+        return _each(change, sign, texts)
+
+    return lambda c: run(c.cast("array<binary>" if many else "binary"))
+
+
+def tatweel(c: Column, many: bool = False) -> Column:
+    """A tatweel before an Arabic letter goes (marks and tatweels between them don't count); else it stays after a letter that joins forward and becomes a dash after anything else. many: of an array of texts."""
+    return _contextual(_tatweel, TATWEEL, many)(c)
+
+
+def yeh_nonfinal(c: Column, many: bool = False) -> Column:
+    return _contextual(_yeh, "ي", many)(c)
 
 
 def strip_marks(c: Column) -> Column:
@@ -53,25 +103,34 @@ def blanks(c: Column) -> Column:
     return strip(F.regexp_replace(c, r"\n{3,}", "\n\n"))
 
 
-def normalize_label(c: Column, profile: str = "conservative_sorani", marks: bool = False, yeh: bool = False, zwnj: bool = False, outer: Hook | None = None, transliterate: Hook | None = None) -> Column:
-    """The label normaliser. What looks at neighbours comes first, since it looks at those of the original text. Hooks are functions of a column: a transliteration is applied first, an outer normaliser next."""
+def normalize_label(c: Column, profile: str = "conservative_sorani", marks: bool = False, yeh: bool = False, zwnj: bool = False, outer: Hook | None = None, transliterate: Hook | None = None, many: bool = False) -> Column:
+    """The label normaliser. What looks at neighbours comes first, since it looks at those of the original text. Hooks are functions of a column: a transliteration is applied first, an outer normaliser next. many: of an array of texts."""
     if profile not in PROFILES:
         raise ValueError(f"unknown profile {profile!r}; known: {', '.join(PROFILES)}")
-    for hook in (transliterate, outer):
-        c = hook(c) if hook else c
     sorani = profile == "conservative_sorani"
-    if sorani:
-        c = tatweel(c)
+
+    def hooked(c: Column) -> Column:
+        for hook in (transliterate, outer):
+            c = hook(c) if hook else c
+        return c
+
+    def rest(c: Column) -> Column:
+        if marks:
+            c = strip_marks(c)
+        c = F.translate(c, letters("Cf"), "")
+        if sorani:
+            c = F.translate(c, "كى", "کی")
+        if zwnj:
+            c = drop_zwnj(c)
+        return blanks(c)
+
+    each = (lambda f, c: F.transform(c, lambda x: f(x))) if many else (lambda f, c: f(c))
+    c = each(hooked, c) if transliterate or outer else c
+    if sorani:  # by Python, which can't be called from within a lambda function
+        c = tatweel(c, many)
     if yeh:
-        c = yeh_nonfinal(c)
-    if marks:
-        c = strip_marks(c)
-    c = F.translate(c, letters("Cf"), "")
-    if sorani:
-        c = F.translate(c, "كى", "کی")
-    if zwnj:
-        c = drop_zwnj(c)
-    return blanks(c)
+        c = yeh_nonfinal(c, many)
+    return each(rest, c)
 
 
 @F.pandas_udf(StringType())
@@ -102,7 +161,7 @@ def block_key(c: Column) -> Column:
 
 def join_unique_blocks(blocks: Column, **options) -> Column:
     """The blocks of an array, each normalised, without empty ones and those that repeat an earlier one but for case and white space, joined by empty lines."""
-    clean = F.transform(blocks, lambda b: normalize_label(F.coalesce(b, F.lit("")), **options))
+    clean = normalize_label(F.transform(blocks, lambda b: F.coalesce(b, F.lit(""))), many=True, **options)
     keyed = F.filter(F.transform(clean, lambda b: F.struct(block_key(b).alias("k"), b.alias("b"))), lambda x: x["k"] != "")
     start = F.struct(F.array().cast("array<string>").alias("k"), F.array().cast("array<string>").alias("b"))
     kept = F.aggregate(keyed, start, lambda a, x: F.when(F.array_contains(a["k"], x["k"]), a).otherwise(F.struct(F.array_append(a["k"], x["k"]).alias("k"), F.array_append(a["b"], x["b"]).alias("b"))))
@@ -118,10 +177,15 @@ def passes_script(c: Column, mode: str = "any") -> Column:
         raise ValueError(f"unknown script filter {mode!r}; known: {', '.join(MODES)}")
     if mode == "any":
         return F.lit(True)
-    if mode == "arabic_letters_marks_space":
-        return has_arabic(c) & ~c.rlike(f"[^{ranges(ARABIC)}{ranges(SPACE)}]")
-    out = has_arabic(c) & ~c.rlike(f"[{LATIN}]")
-    return out & ~c.rlike(f"[{ranges('digit')}]") if mode == "arabic_no_latin_digit" else out
+
+    held = f"[{ranges(ARABIC)}]"
+    other = {"arabic_no_latin": f"[{LATIN}]", "arabic_no_latin_digit": f"[{LATIN}{ranges('digit')}]", "arabic_letters_marks_space": f"[^{ranges(ARABIC)}{ranges(SPACE)}]"}[mode]
+
+    @F.arrow_udf(BooleanType())
+    def run(texts: pa.Array) -> pa.Array:
+        return pc.and_not(pc.match_substring_regex(texts, held), pc.match_substring_regex(texts, other))
+
+    return run(c)
 
 
 def uses_outer_normaliser(language: Column) -> Column:

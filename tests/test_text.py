@@ -42,6 +42,19 @@ def test_normalize(spark, options, given, expected):
     assert value(spark, lambda c: T.normalize_label(c, **options), given) == expected
 
 
+def test_context_is_looked_up_in_batches(spark):
+    """Java tries all ranges of a class on each character: tatweels of 0.1 GB took a minute."""
+    rows = spark.createDataFrame([(f"ب{TW}ب يَب",), (None,), ("",)], "s string")
+    for f in (T.tatweel, T.yeh_nonfinal, lambda c: T.passes_script(c, "arabic_no_latin_digit")):
+        plan = rows.select(f(F.col("s")))._jdf.queryExecution().executedPlan().toString()
+        assert "ArrowEvalPython" in plan and "regexp_replace" not in plan
+    assert [tuple(r) for r in rows.select(T.tatweel(F.col("s")), T.yeh_nonfinal(F.col("s")), T.passes_script(F.col("s"), "arabic_no_latin_digit")).collect()] == [("بب يَب", f"ب{TW}ب یَب", True), (None, None, None), ("", "", False)]
+    many = spark.createDataFrame([([f"ا{TW}", None, "x"],), (None,), ([],)], "s array<string>")
+    assert [r[0] for r in many.select(T.tatweel(F.col("s"), many=True)).collect()] == [["ا-", None, "x"], None, []]
+    cut = spark.createDataFrame([(f"ب{TW}ب".encode() + b"\xff",)], "s binary").select(T.tatweel(F.col("s").cast("string")).cast("binary"))
+    assert bytes(cut.first()[0]) == "بب".encode() + b"\xff"
+
+
 def test_unknown_profile(spark):
     with pytest.raises(ValueError):
         T.normalize_label(F.lit("a"), profile="x")
