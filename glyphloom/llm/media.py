@@ -245,17 +245,18 @@ CUE_ROWS = "timestamp_ns long, track long, cluster_offset long"
 ROWS = 50_000
 
 
-def _table(df: DataFrame, key: str, content: str, schema: str, part: int) -> DataFrame:
-    """(key, ...): the packets (part 0) or cues (1) of each file; key keeps its type."""
+def _table(df: DataFrame, key: str, content: str, schema: str, part: int, texts: bool = False) -> DataFrame:
+    """(key, ...): the packets (part 0) or cues (1) of each file; key keeps its type. texts: content is text (null: empty), of which the file is made here, one at a time: a step before that makes them would hold batches of files in workers of its own."""
     rows = df.select(col(key).alias("key"), col(content).cast("binary").alias("content"))
     names = [x.split()[0] for x in schema.split(", ")]
     kinds = [pa.bool_() if x.endswith("boolean") else pa.int64() for x in schema.split(", ")]
 
     def run(parts):
-        for batch in parts:
+        for batch in pieces(parts, 100):
             keys = batch.column(0)
             for i, file in enumerate(batch.column(1)):
-                found = parse(file.as_py())[part] if file.is_valid else []
+                data = write(pad(file.as_py() or b"")) if texts else file.as_py()
+                found = parse(data)[part] if data is not None else []
                 for at in range(0, len(found), ROWS):
                     some = found[at : at + ROWS]
                     yield pa.RecordBatch.from_arrays([keys.take(pa.array([i] * len(some), pa.int64())), *(pa.array(c, t) for c, t in zip(zip(*some), kinds))], ["key", *names])
@@ -263,12 +264,12 @@ def _table(df: DataFrame, key: str, content: str, schema: str, part: int) -> Dat
     return rows.mapInArrow(run, f"key {rows.schema['key'].dataType.simpleString()}, {schema}")
 
 
-def packets(df: DataFrame, key: str, content: str) -> DataFrame:
-    return _table(df, key, content, PACKETS, 0)
+def packets(df: DataFrame, key: str, content: str, texts: bool = False) -> DataFrame:
+    return _table(df, key, content, PACKETS, 0, texts)
 
 
-def cues(df: DataFrame, key: str, content: str) -> DataFrame:
-    return _table(df, key, content, CUE_ROWS, 1)
+def cues(df: DataFrame, key: str, content: str, texts: bool = False) -> DataFrame:
+    return _table(df, key, content, CUE_ROWS, 1, texts)
 
 
 def files(docs: DataFrame) -> DataFrame:
@@ -318,12 +319,12 @@ def query(spark, sf_dir):
 
 def packet_query(spark, sf_dir):
     """The packet table of all documents' files."""
-    return packets(files(table(spark, sf_dir, "documents").select("doc_id", "text")), "doc_id", "content").select("key", "cluster", "block", "frame", "timestamp_ns", "length")
+    return packets(table(spark, sf_dir, "documents"), "doc_id", "text", texts=True).select("key", "cluster", "block", "frame", "timestamp_ns", "length")
 
 
 def cue_query(spark, sf_dir):
     """The cues of all documents' files."""
-    return cues(files(table(spark, sf_dir, "documents").select("doc_id", "text")), "doc_id", "content").select("key", "timestamp_ns", "track")
+    return cues(table(spark, sf_dir, "documents"), "doc_id", "text", texts=True).select("key", "timestamp_ns", "track")
 
 
 _BYTES = f"SELECT doc_id, (greatest(1, (strlen(coalesce(text, '')) + {UNIT - 1}) // {UNIT}) * {UNIT})::BIGINT AS n FROM documents"

@@ -39,6 +39,20 @@ def test_cut_entities(spark, tmp_path):
     assert ours == theirs
 
 
+@pytest.mark.parametrize("name", ["matroska_packets", "matroska_cues"])
+def test_files_are_made_where_they_are_read(spark, name):
+    """Two steps in Python would each hold batches, those of the second of whole files."""
+    import __spark_entry__ as e
+    from glyphloom.llm import media
+
+    plan = e.queries()[name](spark, DIR)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1
+    texts = spark.createDataFrame([(1, "a" * 5000), (2, None), (3, "")], "doc_id long, text string")
+    table = media.packets if name == "matroska_packets" else media.cues
+    there = lambda df: sorted(map(tuple, df.collect()))
+    assert there(table(texts, "doc_id", "text", texts=True)) == there(table(media.files(texts), "doc_id", "content")) != []
+
+
 def test_entry(spark):
     import __spark_entry__ as e
 
