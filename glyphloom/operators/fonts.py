@@ -62,8 +62,11 @@ def assign(lines: DataFrame, fonts: DataFrame, key: str = "line_id", seed: int =
     draw = batched if isinstance(lines.schema[key].dataType, IntegralType) else uniform
     small = F.broadcast if pool.files <= MOST else lambda df: df
     families = fonts.select("family_idx", F.col("n_variants").alias("__variants")).distinct()
-    chosen = lines.withColumn("family_idx", choice(draw(F.col(key), "family", seed), pool.families)).join(small(families), "family_idx")
-    chosen = chosen.withColumn("variant_idx", F.floor(draw(F.col(key), "variant", seed) * F.col("__variants")).cast("int")).drop("__variants")
+    # numbers that can't be null: else the join asks whether they are, which makes the draws once more
+    number = lambda c: F.coalesce(c.cast("int"), F.lit(-1))
+    lines = lines.withColumns({"family_idx": number(choice(draw(F.col(key), "family", seed), pool.families)), "__variant": draw(F.col(key), "variant", seed)})
+    chosen = lines.join(small(families), "family_idx")
+    chosen = chosen.withColumn("variant_idx", number(F.floor(F.col("__variant") * F.col("__variants")))).drop("__variant", "__variants")
     files = fonts.select("family_idx", "variant_idx", F.col("family").alias("font_family"), F.col("path").alias("font_path"))
     return chosen.join(small(files), ["family_idx", "variant_idx"])
 

@@ -7,7 +7,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from glyphloom.functions import draws
-from glyphloom.operators import sheets, units
+from glyphloom.operators import fonts, sheets, units
 
 
 def plain(key, tag):
@@ -31,6 +31,14 @@ def test_draws_of_lines_are_made_in_batches(spark):
     assert "md5" not in plan
 
 
+def test_fonts_are_drawn_once(spark):
+    pool = fonts.pool(spark.createDataFrame([("a/x.ttf",), ("a/y.ttf",), ("b/x.ttf",)], "path string"))
+    lines = spark.createDataFrame([(None,), *((i,) for i in range(50))], "line_id long")
+    got = fonts.assign(lines, pool)
+    assert got._jdf.queryExecution().executedPlan().toString().count("draw(") == got._jdf.queryExecution().optimizedPlan().toString().count("draw(") == 2
+    assert sorted(r.line_id for r in got.collect()) == list(range(50))
+
+
 def test_numbering_keeps_columns(spark):
     """What is numbered is stored in columns, of which a query reads only its own."""
     rows = units.with_line_ids(spark.range(100).select(F.col("id").alias("k"), F.repeat(F.lit("x"), 1000).alias("text")), "k")
