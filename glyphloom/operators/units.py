@@ -64,11 +64,11 @@ def paragraphs(docs: DataFrame, key: str = "doc_id", text: str = "text", keep: t
     return cut.withColumn("paragraph", T.strip(F.col("paragraph"))).where(F.length("paragraph") >= PARAGRAPH_LEAST)
 
 
-def units(docs: DataFrame, unit: str | tuple[int, ...] = "line", script: str = "any", seed: int = SEED, key: str = "doc_id", keep: tuple[str, ...] = ()) -> DataFrame:
-    """(doc_id, para_idx, unit_idx, text, n_words, n_chars): consecutive words of each paragraph, as many as drawn; units out of the bounds of length or script are dropped, and the numbers of the others stay. Python cuts them, a piece of about PIECE characters at a time, so that draws are made together."""
+def units(docs: DataFrame, unit: str | tuple[int, ...] = "line", script: str = "any", seed: int = SEED, key: str = "doc_id", keep: tuple[str, ...] = (), texts: bool = True) -> DataFrame:
+    """(doc_id, para_idx, unit_idx, text, n_words, n_chars): consecutive words of each paragraph, as many as drawn; units out of the bounds of length or script are dropped, and the numbers of the others stay. Python cuts them, a piece of about PIECE characters at a time, so that draws are made together. Without texts (which a script needs), units are found just so, but theirs aren't put together."""
     bounds = UNITS[unit] if isinstance(unit, str) else unit
     rows = docs.select(key, *keep, F.col(key).cast("string").cast("binary").alias("__name"), F.col("text").cast("binary").alias("__text"))
-    own = [(c, StringType() if c == "text" else IntegerType()) for c in ("para_idx", "unit_idx", "text", "n_words", "n_chars")]
+    own = [(c, StringType() if c == "text" else IntegerType()) for c in ("para_idx", "unit_idx", "text", "n_words", "n_chars") if texts or c != "text"]
     schema = StructType([*(docs.schema[c] for c in (key, *keep)), *(StructField(c, kind) for c, kind in own)])
 
     names = schema.names
@@ -80,7 +80,7 @@ def units(docs: DataFrame, unit: str | tuple[int, ...] = "line", script: str = "
             ends = np.flatnonzero(np.diff(piece)) + 1 if len(piece) else []
             for low, high in zip([0, *ends], [*ends, batch.num_rows]):
                 part = batch.slice(low, high - low)
-                doc, *found = _cut(part.column("__name").to_pylist(), part.column("__text").to_pylist(), bounds, seed)
+                doc, *found = _cut(part.column("__name").to_pylist(), part.column("__text").to_pylist(), bounds, seed, texts)
                 yield pa.RecordBatch.from_arrays([*(part.column(i).take(pa.array(doc)) for i in range(1 + len(keep))), *found], names=names)
         pa.default_memory_pool().release_unused()  # the worker lives on
 
@@ -88,8 +88,8 @@ def units(docs: DataFrame, unit: str | tuple[int, ...] = "line", script: str = "
     return cut if script == "any" else cut.where(T.passes_script(F.col("text"), script))
 
 
-def _cut(names: list[bytes | None], texts: list[bytes | None], bounds: tuple[int, ...], seed: int) -> tuple:
-    """(row, para_idx, unit_idx, text, n_words, n_chars) of the units of texts, in order."""
+def _cut(names: list[bytes | None], texts: list[bytes | None], bounds: tuple[int, ...], seed: int, wanted: bool = True) -> tuple:
+    """(row, para_idx, unit_idx, text, n_words, n_chars) of the units of texts, in order; without text unless it is wanted."""
     low, high, mode, least, most = bounds
     words, sizes, docs, paras = [], [], [], []
     for i, text in enumerate(texts):
@@ -135,16 +135,19 @@ def _cut(names: list[bytes | None], texts: list[bytes | None], bounds: tuple[int
             of, k, pos, n = of[order], k[order], pos[order], n[order]
         n = np.minimum(n, size[of] - pos)
     start = (np.cumsum(size) - size)[of] + pos
-    found = [" ".join(words[a:b]) for a, b in zip(start.tolist(), (start + n).tolist())]
-    chars = np.fromiter(map(len, found), np.int64, len(found))
+    before = np.concatenate([[0], np.cumsum(np.fromiter(map(len, words), np.int64, len(words)))])
+    chars = before[start + n] - before[start] + n - 1
     fits = np.flatnonzero((chars >= least) & (chars <= most))
-    found = [found[i] for i in fits.tolist()]
-    try:
-        column = pa.array(found, pa.string())
-    except UnicodeEncodeError:  # bytes that are no UTF-8 stay as they are
-        column = pa.array([x.encode("utf-8", "surrogateescape") for x in found], pa.binary()).view(pa.string())
-    of = of[fits]
-    return doc[of], pa.array(para[of], pa.int32()), pa.array(k[fits], pa.int32()), column, pa.array(n[fits], pa.int32()), pa.array(chars[fits], pa.int32())
+    of, start, n = of[fits], start[fits], n[fits]
+    found = [pa.array(para[of], pa.int32()), pa.array(k[fits], pa.int32()), pa.array(n, pa.int32()), pa.array(chars[fits], pa.int32())]
+    if wanted:
+        joined = [" ".join(words[a:b]) for a, b in zip(start.tolist(), (start + n).tolist())]
+        try:
+            column = pa.array(joined, pa.string())
+        except UnicodeEncodeError:  # bytes that are no UTF-8 stay as they are
+            column = pa.array([x.encode("utf-8", "surrogateescape") for x in joined], pa.binary()).view(pa.string())
+        found.insert(2, column)
+    return doc[of], *found
 
 
 def _within(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -171,12 +174,13 @@ def numbered(ordered: DataFrame, name: str) -> DataFrame:
     return placed.join(offsets, "__part").withColumn(name, F.col("__place") + F.col("__before")).drop("__part", "__place", "__before")
 
 
-def numbered_units(docs: DataFrame, unit: str | tuple[int, ...] = "line", script: str = "any", seed: int = SEED, key: str = "doc_id", order: str | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
-    """units with line_id, by document (or its `order`), paragraph and unit. Documents and not units go into ranges, so units are cut once; those of a document, or of rows that share a key, stay in one range. Documents are sorted first, so that units come in order but for keys that repeat."""
+def numbered_units(docs: DataFrame, unit: str | tuple[int, ...] = "line", script: str = "any", seed: int = SEED, key: str = "doc_id", order: str | None = None, keep: tuple[str, ...] = (), columns: tuple[str, ...] | None = None) -> DataFrame:
+    """units with line_id, by document (or its `order`), paragraph and unit. Documents and not units go into ranges, so units are cut once; those of a document, or of rows that share a key, stay in one range. Documents are sorted first, so that units come in order but for keys that repeat. Of the units only `columns` are stored and returned (None: all), as a table of all their texts takes longer to write than to number."""
     order = order or key
     more = tuple(c for c in dict.fromkeys((order, *keep)) if c != key)
-    cut = units(docs.select(key, *more, "text").repartitionByRange(order, key).sortWithinPartitions(order, key), unit, script, seed, key, more)
-    return numbered(cut.sortWithinPartitions(*dict.fromkeys([order, key, "para_idx", "unit_idx"])), "line_id")
+    cut = units(docs.select(key, *more, "text").repartitionByRange(order, key).sortWithinPartitions(order, key), unit, script, seed, key, more, columns is None or "text" in columns or script != "any")
+    ordered = cut.sortWithinPartitions(*dict.fromkeys([order, key, "para_idx", "unit_idx"]))
+    return numbered(ordered if columns is None else ordered.select(*columns), "line_id")
 
 
 def interleave(docs: DataFrame, source: str = "source", key: str = "doc_id", seed: int = SEED) -> DataFrame:

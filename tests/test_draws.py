@@ -74,3 +74,16 @@ def test_draws_that_run_out():
     assert sum(some[4].to_pylist()) == sum(range(4, 401))
     for para in range(397):
         assert some[2].filter(np.asarray(some[1]) == para).to_pylist()[0] == 0
+
+
+def test_lines_without_texts(spark):
+    """Queries that need no texts of lines neither put them together nor store them."""
+    docs = spark.createDataFrame([(i % 40, f"some words of paragraph {i}\nand of the next one {i * i}" * 3) for i in range(90)], "doc_id long, text string").repartition(3)
+    every = units.numbered_units(docs, "short_phrase")
+    few = units.numbered_units(docs, "short_phrase", columns=("doc_id", "para_idx"))
+    assert few.columns == ["doc_id", "para_idx", "line_id"]
+    assert sorted(few.collect()) == sorted(every.select(few.columns).collect())
+    assert sorted(r.line_id for r in units.numbered_units(docs, "short_phrase", columns=()).collect()) == list(range(every.count()))
+    texts = units.numbered_units(docs, "short_phrase", columns=("text",))
+    assert sorted(r.text for r in texts.collect()) == sorted(r.text for r in every.collect())
+    assert "text" not in units.units(docs, "short_phrase", texts=False).columns
