@@ -33,6 +33,11 @@ def pages(lines: DataFrame, size: int = LINES) -> DataFrame:
     return out.withColumn("n_lines", F.least(F.lit(size), F.lit(last + 1) - F.col("page_id") * size).cast("int"))
 
 
+def each(lines: DataFrame, size: int = LINES) -> DataFrame:
+    """(page_id, n_lines), a row for each sheet: draws by page_id are made on these and not on all lines."""
+    return pages(lines, size).select("page_id", "n_lines").distinct()
+
+
 def layout(df: DataFrame, max_height: int = 16000, seed: int = SEED) -> DataFrame:
     """Adds the sheet's attributes by page_id and n_lines; a sheet that is too high gets narrower gaps, then lower rows, in closed form."""
     u = lambda tag: batched(F.col("page_id"), tag, seed)

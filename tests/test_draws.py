@@ -87,3 +87,11 @@ def test_lines_without_texts(spark):
     texts = units.numbered_units(docs, "short_phrase", columns=("text",))
     assert sorted(r.text for r in texts.collect()) == sorted(r.text for r in every.collect())
     assert "text" not in units.units(docs, "short_phrase", texts=False).columns
+
+
+def test_draws_of_sheets_are_made_once_for_each(spark):
+    from glyphloom.plans.queries import QUERIES
+
+    for name in ("sheet_layout", "sheet_compaction"):
+        plan = QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.index("draw(") < plan.index("Aggregate"), "lines become sheets below the draws"
