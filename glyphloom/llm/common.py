@@ -80,17 +80,11 @@ def checkpoint(df: DataFrame) -> DataFrame:
         spark.conf.set(name, before)
 
 
-class WordHashes(dict):
-    """64-bit hashes of words; forgets all of them when there are too many."""
-
-    def __missing__(self, word: bytes) -> int:
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
-        return value
+class WordHashes:
+    """64-bit hashes of words. None are kept: to look a word up takes longer than to hash it."""
 
     def of(self, words: list[bytes]) -> np.ndarray:
-        if len(self) > CACHE:
-            self.clear()
-        return np.fromiter(map(self.__getitem__, words), U64, len(words))
+        return np.fromiter(map(xxhash.xxh3_64_intdigest, words), U64, len(words))
 
 
 def mix(x: np.ndarray) -> np.ndarray:

@@ -38,13 +38,12 @@ def smallest(h: np.ndarray, n: int, wide: int) -> np.ndarray:
     """The place of the smallest of `wide` values from each of the first n on."""
     if n <= 0:
         return np.empty(0, np.int64)
-    place = np.arange(n)
-    least = h[:n].copy()
-    for i in range(1, wide):
-        other = h[i : i + n]
-        less = other < least
-        least[less] = other[less]
-        place[less] = np.arange(n)[less] + i
+    least, place, done = h[: n + wide - 1], np.arange(n + wide - 1), 1
+    while done < wide:  # what holds for `done` values and for as many from a step later holds for both; the first of equal ones wins
+        step = min(done, wide - done)
+        less = least[step:] < least[:-step]
+        least, place = np.minimum(least[step:], least[:-step]), np.where(less, place[step:], place[:-step])
+        done += step
     return place
 
 

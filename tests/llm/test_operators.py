@@ -608,3 +608,23 @@ def test_pipeline(spark, rows):
     encoder = packing.Encoder()
     expected = sum(len(encoder.encode(r.text)) + 1 for r in step.collect())
     assert out.agg(F.sum("length")).first()[0] == expected
+
+
+def test_smallest_of_each_window_in_few_steps():
+    """Steps double, so 15 values take four comparisons of the whole array and not 14."""
+    counted = []
+
+    class Counted(np.ndarray):
+        def __array_ufunc__(self, ufunc, method, *inputs, **kwargs):
+            counted.append(ufunc.__name__)
+            return getattr(ufunc, method)(*[np.asarray(x) for x in inputs], **kwargs).view(Counted)
+
+    for seed in range(20):
+        h = np.random.default_rng(seed).integers(0, 5, 60).astype(np.uint64)
+        for wide in range(1, 18):
+            n = len(h) - wide + 1
+            expected = [min(range(i, i + wide), key=lambda j: (h[j], j)) for i in range(n)]
+            assert substrings.smallest(h, n, wide).tolist() == expected
+    substrings.smallest(np.arange(60, dtype=np.uint64)[::-1].view(Counted), 46, 15)
+    assert counted.count("less") <= 4
+    assert substrings.smallest(h, 0, 15).tolist() == []
