@@ -365,6 +365,41 @@ def test_tokens(docs, rows, empty):
     assert tokens.count(empty).count() == 0
 
 
+class Asked:
+    """A tokenizer that notes the characters it encodes."""
+
+    def __init__(self, tokenizer):
+        self.own, self.n = tokenizer, 0
+
+    def __getattr__(self, name):
+        return getattr(self.own, name)
+
+    def encode(self, text, **more):
+        self.n += len(text)
+        return self.own.encode(text, **more)
+
+    def encode_batch_fast(self, texts, **more):
+        self.n += sum(map(len, texts))
+        return self.own.encode_batch_fast(texts, **more)
+
+
+def test_tokens_of_words():
+    asked = Asked(tokens.load())
+    counter = tokens.Counter(asked, 300, 64)
+    usual = [chr(i) for i in (*range(33, 127), *range(0xC0, 0x100))]
+    words = [a + b for a in usual for b in usual] + ["it's", "IT'LL've", "''sun's", "l'été,%%%", "x1y22é", "ÀÉÎ's", "a" * 70, "e\u0301t", "\u017fs", "ΑΣ", "a\tb", "I\u0307", "ﬁ½²"]
+    for w in words:
+        assert len(counter.known[w]) == len(asked.own.encode(w, add_special_tokens=False).ids), w
+    text = " ".join(f"{w} word{i % 97},\n" for i, w in enumerate(words[:25000:7]) if tokens.USUAL.fullmatch(w))
+    expected = [counter.plain(text), counter.plain(text[:250])]
+    counter.known.clear()
+    asked.n = 0
+    assert counter.counts([text, text[:250]]) == expected and not asked.n  # pieces are enough, in chunks too
+    counter.known.clear()
+    counter.counts(["b" * 65 + " c"])
+    assert set(counter.known) == {"c"}  # long words take no memory
+
+
 def test_media(docs, rows, empty):
     got = {r.doc_id: r for r in media.digests(docs).collect()}
     stored = {r.doc_id: bytes(r.content) for r in media.files(docs).collect()}
