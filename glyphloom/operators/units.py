@@ -67,22 +67,16 @@ def paragraphs(docs: DataFrame, key: str = "doc_id", text: str = "text", keep: t
 def units(docs: DataFrame, unit: str | tuple[int, ...] = "line", script: str = "any", seed: int = SEED, key: str = "doc_id", keep: tuple[str, ...] = (), texts: bool = True) -> DataFrame:
     """(doc_id, para_idx, unit_idx, text, n_words, n_chars): consecutive words of each paragraph, as many as drawn; units out of the bounds of length or script are dropped, and the numbers of the others stay. Python cuts them, a piece of about PIECE characters at a time, so that draws are made together. Without texts (which a script needs), units are found just so, but theirs aren't put together."""
     bounds = UNITS[unit] if isinstance(unit, str) else unit
-    rows = docs.select(key, *keep, F.col(key).cast("string").cast("binary").alias("__name"), F.col("text").cast("binary").alias("__text"))
+    rows = named(docs, key, *keep)
     own = [(c, StringType() if c == "text" else IntegerType()) for c in ("para_idx", "unit_idx", "text", "n_words", "n_chars") if texts or c != "text"]
     schema = StructType([*(docs.schema[c] for c in (key, *keep)), *(StructField(c, kind) for c, kind in own)])
 
     names = schema.names
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sizes = np.asarray(pc.fill_null(pc.binary_length(batch.column("__text")), 0)).astype(np.int64)
-            piece = (np.cumsum(sizes) - sizes) // PIECE
-            ends = np.flatnonzero(np.diff(piece)) + 1 if len(piece) else []
-            for low, high in zip([0, *ends], [*ends, batch.num_rows]):
-                part = batch.slice(low, high - low)
-                doc, *found = _cut(part.column("__name").to_pylist(), part.column("__text").to_pylist(), bounds, seed, texts)
-                yield pa.RecordBatch.from_arrays([*(part.column(i).take(pa.array(doc)) for i in range(1 + len(keep))), *found], names=names)
-        pa.default_memory_pool().release_unused()  # the worker lives on
+        for part in in_pieces(batches):
+            doc, *found = _cut(part.column("__name").to_pylist(), part.column("__text").to_pylist(), bounds, seed, texts)
+            yield pa.RecordBatch.from_arrays([*(part.column(i).take(pa.array(doc)) for i in range(1 + len(keep))), *found], names=names)
 
     cut = rows.mapInArrow(run, schema)
     return cut if script == "any" else cut.where(T.passes_script(F.col("text"), script))
@@ -183,6 +177,49 @@ def numbered_units(docs: DataFrame, unit: str | tuple[int, ...] = "line", script
     return numbered(ordered if columns is None else ordered.select(*columns), "line_id")
 
 
+def spread(docs: DataFrame, *by: str) -> DataFrame:
+    """Rows as they are stored, if their partitions are much alike; else they are dealt anew by these columns, so that the work on a table of one row group is shared. To count the rows takes no columns."""
+    sizes = [r.n for r in docs.select(F.spark_partition_id().alias("p")).groupBy("p").agg(F.count("*").alias("n")).collect()]  # a row for each partition
+    return docs.repartition(*by) if sizes and max(sizes) * docs.sparkSession.sparkContext.defaultParallelism > 2 * sum(sizes) else docs
+
+
+def line_numbers(docs: DataFrame, unit: str | tuple[int, ...] = "line", script: str = "any", seed: int = SEED, key: str = "doc_id") -> DataFrame:
+    """(line_id) of numbered_units, for what needs no more of them: lines are numbered from 0 without gaps, so these are the numbers below the number of units. All texts are cut to tell it; no row is moved, sorted or stored."""
+    spark = docs.sparkSession
+    rows = spread(docs.select(key, "text"), key, "text")
+    if script != "any":
+        n = units(rows, unit, script, seed, key).count()
+    else:
+        bounds = UNITS[unit] if isinstance(unit, str) else unit
+        n = named(rows, key).mapInArrow(counting(bounds, seed), "n long").agg(F.sum("n").alias("n")).first().n or 0
+    return spark.range(0, n, 1, max(spark.sparkContext.defaultParallelism, n >> 21)).withColumnRenamed("id", "line_id")
+
+
+def named(docs: DataFrame, key: str, *keep: str) -> DataFrame:
+    """Key, columns to keep, and in bytes the name by which a document's draws are made and its text."""
+    return docs.select(key, *keep, F.col(key).cast("string").cast("binary").alias("__name"), F.col("text").cast("binary").alias("__text"))
+
+
+def in_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """About PIECE bytes of texts at a time."""
+    for batch in batches:
+        sizes = np.asarray(pc.fill_null(pc.binary_length(batch.column("__text")), 0)).astype(np.int64)
+        piece = (np.cumsum(sizes) - sizes) // PIECE
+        ends = np.flatnonzero(np.diff(piece)) + 1 if len(piece) else []
+        for low, high in zip([0, *ends], [*ends, batch.num_rows]):
+            yield batch.slice(low, high - low)
+    pa.default_memory_pool().release_unused()  # the worker lives on
+
+
+def counting(bounds: tuple[int, ...], seed: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in in_pieces(batches):
+            n = len(_cut(part.column("__name").to_pylist(), part.column("__text").to_pylist(), bounds, seed, False)[0])
+            yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64())], ["n"])
+
+    return run
+
+
 def interleave(docs: DataFrame, source: str = "source", key: str = "doc_id", seed: int = SEED) -> DataFrame:
     """Adds arrival: documents of each source keep their order, and the next one comes from any source that has some left, all alike.
 

@@ -95,3 +95,17 @@ def test_draws_of_sheets_are_made_once_for_each(spark):
     for name in ("sheet_layout", "sheet_compaction"):
         plan = QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
         assert plan.index("draw(") < plan.index("Aggregate"), "lines become sheets below the draws"
+
+
+def test_numbers_of_lines(spark):
+    """Where only their numbers are asked for, lines are counted, not moved, sorted or stored."""
+    docs = spark.createDataFrame([(i % 40 if i % 7 else None, None if i % 9 == 4 else f"some words of paragraph {i}\nand of the next one {i * i}" * 3) for i in range(90)], "doc_id long, text string").repartition(3)
+    for script in ("any", "arabic_no_latin"):
+        n = units.numbered_units(docs, "short_phrase", script).count()
+        got = units.line_numbers(docs, "short_phrase", script)
+        assert got.dtypes == units.numbered_units(docs, "short_phrase", columns=()).dtypes and [r.line_id for r in got.collect()] == list(range(n)), script
+    assert n == 0 and units.line_numbers(docs.limit(0)).count() == 0
+    plan = units.line_numbers(docs, "word")._jdf.queryExecution().optimizedPlan().toString()
+    assert "Range" in plan and "Join" not in plan and "Relation" not in plan
+    one = docs.repartition(1)
+    assert units.spread(docs, "doc_id") is docs and units.spread(one, "doc_id") is not one
