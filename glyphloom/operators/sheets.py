@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.draws import SEED, batched, integer, pick, uniform, weighted
+from ..functions.draws import SEED, batched, drawn_numbers, integer, pick, uniform, weighted
 from ..functions.kernels import BAND, NOISE
-from .units import checkpoint
 
 LINES = 64
 #: Fixed: what is drawn for sheets and lines.
@@ -105,26 +106,36 @@ def crop_pads(df: DataFrame, x: tuple[int, int] = (4, 28), y: tuple[int, int] =
 
 
 def split_high(df: DataFrame, size: int = LINES, max_height: int = 16000, seed: int = SEED) -> DataFrame:
-    """Sheets that stay too high at the narrowest layout are halved, again and again: lines move to sheets 2p + 1 (the first floor(n / 2) of them) and 2p + 2, numbered anew. What becomes of each sheet is worked out on a row for each, and joined; if no sheet of `size` lines can be too high, nothing is done."""
+    """Sheets that stay too high at the narrowest layout are halved, again and again: lines move to sheets 2p + 1 (the first floor(n / 2) of them) and 2p + 2, numbered anew. Each line works out its own sheet's layout, whose draws are made once for neighbours of a sheet, so no line is moved; if no sheet of `size` lines can be too high, nothing is done."""
     rounds = 0
     while max_height > 0 and size > 1 and size * (ROW_LEAST + GAP_LEAST) + GAP_LEAST > max_height:
         size, rounds = -(-size // 2), rounds + 1
     if not rounds:
         return df
-    parts = df.select(F.col("page_id").alias("__origin"), "page_id", F.lit(0).alias("__start"), "n_lines").distinct()
+    others = [c for c in df.columns if c not in ("page_id", "sheet_line_index", "n_lines")]
+
+    @F.arrow_udf("page_id long, sheet_line_index int, n_lines int")
+    def own(page: pa.Array, index: pa.Array, n: pa.Array) -> pa.Array:
+        found = _halved(*(np.asarray(x).astype(np.int64) for x in (page, index, n)), max_height, seed, rounds)
+        return pa.StructArray.from_arrays([pa.array(found[0]), pa.array(found[1], pa.int32()), pa.array(found[2], pa.int32())], ["page_id", "sheet_line_index", "n_lines"])
+
+    return df.select(*others, own("page_id", "sheet_line_index", "n_lines").alias("__own")).select(*others, "__own.*")
+
+
+def _halved(page: np.ndarray, index: np.ndarray, n: np.ndarray, max_height: int, seed: int, rounds: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """What becomes of lines' page_id, sheet_line_index and n_lines: `layout`'s height by the same steps, again for each half."""
     for _ in range(rounds):
-        parts = checkpoint(layout(parts, max_height, seed).select("__origin", "page_id", "__start", "n_lines", "sheet_height"))
-        half = F.floor(F.col("n_lines") / 2).cast("int")
-        part = lambda page, start, n: F.struct(page.alias("page_id"), start.alias("__start"), n.alias("n_lines"))
-        halves = F.array(part(F.col("page_id") * 2 + 1, F.col("__start"), half), part(F.col("page_id") * 2 + 2, F.col("__start") + half, F.col("n_lines") - half))
-        whole = F.array(part(F.col("page_id"), F.col("__start"), F.col("n_lines")))
-        high = (F.col("sheet_height") > max_height) & (F.col("n_lines") > 1)
-        parts = parts.select("__origin", F.explode(F.when(high, halves).otherwise(whole)).alias("p")).select("__origin", "p.*")
-    found = parts.groupBy("__origin").agg(F.sort_array(F.collect_list(F.struct("__start", "page_id", "n_lines"))).alias("__parts"))  # at most `size` of a sheet
-    own = F.element_at(F.filter("__parts", lambda p: p["__start"] <= F.col("sheet_line_index")), -1)
-    placed = df.join(found, F.col("page_id") == F.col("__origin")).withColumn("__own", own)
-    more = [F.col("__own.page_id").alias("page_id"), (F.col("sheet_line_index") - F.col("__own.__start")).alias("sheet_line_index"), F.col("__own.n_lines").alias("n_lines")]
-    return placed.select(*[F.col(c) for c in df.columns if c not in ("page_id", "sheet_line_index", "n_lines")], *more)
+        row, gap = drawn_numbers(page, ("row", "gap"), seed)
+        row, gap = np.array(ROW_HEIGHTS)[(row * len(ROW_HEIGHTS)).astype(np.int64)], 6 + (gap * 5).astype(np.int64)
+        over = np.maximum(0, n * (row + gap) + gap - max_height)
+        gap = gap - np.minimum(gap - GAP_LEAST, np.ceil(over / (n + 1)).astype(np.int64))
+        over = np.maximum(0, n * (row + gap) + gap - max_height)
+        row = row - 2 * np.minimum((row - ROW_LEAST) // 2, np.ceil(over / (n * 2)).astype(np.int64))
+        high = (np.maximum(64, n * (row + gap) + gap) > max_height) & (n > 1)
+        half = n // 2
+        late = high & (index >= half)
+        page, index, n = np.where(high, page * 2 + 1 + late, page), np.where(late, index - half, index), np.where(late, n - half, np.where(high, half, n))
+    return page, index, n
 
 
 def too_high(df: DataFrame, max_height: int = 16000, size: int = LINES) -> DataFrame:

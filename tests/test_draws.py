@@ -109,3 +109,26 @@ def test_numbers_of_lines(spark):
     assert "Range" in plan and "Join" not in plan and "Relation" not in plan
     one = docs.repartition(1)
     assert units.spread(docs, "doc_id") is docs and units.spread(one, "doc_id") is not one
+
+
+def test_high_sheets(spark):
+    """Each line finds its own sheet: no line is moved to a table of sheets."""
+
+    def height(page, n, most):
+        row, gap = sheets.ROW_HEIGHTS[math.floor(plain(page, "row") * 3)], 6 + math.floor(plain(page, "gap") * 5)
+        over = lambda: max(0, n * (row + gap) + gap - most)
+        gap -= min(gap - 4, math.ceil(over() / (n + 1)))
+        row -= 2 * min((row - 42) // 2, math.ceil(over() / (2 * n)))
+        return max(64, n * (row + gap) + gap)
+
+    def halved(page, n, most):
+        if n == 1 or height(page, n, most) <= most:
+            return [(page, i, n) for i in range(n)]
+        return halved(2 * page + 1, n // 2, most) + halved(2 * page + 2, n - n // 2, most)
+
+    lines = spark.range(1000).select(F.col("id").alias("line_id"), F.lit("t").alias("text"))
+    for size, most in ((300, 8000), (64, 100), (64, 700), (7, 200), (64, 16000), (300, 0)):
+        got = sheets.split_high(sheets.pages(lines, size), size, most)
+        expected = [p for page in range(-(-1000 // size)) for p in (halved(page, min(size, 1000 - page * size), most) if most else [(page, i, min(size, 1000 - page * size)) for i in range(min(size, 1000 - page * size))])]
+        assert [(r.page_id, r.sheet_line_index, r.n_lines) for r in got.orderBy("line_id").collect()] == expected, (size, most)
+        assert "Join" not in got._jdf.queryExecution().optimizedPlan().toString()
