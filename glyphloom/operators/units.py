@@ -14,7 +14,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
 from ..functions import text as T
 from ..functions.draws import SEED, batched, drawn, numpy_words_drawn, uniform
@@ -170,6 +170,10 @@ def numbered(ordered: DataFrame, name: str) -> DataFrame:
 
 def numbered_units(docs: DataFrame, unit: str | tuple[int, ...] = "line", script: str = "any", seed: int = SEED, key: str = "doc_id", order: str | None = None, keep: tuple[str, ...] = (), columns: tuple[str, ...] | None = None) -> DataFrame:
     """units with line_id, by document (or its `order`), paragraph and unit. Documents and not units go into ranges, so units are cut once; those of a document, or of rows that share a key, stay in one range. Documents are sorted first, so that units come in order but for keys that repeat. Of the units only `columns` are stored and returned (None: all), as a table of all their texts takes longer to write than to number."""
+    if columns is not None and not keep and order in (None, key) and script == "any" and {*columns} <= {key, "para_idx", "unit_idx"}:
+        listed = stored(_listed(docs, UNITS[unit] if isinstance(unit, str) else unit, seed, key))
+        each = listed.repartitionByRange(key).sortWithinPartitions(key).select(key, F.explode(F.arrays_zip("para_idx", "unit_idx")).alias("__unit")).select(key, "__unit.*")
+        return numbered(each.sortWithinPartitions(key, "para_idx", "unit_idx").select(*columns), "line_id")
     order = order or key
     more = tuple(c for c in dict.fromkeys((order, *keep)) if c != key)
     cut = units(docs.select(key, *more, "text").repartitionByRange(order, key).sortWithinPartitions(order, key), unit, script, seed, key, more, columns is None or "text" in columns or script != "any")
@@ -211,6 +215,19 @@ def in_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     pa.default_memory_pool().release_unused()  # the worker lives on
 
 
+def _listed(docs: DataFrame, bounds: tuple[int, ...], seed: int, key: str) -> DataFrame:
+    """A row for each document with the numbers of its units' paragraphs and of the units in them: what has to be moved if texts aren't needed."""
+    schema = StructType([docs.schema[key], *(StructField(c, ArrayType(IntegerType(), False)) for c in ("para_idx", "unit_idx"))])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in in_pieces(batches):
+            doc, *found = _cut(part.column("__name").to_pylist(), part.column("__text").to_pylist(), bounds, seed, False)
+            ends = pa.array(np.concatenate([[0], np.cumsum(np.bincount(doc, minlength=part.num_rows))]), pa.int32())
+            yield pa.RecordBatch.from_arrays([part.column(0), *(pa.ListArray.from_arrays(ends, x) for x in found[:2])], names=schema.names)
+
+    return named(spread(docs.select(key, "text"), key, "text"), key).mapInArrow(run, schema)
+
+
 def counting(bounds: tuple[int, ...], seed: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in in_pieces(batches):

@@ -132,3 +132,16 @@ def test_high_sheets(spark):
         expected = [p for page in range(-(-1000 // size)) for p in (halved(page, min(size, 1000 - page * size), most) if most else [(page, i, min(size, 1000 - page * size)) for i in range(min(size, 1000 - page * size))])]
         assert [(r.page_id, r.sheet_line_index, r.n_lines) for r in got.orderBy("line_id").collect()] == expected, (size, most)
         assert "Join" not in got._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_texts_stay_where_they_are(spark, monkeypatch):
+    """To number lines without texts, a row of numbers for each document is moved."""
+    seen, stored = [], units.stored
+    monkeypatch.setattr(units, "stored", lambda df: seen.append(df.columns) or stored(df))
+    rows = [(None if i % 11 == 3 else i % 40, None if i % 13 == 5 else f"some words of paragraph {i}\nand of the next one {i * i}" * 3) for i in range(90)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    names = ["doc_id", "para_idx", "unit_idx"]
+    got = units.numbered_units(docs, "short_phrase", columns=tuple(names))
+    assert seen[0] == names and len(seen) == 2
+    every = units.numbered_units(docs, "short_phrase").select(got.columns)
+    assert got.dtypes == every.dtypes and got.orderBy("line_id").collect() == every.orderBy("line_id").collect()
